@@ -49,7 +49,7 @@ def items_of(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
 def word_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
     """How often each word of the items stands in the documents."""
     vocabulary = broadcast_if_small(cut(items.select(F.explode("w").alias("word")).distinct()))
-    stream = docs.select(F.explode(padded_words(F.col("t"))).alias("word"))
+    stream = docs.select(F.explode_outer(padded_words(F.col("t"))).alias("word"))
     return vocabulary.join(stream.join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n")), "word", "left").fillna(0, ["n"])
 
 
@@ -83,7 +83,7 @@ def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, anchor_rows: DataFrame) -> DataFrame:
+def hits(docs: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, fp, n_words, item_id, lo, hi: the words lo..hi of a document stand in windows of an item.
 
     Each document also has a row without item.
@@ -99,20 +99,24 @@ def hits(docs: DataFrame, anchor_rows: DataFrame) -> DataFrame:
     stream = (
         docs.select("doc_id", "fp", padded_words(F.col("t")).alias("w"))
         .withColumn("n_words", size_of(F.col("w")))
-        .select("doc_id", "fp", "n_words", "w", F.posexplode("w").alias("p", "word"))
+        .select("doc_id", "fp", "n_words", "w", F.posexplode_outer("w").alias("p", "word"))
     )
     m = F.size("stretch")
     # w has one empty string in front: word k of the stretch stands at p - at + k; a window must fit between the ends
     room = (F.least(F.col("p") - 1, F.col("at")) + F.least(F.col("n_words") - F.col("p") + 1, m - F.col("at"))) >= F.col("length")
 
-    def extent(k_from: Column, step: int, most: Column) -> Column:
-        """How many words in a row agree, going from the anchor by step."""
-        agree = F.transform(F.sequence(F.lit(1), most), lambda k: F.get("w", F.col("p") + step * k).eqNullSafe(F.get("stretch", F.col("at") + step * k)))
-        first_off = F.array_position(agree, F.lit(False))
-        return F.when(most <= 0, 0).when(first_off == 0, most).otherwise((first_off - 1).cast("int"))
-
-    left = extent(F.col("at"), -1, F.col("at"))
-    right = extent(F.col("at"), 1, m - F.col("at") - 1)
+    def extent(step: int) -> Column:
+        """How many words in a row agree, going from the anchor by step; spelled out, so that the join stays in generated code."""
+        off = [
+            ~F.get("w", F.col("p") + step * k).eqNullSafe(F.get("stretch", F.col("at") + step * k)) | F.get("stretch", F.col("at") + step * k).isNull()
+            for k in range(1, window)
+        ]
+        found = F.lit(window - 1)
+        for k in reversed(range(1, window)):
+            found = F.when(off[k - 1], F.lit(k - 1)).otherwise(found)
+        return found
+
+    left, right = extent(-1), extent(1)
     found = stream.join(
         F.broadcast(anchor_rows.unionByName(mark)).withColumnRenamed("word", "anchor"),
         (F.col("word") == F.col("anchor")) & ((F.col("item_id").isNull() & (F.col("p") == 0)) | (F.col("item_id").isNotNull() & room & (left + right + 1 >= F.col("length")))),
@@ -133,7 +137,7 @@ def decontaminate(
     blocks = max(1, -(-table.count() // block))
     found = None
     for b in range(blocks):
-        part = hits(d, table.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b))
+        part = hits(d, table.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b), window)
         found = part if found is None else found.unionByName(part)
     per_doc = found.groupBy("doc_id", "fp").agg(
         F.max("n_words").alias("n_words"),

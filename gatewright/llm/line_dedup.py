@@ -34,7 +34,7 @@ def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """doc_id, fp, pos, h1, h2 of each non-blank line."""
     t = F.coalesce(F.col(text), F.lit(""))
     return (
-        docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("fp"), F.posexplode(F.split(t, "\n")).alias("pos", "line"))
+        docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("fp"), F.posexplode_outer(F.split(t, "\n")).alias("pos", "line"))
         .withColumn("key", line_key(F.col("line")))
         .where(F.col("key") != "")
         .select("doc_id", "fp", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))

@@ -105,7 +105,7 @@ def cross_document_lines(docs: DataFrame, text: str = "text", host: str = "sourc
     """host, h1, h2, n_docs of the lines over the limits."""
     t = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(host).alias("host"), t.alias("t"))
-    lines = base.select("host", F.explode(F.array_distinct(line_keys(F.col("t")))).alias("k")).select("host", "k.h1", "k.h2")
+    lines = base.select("host", F.explode_outer(F.array_distinct(line_keys(F.col("t")))).alias("k")).where("k is not null").select("host", "k.h1", "k.h2")
     counted = lines.groupBy("host", "h1", "h2").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
     hosts = base.groupBy(F.col("host").alias("host_")).agg(F.count("*").alias("host_docs"))
     return (
@@ -128,7 +128,7 @@ def quality_rules(
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), F.col(host).alias("host"))
     frequent = broadcast_if_small(cut(cross_document_lines(docs, "t", "host", min_docs, min_share)))
     key = [F.col("doc_id"), F.xxhash64("t").alias("fp"), F.col("host")]
-    lines = docs.select(*key, F.explode(line_keys(F.coalesce(F.col("t"), F.lit("")))).alias("k")).select("doc_id", "fp", "host", "k.*")
+    lines = docs.select(*key, F.explode_outer(line_keys(F.coalesce(F.col("t"), F.lit("")))).alias("k")).where("k is not null").select("doc_id", "fp", "host", "k.*")
     f = frequent.select(F.col("host").alias("host_"), F.col("h1").alias("h1_"), F.col("h2").alias("h2_"))
     lost = lines.join(f, (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")) & F.col("host").eqNullSafe(F.col("host_")))
     each = base_metrics(docs.select(*key, "t"), "t").drop("t")
