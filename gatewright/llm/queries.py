@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import round_trip
 from .decontaminate import decontaminate
 from .line_dedup import apply_bitmaps, keep_bitmaps
+from .minhash import near_duplicates
 from .quality_rules import quality_rules
 
 
@@ -16,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -28,6 +34,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=10))
@@ -39,7 +50,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op7_minhash": op7_minhash,
     "op8_line_dedup": op8_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
