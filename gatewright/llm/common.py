@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """cut() for large tables: a compressed Parquet table of its own in the shared folder, which the cluster's cleaning of that folder removes."""
+    path = f"{checkpoint_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_variant(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text and variant: 0, but 0, 1, ... for the different texts of rows that share a doc_id.
+
+    (doc_id, variant) then names a document; rows that repeat wholly are one.
+    """
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    fp = F.xxhash64("text").alias("fp")
+    several = docs.select("doc_id", fp).groupBy("doc_id").agg(F.sort_array(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
+    several = cut(several.select("doc_id", F.posexplode("fps").alias("variant", "fp")))
+    if not several.limit(1).count():
+        return docs.withColumn("variant", F.lit(0))
+    several = several.select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_"), "variant")
+    both = docs.withColumn("fp", fp).join(broadcast_if_small(several), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("fp") == F.col("fp_")), "left")
+    return both.select("doc_id", "text", F.coalesce("variant", F.lit(0)).alias("variant"))
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, to be broadcast if it has at most `rows` rows; else Spark joins by shuffle.
 

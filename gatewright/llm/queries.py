@@ -12,6 +12,7 @@ from .decontaminate import decontaminate
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .minhash import near_duplicates
 from .quality_rules import quality_rules
+from .suffix_dedup import suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op7_minhash": op7_minhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_suffix_array": op9_suffix_array,
     "op10_quality_rules": op10_quality_rules,
 }
 
