@@ -189,24 +189,26 @@ def decode_column(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, data binary")
 
 
-def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row: encode, digest, decode and digest in one pass."""
+def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with_ids, ids of each row: encode, digest, decode and digest in one pass."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(ranks)
         for b in batches:
-            n, ids_hash, data_hash = [], [], []
+            n, ids_hash, data_hash, kept = [], [], [], []
             for t in b.column("text"):
                 pieces = e.encode(t.as_py())
                 ids = list(chain.from_iterable([p[0] for p in pieces]))
                 n.append(len(ids))
+                kept.append(ids if with_ids else None)
                 ids_hash.append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
                 data_hash.append(hashlib.sha256(e.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(data_hash, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(data_hash, pa.string()), pa.array(kept, pa.list_(pa.int32()))],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    out = docs.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>")
+    return out if with_ids else out.drop("ids")

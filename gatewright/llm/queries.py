@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .decontaminate import decontaminate
+from .html_extract import extract
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .minhash import near_duplicates
 from .quality_rules import quality_rules
+from .secrets_scan import as_text, find_secrets
 from .suffix_dedup import suffix_dedup
+from .toxicity import score, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
@@ -35,6 +42,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = train(docs, labels.where(~held_out))
+    scored = score(docs, model).select("doc_id", "score", "offending")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.to_json("offending").alias("offending")
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def of(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(as_text("base"), 256).alias("base_sha256"), as_text("spans").alias("spans"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -55,8 +81,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
+    "op6_secrets": op6_secrets,
     "op7_minhash": op7_minhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array": op9_suffix_array,
