@@ -15,6 +15,7 @@ from .minhash import near_duplicates
 from .quality_rules import quality_rules
 from .secrets_scan import as_text, find_secrets
 from .suffix_dedup import suffix_dedup
+from .token_output import read_segments, write_segments
 from .toxicity import score, train
 
 
@@ -52,6 +53,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_segments(write_segments(table(spark, sf_dir, "documents")))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_toxicity": op4_toxicity,
+    "op5_token_output": op5_token_output,
     "op6_secrets": op6_secrets,
     "op7_minhash": op7_minhash,
     "op8_line_dedup": op8_line_dedup,
