@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,6 +176,13 @@ def mark(sorted_runs: DataFrame, length: int) -> DataFrame:
     kind = sorted_runs.schema["doc_id"].dataType.simpleString()
 
     def marked(t: pa.Table) -> pa.RecordBatch:
+        if len(t) > 1:  # rows of documents that are given twice stand side by side
+            pc = pa.compute
+            same = pa.array(np.ones(len(t) - 1, bool))
+            for c in ("v", "salt", "doc_id", "variant", "p"):
+                a, b = t.column(c).combine_chunks().slice(0, len(t) - 1), t.column(c).combine_chunks().slice(1)
+                same = pc.and_(same, pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))))
+            t = t.filter(pa.concat_arrays([pa.array([True]), pc.invert(same)]))
         data, w = t.column("data").to_pylist(), np.array(t.column("w"))
         hashes = []
         for d, n in zip(data, w.tolist(), strict=True):
