@@ -11,10 +11,10 @@ Pairs are not enumerated within a band's bucket.  Each bucket picks one pivot by
 a hash of its own, so that a document meets a different pivot in each band;
 pairs with pivots that pass size and sketch are verified on full sets, and
 verified links give components.  What is left in doubt are members of a bucket
-outside its largest component: they meet the other members of the bucket, with
-the size and sketch bounds inside the join, first the most similar of each
-component, then, if still apart, all that pass.  So no link between components
-that share a bucket is lost, and a bucket of copies costs a row a member.
+outside its largest component: they meet the other members of the bucket in a
+join whose condition holds the size and sketch bounds and then the full sets, so
+that only links come out of it.  No link between components that share a bucket
+is lost, and a bucket of copies costs a row a member.
 
 With 28 bands of 7 samples a pair of similarity 0.85 shares no bucket with a
 probability of 2e-5, and the sketch bound rejects it with one below 1e-6.
@@ -164,47 +164,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         two = one.join(light.toDF("b", "n_b", "s_b"), "b")
         return two.where(sizes_fit(percent) & (ones("s_a", "s_b") <= most_ones(percent))).select("a", "b")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        texts = source.withColumnRenamed("doc_id", "id").join(broadcast_if_small(wanted), "id", "left_semi")
-        full = cut(sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
-        both = pairs.join(full.toDF("a", "i_a"), "a").join(full.toDF("b", "i_b"), "b")
-        common = F.size(F.array_intersect("i_a", "i_b"))
-        return cut(
-            both.withColumn("c", common)
-            .where(100 * F.col("c") >= percent * (F.size("i_a") + F.size("i_b") - F.col("c")))
-            .select("a", "b")
-        )
-
-    first = with_sketches(members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct())
-    tested = cut(first)
-    links = verified(tested)
-    for last in (False, True):
-        labels = connected_components(links)
-        labelled = members.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = (
-            labelled.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
-            .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-            .where("parts > 1").select("band", "key", "main")
-        )
-        doubtful = cut(labelled.join(mixed, ["band", "key"]).join(light, "id"))
-        outside = doubtful.where("component <> main").select("band", "key", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        others = doubtful.select("band", "key", F.col("id").alias("b"), F.col("component").alias("c_b"), F.col("main"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-        near = outside.join(
-            others,
-            ["band", "key"],
-        ).where((F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b"))) & sizes_fit(percent) & (ones("s_a", "s_b") <= most_ones(percent)))
-        if not last:
-            near = near.groupBy("a", "c_b").agg(F.min_by("b", ones("s_a", "s_b")).alias("b"))
-        pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        if not pairs.limit(1).count():
-            break
-        tested = tested.union(pairs)
-        links = cut(links.union(verified(pairs)))
-    else:
-        labels = connected_components(links)
+    def full_sets(ids: DataFrame) -> DataFrame:
+        texts = source.withColumnRenamed("doc_id", "id").join(broadcast_if_small(cut(ids.distinct())), "id", "left_semi")
+        return cut(sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
+
+    def linked(x: str, y: str) -> Column:
+        common = F.size(F.array_intersect(x, y))
+        return 100 * common >= percent * (F.size(x) + F.size(y) - common)
+
+    # links with pivots
+    pairs = cut(with_sketches(members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()))
+    full = full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    both = pairs.join(full.toDF("a", "i_a"), "a").join(full.toDF("b", "i_b"), "b")
+    links = cut(both.where(linked("i_a", "i_b")).select("a", "b"))
+    labels = connected_components(links)
+    # what is in doubt: members of a bucket outside its largest component, against all others of the bucket
+    labelled = members.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = (
+        labelled.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
+        .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
+        .where("parts > 1").select("band", "key", "main")
+    )
+    doubtful = cut(labelled.join(mixed, ["band", "key"]).where("main is not null"))
+    known = reps.join(full_sets(doubtful.select("id")), "id")
+    placed_full = doubtful.join(known, "id")
+    outside = placed_full.where("component <> main").select("band", "key", *[F.col(c).alias(f"{x}_a") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
+    others = placed_full.select("band", "key", "main", *[F.col(c).alias(f"{x}_b") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
+    # a pair counts in its first common bucket only; cheap bounds come first, the full sets decide inside the join
+    near = outside.join(others, ["band", "key"]).where(
+        (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))) & sizes_fit(percent)
+        & (ones("s_a", "s_b") <= most_ones(percent)) & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("key")) & linked("i_a", "i_b")
+    )
+    more = cut(near.groupBy(F.col("id_a").alias("a"), "c_b").agg(F.min("id_b").alias("b")).select("a", "b"))
+    if more.limit(1).count():
+        labels = connected_components(links.union(more))
     named = classes.join(labels, classes["rep"] == labels["id"], "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
     return signed.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
