@@ -11,20 +11,26 @@ from .common import cut
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id, component (smallest id reachable) for each id in links.
 
-    Labels sink along links and then jump to their label's label, so that the
-    rounds grow with the logarithm of the longest chain; labels are cut to the
-    shared folder after each round.  A hub's links are aggregated on the map
-    side, and its join is one that Spark splits when it is skewed.
+    In each round every vertex points to its smallest neighbour or itself,
+    pointers jump once, and the graph is contracted: links are renamed to what
+    their ends point to, and those within one vertex or repeated are dropped.
+    So links shrink from round to round, and rounds grow with the logarithm of
+    the longest chain.  Each round's tables are cut to the shared folder.
     """
-    edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    edges = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")))
+    x, y = F.col(a), F.col(b)
+    edges = cut(links.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
+    labels = None
     while True:
-        sunk = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
-        met = labels.join(sunk, "id").select("id", "component", F.least("component", "near").alias("next"))
-        jump = labels.select(F.col("id").alias("next"), F.col("component").alias("far"))
-        new = cut(met.join(jump, "next").select("id", F.col("component").alias("old"), F.least("next", "far").alias("component")))
-        moved = new.where("old <> component").limit(1).count()
-        labels = new.drop("old")
-        if not moved:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("to")))
+        step = near.join(near.select(F.col("id").alias("to"), F.col("to").alias("far")), "to").select("id", F.col("far").alias("next"))
+        step = cut(step)
+        if labels is None:
+            labels = step.select("id", F.col("next").alias("component"))
+        else:
+            moved = labels.join(step.withColumnRenamed("id", "component"), "component", "left")
+            labels = cut(moved.select("id", F.coalesce("next", "component").alias("component")))
+        renamed = edges.join(step.toDF("a", "p"), "a").join(step.toDF("b", "q"), "b").where("p <> q")
+        edges = cut(renamed.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct())
+        if not edges.limit(1).count():
             return labels
