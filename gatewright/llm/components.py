@@ -12,10 +12,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """id, component (smallest id reachable) for each id in links.
 
     In each round every vertex points to its smallest neighbour or itself,
-    pointers jump once, and the graph is contracted: links are renamed to what
-    their ends point to, and those within one vertex or repeated are dropped.
-    So links shrink from round to round, and rounds grow with the logarithm of
-    the longest chain.  Each round's tables are cut to the shared folder.
+    pointers jump until they rest, and the graph is contracted: links are
+    renamed to what their ends point to, and those within one vertex or repeated
+    are dropped.  A round at least halves the vertices that have links, and the
+    jumps in it grow with the logarithm of the longest way.  Each round's tables
+    are cut to the shared folder.
     """
     x, y = F.col(a), F.col(b)
     edges = cut(links.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct())
@@ -23,8 +24,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("to")))
-        step = near.join(near.select(F.col("id").alias("to"), F.col("to").alias("far")), "to").select("id", F.col("far").alias("next"))
-        step = cut(step)
+        step, moving = near, True
+        while moving:  # a pointer's way halves each time
+            jump = step.select(F.col("id").alias("to"), F.col("to").alias("far"))
+            far = cut(step.join(jump, "to").select("id", "to", "far"))
+            moving = far.where("to <> far").limit(1).count() > 0
+            step = far.select("id", F.col("far").alias("to"))
+        step = step.withColumnRenamed("to", "next")
         if labels is None:
             labels = step.select("id", F.col("next").alias("component"))
         else:
