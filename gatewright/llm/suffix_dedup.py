@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, cut, keep, parallelism, with_variant
 
-LENGTH, GRAM, SALTS, HOT_SAMPLE, HOT_ROWS = 100, 32, 64, 64, 20
+LENGTH, GRAM, SALTS, HOT_SAMPLE = 100, 32, 64, 64
+#: An anchor of so many rows in the sample has some 20,000 in all (a few MB of runs); smaller ones fit one task.
+HOT_ROWS = 300
 #: Bytes that are hashed at a time, and suffixes of a run at most.
 CHUNK, RUN = 1 << 20, 128
 U = np.uint64
