@@ -1,12 +1,17 @@
 """Token ids in compressed binary segments: an adaptive context-mixing range coder.
 
-Ids are cut into blocks of BLOCK that are coded independently, each from a
-fresh model and with a CRC-32 of its ids.  Of each id the coder first says
+Ids are cut into blocks of at most BLOCK that are coded independently, each
+from a fresh model and with a CRC-32 of its ids.  Of each id the coder first says
 whether it is the one predicted by the last two ids (order 2), else by the last
-one (order 1); the odds of these answers mix adaptive probabilities kept by how
-often either prediction was right before.  Other ids are coded by adaptive
-counts of their high and low bytes (order 0).  All blocks of a segment are coded
-in step, a NumPy lane for each.
+one (order 1); the odds of these answers mix adaptive counts kept by how often
+either prediction was right of late.  Other ids are coded by adaptive counts of
+ids (order 0), taken up at steps 0, 1, 2, 4, ... of the block.  A block is split
+into lanes of consecutive ids, which share its model and are coded in step, a
+range coder for each, so that a step is a few NumPy operations for all lanes.
+
+The tokenizer's patterns never match across blanks, so texts are cut at spaces
+and line feeds, and the library encodes each different piece once; pieces are
+kept by a worker, up to PIECES of them.
 
 Spark ranges and sorts documents by id, tasks encode segments, and Spark's own
 writer stores each segment as one binary value of a Parquet table in the shared
@@ -36,193 +41,183 @@ from pyspark.sql import functions as F
 
 from .common import keep, parallelism
 
-BLOCK, SEGMENT, TABLE = 2048, 4_000_000, 1024
-MAGIC = b"GWT1"
-_32 = np.uint64(0xFFFFFFFF)
-_TOP, _BOTTOM = np.uint64(1 << 24), np.uint64(1 << 16)
+BLOCK, LANES, STEPS, SEGMENT = 1 << 20, 4096, 256, 4_000_000
+MAGIC = b"GWT2"
+_WORD = 24
+_LOW = (1 << _WORD) - 1
+_ALL = (1 << 2 * _WORD) - 1
+_ANSWER_BITS, _ID_BITS = 16, 20
 
 
 class _Model:
-    """The predictions and probabilities of all lanes; encoder and decoder go through the same steps."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.next = np.zeros((2, lanes, TABLE), np.int32)  # predicted id by hashed context, for order 1 and 2
-        self.sure = np.zeros((2, lanes, TABLE), np.uint8)  # how often it was right of late, 0 to 3
-        self.odds = np.full((2, lanes, 4, 3), 1 << 12, np.int32)  # of the three answers, by sureness
-        self.any = np.full((lanes, 3), 1 << 12, np.int32)
-        self.bytes = np.ones((2, lanes, 256), np.int32)
-        self.one = np.zeros(lanes, np.int64)
-        self.two = np.zeros(lanes, np.int64)
-
-    def predict(self, k: int) -> np.ndarray:
-        """Frequencies of the answers order 2, order 1, neither, in the first k lanes."""
-        lane = self.lane[:k]
-        self.at = (self.one[:k] * 40503 >> 4) % TABLE, (self.one[:k] * 40503 + self.two[:k] * 30011 >> 4) % TABLE
-        self.p1, self.p2 = self.next[0, lane, self.at[0]], self.next[1, lane, self.at[1]]
-        self.s1, self.s2 = self.sure[0, lane, self.at[0]], self.sure[1, lane, self.at[1]]
-        return ((self.odds[0, lane, self.s1] + 2 * self.odds[1, lane, self.s2] + self.any[:k]) >> 2) + 1
-
-    def update(self, k: int, ids: np.ndarray, answer: np.ndarray) -> None:
-        lane = self.lane[:k]
-        hit = np.zeros((k, 3), np.int32)
-        hit[lane, answer] = 1 << 14
-        self.any[:k] += (hit - self.any[:k]) >> 5
-        for order, s, p in ((0, self.s1, self.p1), (1, self.s2, self.p2)):
-            row = self.odds[order, lane, s]
-            self.odds[order, lane, s] = row + ((hit - row) >> 4)
-            right = p == ids
-            self.sure[order, lane, self.at[order]] = np.where(right, np.minimum(s + 1, 3), 0)
-            self.next[order, lane, self.at[order]] = ids
-        self.two[:k], self.one[:k] = self.one[:k], ids
-
-    def count(self, which: int, lanes: np.ndarray, values: np.ndarray) -> None:
-        self.bytes[which, lanes, values] += 24
-        full = lanes[self.bytes[which, lanes].sum(axis=1) > 1 << 15] if self.step % 256 == 255 else lanes[:0]
-        if len(full):
-            self.bytes[which, full] = (self.bytes[which, full] >> 1) | 1
-
-    step = 0
-
-
-def _encode_lanes(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """ids: lanes x BLOCK, lanes in order of falling size."""
-    lanes = len(sizes)
-    m, low, span = _Model(lanes), np.zeros(lanes, np.uint64), np.full(lanes, _32)
-    out, at = np.zeros((lanes, BLOCK * 6 + 16), np.uint8), np.zeros(lanes, np.int64)
-
-    def put(lane: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        part = span[lane] // total.astype(np.uint64)
-        lo, sp = (low[lane] + start.astype(np.uint64) * part) & _32, size.astype(np.uint64) * part
-        todo = np.arange(len(lane))
-        while True:
-            a, s = lo[todo], sp[todo]
-            apart = (a ^ ((a + s) & _32)) >= _TOP
-            tight = apart & (s < _BOTTOM)
-            go = ~apart | tight
-            if not go.any():
-                break
-            sp[todo[tight]] = (_BOTTOM - (a[tight] & (_BOTTOM - np.uint64(1)))) & (_BOTTOM - np.uint64(1))
-            todo = todo[go]
-            who = lane[todo]
-            out[who, at[who]] = (lo[todo] >> np.uint64(24)).astype(np.uint8)
+    """What one block has shown so far; the encoder and the decoder take the same steps."""
+
+    def __init__(self, lanes: int, vocabulary: int):
+        self.last = np.zeros(1 << 16, np.int64)  # predicted id and how often it was right of late (0 to 3), by the last id
+        self.pair = np.zeros(1 << 18, np.int64)  # the same by the last two
+        self.answers = np.full((4, 4, 3), 64, np.int64)  # counts by sureness of order 2 and order 1
+        self.counts, self.pending = np.zeros(vocabulary, np.int64), []
+        self.one = self.two = np.zeros(lanes, np.int64)
+        self.step = 0
+
+    def predict(self) -> None:
+        """Predictions of each lane, and the mixed odds of the answers: order 2, order 1, neither."""
+        self.hash = ((self.two << 16 | self.one) * 0x9E3779B1 >> 16) & (1 << 18) - 1
+        a, b = self.pair.take(self.hash), self.last.take(self.one)
+        self.p2, self.p1, self.s2, self.s1 = a >> 2, b >> 2, a & 3, b & 3
+        self.context = (self.s2 << 2 | self.s1) * 3
+        parts = (self.answers, self.answers.sum(axis=0, keepdims=True), self.answers.sum(axis=1, keepdims=True), self.answers.sum(axis=(0, 1), keepdims=True))
+        mixed = sum((w * x << 10) // x.sum(axis=2, keepdims=True) for w, x in zip((32, 12, 12, 8), parts, strict=True))
+        f = 1 + (mixed * ((1 << _ANSWER_BITS) - 3) >> 16).reshape(16, 3)
+        f[:, 2] += (1 << _ANSWER_BITS) - f.sum(axis=1)
+        self.size = f.ravel()
+        self.start = (np.cumsum(f, axis=1) - f).ravel()
+
+    def fresh(self) -> bool:
+        """Counts of order 0 are taken up at steps 0, 1, 2, 4, ... and at multiples of 32."""
+        if self.step & (self.step - 1) and self.step % 32:
+            return False
+        if self.pending:
+            self.counts += np.bincount(np.concatenate(self.pending), minlength=len(self.counts))
+            self.pending = []
+        room = (1 << _ID_BITS) - len(self.counts)
+        total = int(self.counts.sum())
+        self.id_size = 1 + (self.counts * room // total if total else np.full(len(self.counts), room // len(self.counts)))
+        self.id_size[self.counts.argmax()] += (1 << _ID_BITS) - self.id_size.sum()
+        self.id_start = np.cumsum(self.id_size) - self.id_size
+        return True
+
+    def update(self, ids: np.ndarray, answer: np.ndarray, rest: np.ndarray) -> None:
+        self.answers += 16 * np.bincount(self.context + answer, minlength=48).reshape(4, 4, 3) - (self.answers >> 4)
+        self.pair[self.hash] = ids << 2 | np.where(self.p2 == ids, np.minimum(self.s2 + 1, 3), 0)
+        self.last[self.one] = ids << 2 | np.where(self.p1 == ids, np.minimum(self.s1 + 1, 3), 0)
+        if len(rest):
+            self.pending.append(ids[rest])
+        self.two, self.one = self.one, ids
+        self.step += 1
+
+
+def _encode_block(ids: np.ndarray) -> bytes:
+    """Lanes and steps, vocabulary, words of each lane, words of all lanes."""
+    n = len(ids)
+    lanes = min(LANES, -(-n // STEPS))
+    steps = -(-n // lanes)
+    grid = np.zeros(lanes * steps, np.int64)
+    grid[:n] = ids
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    m = _Model(lanes, int(ids.max()) + 1)
+    low, span, at = np.zeros(lanes, np.int64), np.full(lanes, 1 << 2 * _WORD, np.int64), np.zeros(lanes, np.int64)
+    words, every = np.zeros((2 * steps + 1, lanes), np.int32), np.arange(lanes)
+
+    def put(lane: np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        whole = lane is every
+        part = (span if whole else span.take(lane)) >> bits
+        lo, sp = (low if whole else low.take(lane)) + start * part, size * part
+        over = np.flatnonzero(lo > _ALL)
+        if len(over):
+            words[at[lane[over]] - 1, lane[over]] += 1  # words that grow too large so are set right at the end
+            lo[over] &= _ALL
+        out = np.flatnonzero(sp <= _LOW)
+        if len(out):
+            who = lane[out]
+            words[at[who], who] = lo[out] >> _WORD
             at[who] += 1
-            lo[todo] = (lo[todo] << np.uint64(8)) & _32
-            sp[todo] = (sp[todo] << np.uint64(8)) & _32
-        low[lane], span[lane] = lo, sp
-
-    for t in range(int(sizes.max(initial=0))):
-        m.step = t
-        k = int(np.searchsorted(-sizes, -t, side="left"))
-        x, lane = ids[:k, t], m.lane[:k]
-        f = m.predict(k)
-        answer = np.where(x == m.p2, 0, np.where(x == m.p1, 1, 2))
-        c = np.cumsum(f, axis=1)
-        put(lane, c[lane, answer] - f[lane, answer], f[lane, answer], c[:, 2])
+            lo[out] = (lo[out] & _LOW) << _WORD
+            sp[out] <<= _WORD
+        where = slice(None) if whole else lane
+        low[where], span[where] = lo, sp
+
+    for x in grid:
+        m.predict()
+        m.fresh()
+        answer = np.where(m.p2 == x, 0, np.where(m.p1 == x, 1, 2))
         rest = np.flatnonzero(answer == 2)
-        for which, value in ((0, x[rest] >> 8), (1, x[rest] & 255)):
-            if len(rest):
-                n = m.bytes[which, rest]
-                c = np.cumsum(n, axis=1)
-                r = np.arange(len(rest))
-                put(rest, c[r, value] - n[r, value], n[r, value], c[:, 255])
-                m.count(which, rest, value)
-        m.update(k, x, answer)
-    for _ in range(4):
-        out[m.lane, at] = (low >> np.uint64(24)).astype(np.uint8)
-        at += 1
-        low = (low << np.uint64(8)) & _32
-    return [out[k, : at[k]].tobytes() for k in range(lanes)]
-
-
-def _decode_lanes(streams: list[bytes], sizes: np.ndarray) -> np.ndarray:
-    lanes = len(sizes)
-    width = max(map(len, streams), default=0) + 8
-    data = np.zeros((lanes, width), np.uint8)
-    for k, s in enumerate(streams):
-        data[k, : len(s)] = np.frombuffer(s, np.uint8)
-    m, low, span, code = _Model(lanes), np.zeros(lanes, np.uint64), np.full(lanes, _32), np.zeros(lanes, np.uint64)
-    for k in range(4):
-        code = (code << np.uint64(8)) | data[:, k]
-    at = np.full(lanes, 4)
-    ids = np.zeros((lanes, BLOCK), np.int32)
-
-    def get(lane: np.ndarray, n: np.ndarray) -> np.ndarray:
-        c = np.cumsum(n, axis=1).astype(np.uint64)
-        r = np.arange(len(lane))
-        part = span[lane] // c[:, -1]
-        v = np.minimum(((code[lane] - low[lane]) & _32) // part, c[:, -1] - np.uint64(1))
-        value = (c <= v[:, None]).sum(axis=1)
-        size = n[r, value].astype(np.uint64)
-        lo, sp, co = (low[lane] + (c[r, value] - size) * part) & _32, size * part, code[lane]
-        todo = r
-        while True:
-            a, s = lo[todo], sp[todo]
-            apart = (a ^ ((a + s) & _32)) >= _TOP
-            tight = apart & (s < _BOTTOM)
-            go = ~apart | tight
-            if not go.any():
-                break
-            sp[todo[tight]] = (_BOTTOM - (a[tight] & (_BOTTOM - np.uint64(1)))) & (_BOTTOM - np.uint64(1))
-            todo = todo[go]
-            who = lane[todo]
-            co[todo] = ((co[todo] << np.uint64(8)) & _32) | data[who, np.minimum(at[who], width - 1)]
+        slot = m.context + answer
+        put(every, m.start.take(slot), m.size.take(slot), _ANSWER_BITS)
+        if len(rest):
+            ids_left = x.take(rest)
+            put(rest, m.id_start.take(ids_left), m.id_size.take(ids_left), _ID_BITS)
+        m.update(x, answer, rest)
+    words[at, every] = (low + _LOW) >> _WORD
+    at += 1
+    for k in range(int(at.max()) - 1, 0, -1):
+        words[k - 1] += words[k] >> _WORD
+        words[k] &= _LOW
+    used = np.arange(int(at.max())) < at[:, None]
+    stream = np.ascontiguousarray(words[: used.shape[1]].T[used]).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3]
+    return struct.pack("<III", lanes, steps, len(m.counts)) + at.astype("<u2").tobytes() + stream.tobytes()
+
+
+def _decode_block(data: bytes, n: int) -> np.ndarray:
+    lanes, steps, vocabulary = struct.unpack_from("<III", data)
+    if not (0 < lanes <= LANES and steps <= STEPS and 0 < vocabulary <= 1 << 16 and n <= lanes * steps):
+        raise ValueError("not a block of token ids")
+    size = np.frombuffer(data, "<u2", lanes, 12).astype(np.int64)
+    stream = np.frombuffer(data, np.uint8, int(size.sum()) * 3, 12 + 2 * lanes).reshape(-1, 3).astype(np.int64)
+    words = np.zeros((lanes, int(size.max()) + 2), np.int64)
+    words[np.arange(words.shape[1]) < size[:, None]] = stream[:, 0] | stream[:, 1] << 8 | stream[:, 2] << 16
+    ahead = words[:, 0] << _WORD | words[:, 1]  # how far the code is above the lower end
+    m, span, at = _Model(lanes, vocabulary), np.full(lanes, 1 << 2 * _WORD, np.int64), np.full(lanes, 2)
+    every, last = np.arange(lanes), words.shape[1] - 1
+    grid = np.zeros((steps, lanes), np.int64)
+
+    def take(lane: np.ndarray, part: np.ndarray, ah: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        ah, sp = ah - start * part, size * part
+        more = np.flatnonzero(sp <= _LOW)
+        if len(more):
+            who = lane[more]
+            ah[more] = ah[more] << _WORD | words[who, np.minimum(at[who], last)]
             at[who] += 1
-            lo[todo] = (lo[todo] << np.uint64(8)) & _32
-            sp[todo] = (sp[todo] << np.uint64(8)) & _32
-        low[lane], span[lane], code[lane] = lo, sp, co
-        return value
-
-    for t in range(int(sizes.max(initial=0))):
-        m.step = t
-        k = int(np.searchsorted(-sizes, -t, side="left"))
-        answer = get(m.lane[:k], m.predict(k))
+            sp[more] <<= _WORD
+        where = slice(None) if lane is every else lane
+        ahead[where], span[where] = ah, sp
+
+    for t in range(steps):
+        m.predict()
+        if m.fresh():
+            ids_of = np.repeat(np.arange(vocabulary, dtype=np.uint16), m.id_size)
+        part = span >> _ANSWER_BITS
+        # a float holds the 48 bits of ahead, and its quotient is exact to more than the bits of part
+        v = (ahead / part).astype(np.int64)
+        answer = (v >= m.start.take(m.context + 1)).astype(np.int64) + (v >= m.start.take(m.context + 2))
+        slot = m.context + answer
+        take(every, part, ahead, m.start.take(slot), m.size.take(slot))
         x = np.where(answer == 0, m.p2, m.p1)
         rest = np.flatnonzero(answer == 2)
         if len(rest):
-            value = np.zeros(len(rest), np.int64)
-            for which in (0, 1):
-                got = get(rest, m.bytes[which, rest])
-                m.count(which, rest, got)
-                value = value << 8 | got
-            x[rest] = value
-        ids[:k, t] = x
-        m.update(k, x, answer)
-    return ids
+            part, ah = span.take(rest) >> _ID_BITS, ahead.take(rest)
+            got = ids_of[np.clip((ah / part).astype(np.int64), 0, (1 << _ID_BITS) - 1)].astype(np.int64)
+            take(rest, part, ah, m.id_start.take(got), m.id_size.take(got))
+            x[rest] = got
+        grid[t] = x
+        m.update(x, answer, rest)
+    return grid.T.reshape(-1)[:n].astype(np.int32)
 
 
 def encode_segment(ids: np.ndarray) -> bytes:
-    """ids (0 to 65535) as one segment: header, block table (stream length, CRC-32), streams."""
-    n = len(ids)
-    blocks = -(-n // BLOCK)
-    grid = np.zeros(blocks * BLOCK, np.int32)
-    grid[:n] = ids
-    sizes = np.full(blocks, BLOCK, np.int64)
-    if blocks:
-        sizes[-1] = n - (blocks - 1) * BLOCK
-    streams = _encode_lanes(grid.reshape(blocks, BLOCK), sizes)
-    crc = [zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) for k in range(blocks)]
-    head = struct.pack("<4sIII", MAGIC, n, BLOCK, blocks)
-    return head + b"".join(struct.pack("<II", len(s), c) for s, c in zip(streams, crc, strict=True)) + b"".join(streams)
+    """ids (0 to 65535) as one segment: header, block table (length, CRC-32 of the ids), blocks."""
+    blocks = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
+    coded = [_encode_block(b) for b in blocks]
+    table = b"".join(struct.pack("<II", len(c), zlib.crc32(b.astype("<u4").tobytes())) for b, c in zip(blocks, coded, strict=True))
+    return struct.pack("<4sIII", MAGIC, len(ids), BLOCK, len(blocks)) + table + b"".join(coded)
 
 
 def decode_segment(data: bytes) -> np.ndarray:
     magic, n, block, blocks = struct.unpack_from("<4sIII", data)
     if magic != MAGIC or block != BLOCK:
         raise ValueError("not a segment of token ids")
-    table = [struct.unpack_from("<II", data, 16 + 8 * k) for k in range(blocks)]
-    streams, at = [], 16 + 8 * blocks
-    for size, _ in table:
-        streams.append(data[at : at + size])
-        at += size
-    sizes = np.full(blocks, BLOCK, np.int64)
-    if blocks:
-        sizes[-1] = n - (blocks - 1) * BLOCK
-    ids = _decode_lanes(streams, sizes).reshape(-1)[:n]
-    for k, (_, crc) in enumerate(table):
-        if zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()) != crc:
+    out, at = [np.zeros(0, np.int32)], 16 + 8 * blocks
+    for k in range(blocks):
+        size, crc = struct.unpack_from("<II", data, 16 + 8 * k)
+        try:
+            ids = _decode_block(data[at : at + size], min(BLOCK, n - k * BLOCK))
+        except (ValueError, IndexError, struct.error) as e:
+            raise ValueError(f"block {k} is damaged") from e
+        if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
             raise ValueError(f"block {k} is damaged")
-    return ids
+        out.append(ids)
+        at += size
+    return np.concatenate(out)
 
 
 @lru_cache(maxsize=2)
@@ -236,6 +231,34 @@ def tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+#: One worker's pieces take 200 MB at most, as each is at most PIECE characters long.
+PIECES, PIECE = 1_000_000, 64
+_known: dict[str, dict[str, bytes]] = {}  # of this worker, by tokenizer
+
+
+class _Encoder:
+    """Ids of whole texts, as bytes of int32; pieces of up to PIECE characters are kept until there are PIECES of them."""
+
+    def __init__(self, name: str, end: int):
+        self.tokenizer, self.end = tokenizer(name), np.array([end], np.int32).tobytes()
+        self.known = _known.setdefault(name, {})
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*pieces).difference(self.known))
+        if len(self.known) + len(new) > PIECES:
+            self.known.clear()
+            new = list(set().union(*pieces))
+        if new:
+            coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
+            self.known.update(zip(new, (np.array(e.ids, np.int32).tobytes() for e in coded), strict=True))
+        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, p)) + self.end, np.int32) for p in pieces]
+        for p in new:
+            if len(p) > PIECE:
+                del self.known[p]
+        return ids
+
+
 def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "word_bpe_49k.json", end: int = 1, segment: int = SEGMENT) -> DataFrame:
     """part, seq, before (ids of the part before the segment), doc_ids, lengths, data: the stored table of segments."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -245,7 +268,7 @@ def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, t = TaskContext.get().partitionId(), tokenizer(name)
+        part, encode = TaskContext.get().partitionId(), _Encoder(name, end)
         ids: list[np.ndarray] = []
         names: list[pa.Array] = []
         lengths: list[int] = []
@@ -262,7 +285,7 @@ def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for b in batches:
             texts = b.column("text").to_pylist()
             for lo in range(0, len(texts), 256):
-                encoded = [np.array([*e.ids, end], np.int32) for e in t.encode_batch(texts[lo : lo + 256], add_special_tokens=False)]
+                encoded = encode(texts[lo : lo + 256])
                 ids += encoded
                 lengths += [len(e) for e in encoded]
                 names.append(b.column("doc_id").slice(lo, len(encoded)))
