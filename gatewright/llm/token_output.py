@@ -9,9 +9,9 @@ ids (order 0), taken up at steps 0, 1, 2, 4, ... of the block.  A block is split
 into lanes of consecutive ids, which share its model and are coded in step, a
 range coder for each, so that a step is a few NumPy operations for all lanes.
 
-The tokenizer's patterns never match across blanks, so texts are cut at spaces
-and line feeds, and the library encodes each different piece once; pieces are
-kept by a worker, up to PIECES of them.
+Where the tokenizer's pattern (SPLIT) never matches across blanks, texts are cut
+at spaces and line feeds, and the library encodes each different word, and what
+else there is, once; pieces are kept by a worker, up to PIECES of them.
 
 Spark ranges and sorts documents by id, tasks encode segments, and Spark's own
 writer stores each segment as one binary value of a Parquet table in the shared
@@ -29,6 +29,8 @@ their text; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,6 +45,8 @@ from .common import keep, parallelism
 
 BLOCK, LANES, STEPS, SEGMENT = 1 << 20, 4096, 256, 4_000_000
 MAGIC = b"GWT2"
+#: Fixed value: the pattern of the tokenizer whose texts may be cut at blanks.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = 24
 _LOW = (1 << _WORD) - 1
 _ALL = (1 << 2 * _WORD) - 1
@@ -234,30 +238,55 @@ def tokenizer(name: str):
 #: One worker's pieces take 200 MB at most, as each is at most PIECE characters long.
 PIECES, PIECE = 1_000_000, 64
 _known: dict[str, dict[str, bytes]] = {}  # of this worker, by tokenizer
+#: Letters that neither join with what stands beside them nor change in number by lower-casing, then marks without the apostrophe.
+_WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class _Encoder:
-    """Ids of whole texts, as bytes of int32; pieces of up to PIECE characters are kept until there are PIECES of them."""
+    """Ids of whole texts; pieces of up to PIECE characters are kept until there are PIECES of them."""
 
     def __init__(self, name: str, end: int):
         self.tokenizer, self.end = tokenizer(name), np.array([end], np.int32).tobytes()
         self.known = _known.setdefault(name, {})
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        dropped = first.get("behavior") == "Removed" and first.get("invert") and first["pattern"].get("Regex") == SPLIT
+        self.in_pieces = kinds == ["NFC", "Replace", "Lowercase"] and dropped and spec["model"].get("end_of_word_suffix") == "</w>"
+        if self.in_pieces:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.in_pieces:
+            return [np.frombuffer(x + self.end, np.int32) for x in self.whole(texts)]
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*pieces).difference(self.known))
-        if len(self.known) + len(new) > PIECES:
+        new = set().union(*pieces).difference(self.known)
+        if len(self.known) + 2 * len(new) > PIECES:
             self.known.clear()
-            new = list(set().union(*pieces))
-        if new:
-            coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            self.known.update(zip(new, (np.array(e.ids, np.int32).tobytes() for e in coded), strict=True))
+            new = set().union(*pieces)
+        cuts = {p: m for p in new if (m := _WORD_AND_MARKS.fullmatch(p))}
+        self.add_words({m[1].lower() for m in cuts.values()}.difference(self.known))
+        rest = list((new - cuts.keys()) | {m[2] for m in cuts.values()}.difference(self.known))
+        self.known.update(zip(rest, self.whole(rest), strict=True))
+        self.known.update((p, self.known[m[1].lower()] + self.known[m[2]]) for p, m in cuts.items())
         ids = [np.frombuffer(b"".join(map(self.known.__getitem__, p)) + self.end, np.int32) for p in pieces]
-        for p in new:
-            if len(p) > PIECE:
-                del self.known[p]
+        for p in [p for p in {*new, *rest, *(m[1].lower() for m in cuts.values())} if len(p) > PIECE]:
+            self.known.pop(p, None)
         return ids
 
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def add_words(self, words: set[str]) -> None:
+        """Each word of letters only has one id that ends a word, its last; so all are encoded as one text."""
+        words = list(words)
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        data = ids.tobytes()
+        self.known.update(zip(words, (data[a:b] for a, b in zip([0, *stops], stops)), strict=True))
+
 
 def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "word_bpe_49k.json", end: int = 1, segment: int = SEGMENT) -> DataFrame:
     """part, seq, before (ids of the part before the segment), doc_ids, lengths, data: the stored table of segments."""

@@ -249,6 +249,15 @@ def test_token_segments(spark, docs, texts):
     assert len(got) == 40
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_whole_texts(name):
+    odd = ["", " ", "a  b", "don't 'S x's. a'S,", "Σίσυφος ΟΔΟΣ", "Éa,b È. Ùn?! ÀÉ-É", "a\u0301 \u0301b\ńc", "İ ß. ſ K", "x<|endoftext|>. <|endoftext|>", "\x1cX\x85Y\r\nz", "가 ᆨ 9. A9. _a_", "long" * 40 + ". " + "*" * 90]
+    want = [[*e.ids, 1] for e in token_output.tokenizer(name).encode_batch(odd, add_special_tokens=False)]
+    encode = token_output._Encoder(name, 1)
+    for _ in range(2):
+        assert [x.tolist() for x in encode(odd)] == want
+
+
 def test_pipeline_keeps_columns_and_removes_copies(spark):
     import corpus_pipeline
 
