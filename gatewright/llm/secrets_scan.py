@@ -1,7 +1,10 @@
 """Secrets in text: known formats, and strings that pass a battery of randomness tests.
 
-The battery looks at long strings of letters, digits and - _ + / = that no known
-format covers.  Each is taken as hexadecimal, base32, base64 or alphanumeric by
+The battery looks at long strings of letters, digits and - _ + / that no known
+format covers, = at their end included: of name=value, name and value are strings
+of their own, and so is each part that a known format leaves uncovered.  Strings
+of a single class of characters (digits, upper case, lower case, others) are not
+tested.  Each of the rest is taken as hexadecimal, base32, base64 or alphanumeric by
 its characters and gets three p-values under the hypothesis that it is written
 text and not drawn at random: how even its characters are over the alphabet
 (chi-squared), how often its character classes change (runs), and how much
@@ -33,7 +36,10 @@ from .common import keep
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
+LEAST = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/=-]{20,}")
+PART = re.compile(r"[A-Za-z0-9_+/-]+")
+FIRST, JOINS = re.compile(r"[A-Z](?=[a-z])"), re.compile(r"[_+/-]+")
 RATE, BINS = 0.01, 64
 #: alphabet size and pattern, tried in order
 ENCODINGS = (("hex", 16, re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("base32", 32, re.compile(r"[A-Z2-7]+=*")), ("alnum", 62, re.compile(r"[A-Za-z0-9]+")), ("base64", 64, re.compile(r"[A-Za-z0-9_+/-]+=*")))
@@ -47,6 +53,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, k) for s, e, _, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 
+def candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the strings to test: = only ends one, and none reaches into the spans of known formats."""
+    for m in CANDIDATE.finditer(text):
+        start, stop = m.span()
+        gaps = []
+        for s, e, _ in sorted(x for x in spans if x[0] < stop and start < x[1]):
+            gaps.append((start, s))
+            start = max(start, e)
+        for a, z in [*gaps, (start, stop)]:
+            for part in PART.finditer(text, a, max(a, z)):
+                end = part.end()
+                while end < z and text[end] == "=":
+                    end += 1
+                if PART.match(text, end):  # = between name and value
+                    end = part.end()
+                if end - part.start() >= LEAST:
+                    yield part.start(), end
+
+
 def tail(z: float) -> float:
     """P(N > z)."""
     return 0.5 * math.erfc(z / math.sqrt(2))
@@ -56,17 +81,20 @@ def battery(s: str) -> tuple[str, float] | None:
     """Encoding and joined p-value of one string; None if it is of no encoding or shows a single class of characters."""
     kind, size = next(((n, k) for n, k, p in ENCODINGS if p.fullmatch(s)), (None, 0))
     s = s.rstrip("=")
-    if not kind or not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s):
+    classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in s]
+    if not kind or len(set(classes)) < 2:
         return None
     n = len(s)
     counts = Counter(s)
     # written text: a few characters carry most of it; the even string has chi-squared near size - 1
     chi = sum(c * c for c in counts.values()) * size / n - n
     even = tail((n * 0.045 * size - n + size - 1 - chi) / math.sqrt(2 * (size - 1) + 4 * n * 0.02 * size))
-    classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in s]
     share = [v / n for v in Counter(classes).values()]
     changes = sum(a != b for a, b in zip(classes, classes[1:]))  # noqa: B905
     differ = 1 - sum(x * x for x in share)
+    if "d" not in classes:  # names of many words: a word's first capital and what joins words are no change
+        case = [c.isupper() for c in FIRST.sub("a", JOINS.sub("", s))]
+        changes = sum(a != b for a, b in zip(case, case[1:]))  # noqa: B905
     # written text changes class rarely: a tenth of its places
     runs = tail((changes - 0.1 * (n - 1)) / math.sqrt((n - 1) * 0.09)) if differ else 1.0
     values = [ord(c) for c in s]
@@ -99,11 +127,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                 spans = base_spans(t)
                 base.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
                 found = []
-                for m in CANDIDATE.finditer(t):
-                    if any(s < m.end() and m.start() < e for s, e, _ in spans):
-                        continue
-                    if got := battery(m[0]):
-                        found.append({"start": m.start(), "end": m.end(), "stratum": stratum(got[0], len(m[0])), "bin": min(int(-4 * math.log10(max(got[1], 1e-300))), BINS - 1)})
+                for s, e in candidates(t, spans):
+                    if got := battery(t[s:e]):
+                        found.append({"start": s, "end": e, "stratum": stratum(got[0], e - s), "bin": min(int(-4 * math.log10(max(got[1], 1e-300))), BINS - 1)})
                 tested.append(found)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(base, pa.list_(one)), pa.array(tested, pa.list_(two))], names=["doc_id", "base", "tested"])
 

@@ -230,6 +230,26 @@ def test_secrets(spark):
     assert got[10] == [] and got[11] == []
 
 
+def test_secrets_named_and_of_letters(spark):
+    rng = random.Random(11)
+
+    def made(n, alphabet="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rows, keys = [], []
+    for form in ("AWS_KEY={}", "x AccountKey={}== y", "https://h.example/f?sig={}&x=1", "{}", "deadbeefdeadbeef01{}", "{}=deadbeefdeadbeef01"):
+        for k in range(8):
+            key = "Z" + made(38, letters) + "Q" if form == "{}" else "Z" + made(38) + "Q"
+            rows.append(form.format(key))
+            keys.append(key + "==" * ("==" in form))
+    got = {r.doc_id: r.spans for r in secrets_scan.find_secrets(frame(spark, rows)).collect()}
+    assert [[rows[k][x["start"] : x["end"]] for x in got[k] if x["kind"] == "random"] for k in range(len(rows))] == [[k] for k in keys]
+    words = ["CamelCaseNamesOfManyWords", "some_long_name_of_a_thing", "-" * 40, "=" * 40, "a_long_setting_name_here=false", "/usr/share/dictionaries/english"]
+    assert all(not r.spans for r in secrets_scan.find_secrets(frame(spark, words)).collect())
+    assert list(secrets_scan.candidates("a" * 18 + "==", [])) == [(0, 20)]
+
+
 def test_token_segments(spark, docs, texts):
     ids = np.random.default_rng(2).integers(0, 49408, 5000).astype(np.int32)
     for x in (ids, ids[:1], ids[:0], np.repeat(ids[:3], 1500)):
