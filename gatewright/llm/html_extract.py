@@ -2,12 +2,17 @@
 
 Markup is stripped into lines, one for each block element; scripts, styles and
 the like leave nothing, and menus, headers, footers, sidebars, notices, adverts,
-forms and comment sections (by element, role, class or id) leave empty lines.
+forms, comment sections (by element, role, or whole class or id) and hidden
+elements leave empty lines.  An element that holds most of the page's text
+outside links is none of these, unless an article element stands outside all
+such elements and has a fair share of its text, or any if it is a header, footer
+or the like by element.
 The text lengths of WINDOW consecutive lines are summed; where the sum surges
 from nothing text begins, and where it dives to nothing it ends.  Of the
 stretches between surge and dive those that belong to an article element are
-the main text; a page without one gives its stretches that hold a fair share of
-the largest one's text and are not mostly links.
+the main text; a page without one, or with more text in one stretch outside than
+in any of them, gives its stretches that hold a fair share of the largest one's
+text, and the shorter ones between or next to these; none that is mostly links.
 
 Scale: a map over rows without a shuffle; each page is handled alone, in time
 and memory in proportion to its length.
@@ -20,7 +25,7 @@ repeat give equal results; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -37,36 +42,60 @@ _TOKEN = re.compile(
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
 _VOID = set("area base br col embed hr img input link meta source track wbr param".split())
 _DROP = set("nav header footer aside form menu button dialog fieldset".split())
-_ROLE = re.compile(r"""\brole\s*=\s*["']?(navigation|banner|contentinfo|complementary|search|alert|dialog|form|menu|menubar)\b|\bhidden\b|\baria-hidden\s*=\s*["']?true""", re.I)
-_NAME = re.compile(r"""\b(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_FURNITURE = set("nav header footer aside menu button".split())
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ROLES = set("navigation banner contentinfo complementary search alert dialog alertdialog form menu menubar".split())
+#: A class or id names boilerplate if it has such a word and no words but these and _BESIDE ("cookie-notice", not "has-sidebar").
 _BOILER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|signup|login|nav|navbar|navigation|menus?|breadcrumbs?|header|masthead|footer|sidebars?|aside|widgets?|related|recommend\w*|share|sharing|social|comments?|commentlist|disqus|respond|replies|reply|pagination|pager|toolbar|skip|copyright)(?:$|[\s_-])",
+    r"ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|signup|login|nav|navbar|navigation|menus?|breadcrumbs?|header|masthead|footer|sidebars?|aside|widgets?|related|recommend\w*|share|sharing|social|comments?|commentlist|disqus|respond|replies|reply|pagination|pager|toolbar|skip|copyright",
     re.I,
 )
+_BESIDE = set("site page global main primary secondary top bottom left right upper lower list links link item items bar box area block section group buttons button icons form thread title text posts articles stories to and us my the".split())
 _ARTICLE = {"article", "main"}
 
 
+def names_boilerplate(name: str) -> bool:
+    words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+    found = [bool(_BOILER.fullmatch(w)) for w in words]
+    return any(found) and all(f or w.lower() in _BESIDE for f, w in zip(found, words, strict=True))
+
+
+def is_boilerplate(tag: str, attrs: str) -> bool:
+    """Whether an element is boilerplate by its tag, role, hidden state, class or id."""
+    if tag in _DROP:
+        return True
+    if not attrs or tag in {"html", "body"} or tag in _ARTICLE:
+        return False
+    has: dict[str, str] = {}
+    for name, *value in _ATTR.findall(attrs):
+        has.setdefault(name.lower(), "".join(value))
+    if "hidden" in has or has.get("aria-hidden", "").strip().lower() == "true" or _ROLES.intersection(has.get("role", "").lower().split()):
+        return True
+    return any(names_boilerplate(x) for x in [*has.get("class", "").split(), *has.get("id", "").split()])
+
+
 def lines_of(html: str) -> list[tuple[str, int, int]]:
     """(text, characters within links, number of the article element it lies in or 0) of each line; boilerplate leaves empty lines."""
-    out: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, boilerplate, article
-    parts: list[str] = []
-    link_chars = articles = links = 0
-    drop, article = False, 0
+    lines: list[tuple[list[tuple[str, int, bool]], int]] = []
+    stack: list[tuple[str, int, int]] = []  # tag, boilerplate element, article
+    parts: list[tuple[str, int, bool]] = []  # text, the innermost boilerplate element it lies in or 0, whether in a link
+    parent, size, furniture = [0], [0], [False]  # of boilerplate elements; the size leaves out links
+    clear: dict[int, int] = {}  # text of article elements outside boilerplate
+    articles = links = 0
+    boiler, article = 0, 0
 
     def close() -> None:
-        nonlocal link_chars
-        text = " ".join(unescape("".join(parts)).split())
-        out.append((text, link_chars, article))
-        parts.clear()
-        link_chars = 0
+        nonlocal parts
+        lines.append((parts, article))
+        parts = []
 
     def add(text: str) -> None:
-        nonlocal link_chars
-        if not drop and text:
-            parts.append(text)
-            if links:
-                link_chars += len(text.strip())
+        if text:
+            parts.append((text, boiler, bool(links)))
+            if not links:
+                size[boiler] += len(text.strip())
+                if article and not boiler:
+                    clear[article] = clear.get(article, 0) + len(text.strip())
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -99,12 +128,26 @@ def lines_of(html: str) -> list[tuple[str, int, int]]:
                         break
             if tag in _ARTICLE:
                 articles += 1
-            names = " ".join(x for g in _NAME.findall(m["attrs"]) for x in g if x) if m["attrs"] else ""
-            boiler = tag in _DROP or bool(m["attrs"] and tag not in {"html", "body"} and tag not in _ARTICLE and (_ROLE.search(m["attrs"]) or names and _BOILER.search(names)))
-            stack.append((tag, drop or boiler, articles if tag in _ARTICLE else article))
-        drop, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            within = stack[-1][1] if stack else 0
+            if is_boilerplate(tag, m["attrs"]):
+                parent.append(within)
+                size.append(0)
+                furniture.append(tag in _FURNITURE)
+                within = len(parent) - 1
+            stack.append((tag, within, articles if tag in _ARTICLE else stack[-1][2] if stack else 0))
+        boiler, article = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
     add(html[at:])
     close()
+    for k in range(len(parent) - 1, 0, -1):
+        size[parent[k]] += size[k]
+    drop = [False]
+    best = max(clear.values(), default=0)
+    for k in range(1, len(parent)):  # what holds most of the page's text is no boilerplate, whatever its name, unless an article stands beside it
+        drop.append(drop[parent[k]] or 2 * size[k] <= size[0] or best >= (1 if furniture[k] else MIN_SHARE * size[k]))
+    out = []
+    for line, number in lines:
+        kept = [(t, a) for t, k, a in line if not drop[k]]
+        out.append((" ".join(unescape("".join(t for t, _ in kept)).split()), sum(len(t.strip()) for t, a in kept if a), number))
     return out
 
 
@@ -126,14 +169,26 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
             j += 1
         stretches.append(range(i, min(j, n)))
         i = j
-    if any(size[i] and lines[i][2] for s in stretches for i in s):
-        return "\n".join(lines[i][0] for s in stretches for i in s if size[i] and lines[i][2])
-    def weight(s: range) -> int:
+
+    def weight(s: Iterable[int]) -> int:
+        s = list(s)
         text = sum(size[i] for i in s)
         return text if sum(lines[i][1] for i in s) <= LINKS * text else 0
 
-    most = max((weight(s) for s in stretches), default=0)
-    return "\n".join(lines[i][0] for s in stretches if most and weight(s) >= MIN_SHARE * most for i in s if size[i])
+    inside: dict[int, list[int]] = {}
+    for s in stretches:
+        for i in s:
+            if size[i] and lines[i][2]:
+                inside.setdefault(lines[i][2], []).append(i)
+    outside = max((weight(i for i in s if not lines[i][2]) for s in stretches), default=0)
+    if inside and max(map(weight, inside.values())) >= outside:
+        return "\n".join(lines[i][0] for i in sorted(i for s in inside.values() for i in s))
+    weights = [weight(s) for s in stretches]
+    most = max(weights, default=0)
+    large = [k for k, w in enumerate(weights) if most and w >= MIN_SHARE * most]
+    # short stretches between large ones or next to them are part of the text, unless they are mostly links
+    kept = [k for k, w in enumerate(weights) if large and w and large[0] - 1 <= k <= large[-1] + 1]
+    return "\n".join(lines[i][0] for k in kept for i in stretches[k] if size[i])
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
