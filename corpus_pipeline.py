@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright.llm.bpe import round_trip
+from gatewright.llm.common import cut
 from gatewright.llm.decontaminate import decontaminate
 from gatewright.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from gatewright.llm.minhash import near_duplicates
@@ -38,9 +39,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one of smallest id."""
-    kept = near_duplicates(docs, words=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), docs["doc_id"] == F.col("kept_id"), "left_semi").select(*COLUMNS)
+    """One document of each group of near-duplicates stays: the one of smallest (id, text), those without id last.
+
+    Rows of one id (or none) are told apart by their texts; of rows that repeat wholly one stays, blank ones all do.
+    """
+    found = near_duplicates(docs, words=5, percent=80).where("kept")
+    blank = (F.col("n_shingles") == 0).alias("blank")
+    kept = cut(found.groupBy(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"), blank).agg(F.count("*").alias("copies")))
+    same = docs["doc_id"].eqNullSafe(F.col("kept_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("kept_fp"))
+    if not kept.where("copies > 1 and not blank").limit(1).count():
+        return docs.join(kept.hint("shuffle_hash"), same, "left_semi").select(*COLUMNS)
+    rows = docs.join(kept.hint("shuffle_hash"), same)
+    own = F.when(F.col("blank"), F.monotonically_increasing_id())
+    return rows.withColumn("own", own).dropDuplicates(["kept_id", "kept_fp", "own"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,9 +20,9 @@ With 28 bands of 7 samples a pair of similarity 0.85 shares no bucket with a
 probability of 2e-5, and the sketch bound rejects it with one below 1e-6.
 
 Cases: null, empty or blank text has an empty set, size 0, and is linked with
-nothing; fewer words than a shingle make one shingle of all; rows that share a
-doc_id are one vertex of the links (each row is returned with its own size);
-an empty table gives an empty result.
+nothing; fewer words than a shingle make one shingle of all; a vertex of the
+links is a set, whatever the ids, so that different texts of one doc_id or of
+none are linked and kept each for itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -88,8 +88,8 @@ def band_hashes(sample: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """doc_id, n (size), f1 and f2 (fingerprint), bands and sketch of each row."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """doc_id, fp, n (size), f1 and f2 (fingerprint), bands and sketch of each row."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -104,12 +104,12 @@ def signatures(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame
                     bands.append(band_hashes(m))
                     sketch.append(odd_sketch(m))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "f1", "f2", "bands", "sketch"],
+                    [b.column("doc_id"), b.column("fp"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
+                    names=["doc_id", "fp", "n", "f1", "f2", "bands", "sketch"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n bigint, f1 bigint, f2 bigint, bands array<bigint>, sketch array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {kind}, fp bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -142,12 +142,21 @@ def sizes_fit(percent: int) -> Column:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row; links are sets with 100 * intersection >= percent * union."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """doc_id, n_shingles, component_id, fp (of the text) and kept of each row; links are sets with 100 * intersection >= percent * union.
+
+    component_id is the smallest doc_id of the component, null only if all are
+    null; of a component the document of smallest (doc_id, fp) is kept, null ids last.
+    """
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("fp", F.xxhash64("text"))
     signed = cut(signatures(source, "doc_id", "text", words))
-    classes = cut(signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")))
-    reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2", "n"), ["doc_id", "f1", "f2", "n"], "left_semi").dropDuplicates(["doc_id", "f1", "f2"])
-    reps = cut(reps.select(F.col("doc_id").alias("id"), "n", "bands", "sketch"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(first).alias("rep"))
+    # cut once, so that the ids stay
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
+    of_rep = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("fp") == F.col("rep_fp"))
+    named = classes.select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.fp").alias("rep_fp"), "id", F.col("f1").alias("f1_"), F.col("f2").alias("f2_"), F.col("n").alias("n_"))
+    reps = signed.join(named, of_rep & (F.col("f1") == F.col("f1_")) & (F.col("f2") == F.col("f2_")) & (F.col("n") == F.col("n_")))
+    reps = cut(reps.select("id", "rep_id", "rep_fp", "n", "bands", "sketch").dropDuplicates(["id"]))
     light = reps.select("id", "n", "sketch")
 
     placed = reps.select("id", F.posexplode_outer("bands").alias("band", "key"))
@@ -165,7 +174,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return two.where(sizes_fit(percent) & (ones("s_a", "s_b") <= most_ones(percent))).select("a", "b")
 
     def full_sets(ids: DataFrame) -> DataFrame:
-        texts = source.withColumnRenamed("doc_id", "id").join(broadcast_if_small(cut(ids.distinct())), "id", "left_semi")
+        wanted = cut(reps.select("id", "rep_id", "rep_fp").join(ids.distinct(), "id"))
+        texts = source.join(broadcast_if_small(wanted), of_rep).select("id", "text")
         return cut(sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
 
     def linked(x: str, y: str) -> Column:
@@ -186,7 +196,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .where("parts > 1").select("band", "key", "main")
     )
     doubtful = cut(labelled.join(mixed, ["band", "key"]).where("main is not null"))
-    known = reps.join(full_sets(doubtful.select("id")), "id")
+    known = reps.drop("rep_id", "rep_fp").join(full_sets(doubtful.select("id")), "id")
     placed_full = doubtful.join(known, "id")
     outside = placed_full.where("component <> main").select("band", "key", *[F.col(c).alias(f"{x}_a") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
     others = placed_full.select("band", "key", "main", *[F.col(c).alias(f"{x}_b") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
@@ -198,7 +208,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     more = cut(near.groupBy(F.col("id_a").alias("a"), "c_b").agg(F.min("id_b").alias("b")).select("a", "b"))
     if more.limit(1).count():
         labels = connected_components(links.union(more))
-    named = classes.join(labels, classes["rep"] == labels["id"], "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("component"))
-    return signed.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    ends = labels.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("least"))
+    ends = labels.join(ends, "component").select("id", "least")
+    firsts = classes.join(ends, "id", "left").select("f1", "f2", "n", F.coalesce("least", "rep").alias("least"))
+    alone = F.col("least").isNull()
+    return signed.select("doc_id", "fp", "n", "f1", "f2").join(firsts, ["f1", "f2", "n"], "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        "fp",
+        (alone | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("fp") == F.col("least.fp")))).alias("kept"),
     )

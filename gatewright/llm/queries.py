@@ -68,7 +68,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,25 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {k: (len(sets[k]), find(k)) for k in range(len(texts))}
 
 
+def test_near_dedup_of_null_and_shared_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    t = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(rng.randrange(99)) for _ in range(120)) for _ in range(7)]
+    near = [x + " end" for x in t]
+    rows = [(2, t[0]), (5, near[0]), (5, t[1]), (6, t[2]), (7, t[2]), (7, t[3]), (None, t[4]), (None, t[5]), (None, t[5]), (None, near[3]), (None, ""), (None, None), (8, near[5]), (9, t[6]), (9, near[6])]
+    df = frame(spark, [x for _, x in rows], [k for k, _ in rows])
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, SF).collect())
+    last = {r.text for r in minhash.near_duplicates(df).where("kept").join(df.withColumn("fp", F.xxhash64("text")), ["doc_id", "fp"]).where("doc_id = 9").collect()}
+    want = [(2, t[0]), (5, t[1]), (6, t[2]), (7, t[3]), (None, t[4]), (8, near[5]), (None, ""), (None, None)]
+    assert len(last) == 1 and got == Counter([*want, (9, *last)])
+    single = [r for k, r in enumerate(rows) if k != 8]
+    df = frame(spark, [x for _, x in single], [k for k, _ in single])
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, SF).collect()) == got
+    ids = Counter((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).where("n_shingles > 0").collect())
+    assert ids == Counter([(2, 2, True), (5, 2, False), (5, 5, True), (6, 6, True), (7, 6, False), (7, 7, True), (None, None, True), (None, 8, False), (None, 7, False), (8, 8, True), (9, 9, True), (9, 9, False)])
+
+
 def test_odd_sketch_bound_keeps_similar_pairs():
     rng = np.random.default_rng(0)
     with np.errstate(over="ignore"):
