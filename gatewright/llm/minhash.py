@@ -2,7 +2,7 @@
 
 A document's set is its distinct shingles, as 64-bit hashes.  One pass makes,
 for each document, the size and a 128-bit fingerprint of its set, the hashes of
-BANDS bands of ROWS MinHash samples, and an odd sketch: the samples folded into
+bands of MinHash samples, and an odd sketch: the samples folded into
 a bitmap of parities, so that the ones in the XOR of two bitmaps tell how many
 samples differ.  Equal sets become a class with one representative; the rest
 works on representatives.
@@ -16,8 +16,10 @@ join whose condition holds the size and sketch bounds and then the full sets, so
 that only links come out of it.  No link between components that share a bucket
 is lost, and a bucket of copies costs a row a member.
 
-With 28 bands of 7 samples a pair of similarity 0.85 shares no bucket with a
-probability of 2e-5, and the sketch bound rejects it with one below 1e-6.
+Bands and rows follow from the threshold: a pair at it shares no bucket with a
+probability of 2e-5 at most (MISS), and the sketch bound rejects it with one below
+1e-6.  For 0.85 (op7_minhash) these are 28 bands of 7 samples, missing 2.0e-5; for
+0.80 (the pipeline and the default) 36 of 6, missing 1.8e-5.
 
 Cases: null, empty or blank text has an empty set, size 0, and is linked with
 nothing; fewer words than a shingle make one shingle of all; a vertex of the
@@ -27,7 +29,9 @@ none are linked and kept each for itself; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +41,24 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, cut
 from .components import connected_components
 
-BANDS, ROWS, SKETCH_LONGS = 28, 7, 8
-_SAMPLES = BANDS * ROWS
-_rng = np.random.default_rng(20240229)
-_MUL = _rng.integers(0, 1 << 32, _SAMPLES, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 1 << 32, _SAMPLES, dtype=np.uint32)
-_SALT = _rng.integers(0, 1 << 63, _SAMPLES, dtype=np.uint64)
+#: A pair at the threshold shares no bucket with this probability at most; samples that a document has at most for that.
+MISS, MOST_SAMPLES, SKETCH_LONGS = 2e-5, 256, 8
+
+
+@cache
+def layout(percent: int) -> tuple[int, int]:
+    """Bands, and rows of each, for links of this similarity: as many rows as MOST_SAMPLES allow with the bands that keep MISS."""
+    s = min(max(percent, 1), 99) / 100
+    bands = [math.ceil(math.log(MISS) / math.log1p(-(s**r))) for r in range(1, 17)]
+    return next(((b, r) for r, b in reversed(list(enumerate(bands, 1))) if b * r <= MOST_SAMPLES), (bands[0], 1))
+
+
+@cache
+def _random(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors, addends and salts of n samples."""
+    rng = np.random.default_rng(20240229)
+    mul = rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
+    return mul, rng.integers(0, 1 << 32, n, dtype=np.uint32), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,27 +83,30 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(acc)
 
 
-def samples(s: np.ndarray) -> np.ndarray:
+def samples(s: np.ndarray, percent: int = 85) -> np.ndarray:
     """The MinHash samples of a set."""
-    h, out = (s >> np.uint64(32)).astype(np.uint32), np.full(_SAMPLES, 0xFFFFFFFF, np.uint32)
+    mul, add, _ = _random(math.prod(layout(percent)))
+    h, out = (s >> np.uint64(32)).astype(np.uint32), np.full(len(mul), 0xFFFFFFFF, np.uint32)
     for at in range(0, len(h), 2048):
-        np.minimum(out, (h[at : at + 2048, None] * _MUL + _ADD).min(axis=0), out=out)
+        np.minimum(out, (h[at : at + 2048, None] * mul + add).min(axis=0), out=out)
     return out
 
 
 def odd_sketch(sample: np.ndarray) -> np.ndarray:
-    bits = np.bincount(mix(sample.astype(np.uint64) + _SALT) % np.uint64(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
+    salt = _random(len(sample))[2]
+    bits = np.bincount(mix(sample.astype(np.uint64) + salt) % np.uint64(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def band_hashes(sample: np.ndarray) -> np.ndarray:
-    acc = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + sample[k::ROWS].astype(np.uint64))
+def band_hashes(sample: np.ndarray, percent: int = 85) -> np.ndarray:
+    bands, rows = layout(percent)
+    acc = np.arange(bands, dtype=np.uint64)
+    for k in range(rows):
+        acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + sample[k::rows].astype(np.uint64))
     return acc.view(np.int64)
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+def signatures(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     """doc_id, fp, n (size), f1 and f2 (fingerprint), bands and sketch of each row."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), "fp")
 
@@ -100,8 +119,8 @@ def signatures(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame
                     n.append(len(s))
                     f1.append(int(s.sum(dtype=np.uint64).astype(np.int64)))
                     f2.append(int(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
-                    m = samples(s) if len(s) else np.zeros(_SAMPLES, np.uint32)
-                    bands.append(band_hashes(m))
+                    m = samples(s, percent) if len(s) else np.zeros(math.prod(layout(percent)), np.uint32)
+                    bands.append(band_hashes(m, percent))
                     sketch.append(odd_sketch(m))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("fp"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
@@ -126,8 +145,8 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
 def most_ones(percent: int) -> int:
     """The most ones that the XOR of two sketches has, but for a chance below 1e-6, at this similarity."""
-    p = 1 - percent / 100
-    differ = _SAMPLES * p + 5 * (_SAMPLES * p * (1 - p)) ** 0.5
+    p, n = 1 - percent / 100, math.prod(layout(percent))
+    differ = n * p + 5 * (n * p * (1 - p)) ** 0.5
     size = 64 * SKETCH_LONGS
     ones = size / 2 * (1 - (1 - 2 / size) ** (2 * differ))
     return int(ones + 10)
@@ -148,7 +167,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null; of a component the document of smallest (doc_id, fp) is kept, null ids last.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("fp", F.xxhash64("text"))
-    signed = cut(signatures(source, "doc_id", "text", words))
+    signed = cut(signatures(source, "doc_id", "text", words, percent))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
     classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(first).alias("rep"))
     # cut once, so that the ids stay
@@ -209,7 +228,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if more.limit(1).count():
         labels = connected_components(links.union(more))
     ends = labels.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("least"))
-    ends = labels.join(ends, "component").select("id", "least")
+    ends = labels.join(broadcast_if_small(cut(ends)), "component").select("id", "least")
     firsts = classes.join(ends, "id", "left").select("f1", "f2", "n", F.coalesce("least", "rep").alias("least"))
     alone = F.col("least").isNull()
     return signed.select("doc_id", "fp", "n", "f1", "f2").join(firsts, ["f1", "f2", "n"], "left").select(

@@ -128,6 +128,13 @@ def test_odd_sketch_bound_keeps_similar_pairs():
             assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= minhash.most_ones(85)
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 90, 99])
+def test_bands_keep_the_miss_rate_at_each_threshold(percent):
+    bands, rows = minhash.layout(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 2e-5 and bands * rows <= 256
+    assert len(minhash.band_hashes(minhash.samples(np.arange(9, dtype=np.uint64), percent), percent)) == bands
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     assert {r.id: r.component for r in connected_components(links).collect()} == {k: 0 for k in range(21)} | {100: 100, 101: 100, 102: 100}
