@@ -343,3 +343,56 @@ def test_pipeline_keeps_columns_and_removes_copies(spark):
     ids = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, d).collect()]
     by_text = Counter(r.text for r in docs.where(F.col("doc_id").isin(ids)).collect())
     assert max(by_text.values()) == 1
+
+
+def test_pipeline_run_equals_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    import tiktoken
+
+    rng = random.Random(21)
+    clean, foul = [f"w{k}" for k in range(300)], [f"vile{k}" for k in range(8)]
+
+    def prose(n, words=clean):
+        return " ".join(rng.choice(words) for _ in range(n)) + "."
+
+    item = prose(14)
+    texts = [prose(60) for _ in range(60)]
+    toxic = set(range(60, 100))
+    texts += [prose(4) + "\n" + prose(30, foul) for _ in toxic]
+    texts += [f"Shared by many documents\n{prose(50)}" for _ in range(12)] + ["shared by MANY documents "]
+    texts += [texts[3], f"{texts[5]} end", f"{texts[100]} end", f"{prose(40)} {item[:-1].upper()} {prose(40)}", f"{prose(40)} {' '.join(item.split()[:9])} {prose(40)}", None, ""]
+    frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, 1, int(k in toxic)) for k in range(100) if k % 2], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256, list(r.ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+    docs = {k: t or "" for k, t in enumerate(texts) if k not in toxic}
+    holders = {}
+    for k, t in docs.items():
+        for key in {x.strip().lower() for x in t.split("\n")} - {""}:
+            holders.setdefault(key, []).append(k)
+    lined = {}
+    for k, t in docs.items():
+        lines = t.split("\n")
+        left = [x for x in lines if len(holders.get(x.strip().lower(), [])) < 10 or holders[x.strip().lower()][0] == k]
+        if len(left) == len(lines) or "".join(left).strip():
+            lined[k] = "\n".join(left)
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for k, t in lined.items()}
+    root = {k: k for k in sets}
+    for a in sets:
+        for b in sets:
+            c = len(sets[a] & sets[b])
+            if a < b and c and 100 * c >= 80 * (len(sets[a]) + len(sets[b]) - c):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if v == old else v for k, v in root.items()}
+    marks = re.findall("[a-z0-9]+", item.lower())
+    leaks = [" ".join(marks[i : i + 10]) for i in range(len(marks) - 9)]
+    want = {k: t for k, t in lined.items() if root[k] == k and not any(f" {x} " in f" {' '.join(re.findall('[a-z0-9]+', t.lower()))} " for x in leaks)}
+    assert {112, 113, 114, 115, 116} & set(want) == set() and {*range(60), *range(100, 112), 117, 118, 119} == set(want)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.encoder(bpe.RANKS).ranks, special_tokens={})
+    assert set(got) == set(want)
+    for k, t in want.items():
+        n, _, decoded, ids = got[k]
+        assert ids == lib.encode_ordinary(t) and n == len(ids)
+        assert decoded == hashlib.sha256(t.encode()).hexdigest()
