@@ -12,7 +12,8 @@ first LENGTH bytes, which equal suffixes share.  Consecutive suffixes of a
 document with one such anchor form a run.  A run equal to an earlier one goes
 whole.  A run that is the first of its kind goes on only if its anchor has other
 kinds of runs too; then its bytes are fetched, and the suffixes of an anchor are
-sorted and each marked that has an equal one before it.
+sorted by a 64-bit hash of their first LENGTH bytes and each marked that has an
+equal one before it: only equality matters, so no suffix order is built.
 
 Scale: about one row for 35 bytes is shuffled, once; texts are shuffled twice
 (to fetch bytes, to remove ranges).  Equal runs within an Arrow batch are
@@ -193,7 +194,7 @@ def mark(sorted_runs: DataFrame, length: int) -> DataFrame:
         row = np.repeat(np.arange(len(w)), w)
         off = np.arange(len(h)) - np.repeat(np.cumsum(w) - w, w)
         group = np.array(t.column("v")).view(U)[row]
-        o = np.lexsort((np.arange(len(h)), h, group))  # suffix order, then position: rows come by document and place
+        o = np.lexsort((np.arange(len(h)), h, group))  # order of hashes, then position: rows come by document and place
         before = np.concatenate(([False], (h[o][1:] == h[o][:-1]) & (group[o][1:] == group[o][:-1])))
         seen = np.zeros(len(h), bool)
         seen[o] = before
