@@ -13,20 +13,24 @@ BROADCAST_ROWS = 200_000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-BLANK = r"[\x20\x09-\x0D]"
+BLANK, BLANKS = r"[\x20\x09-\x0D]", " \t\n\x0b\x0c\r"
+#: Characters beyond ASCII that lower-casing changes, and those the Java version may not know yet.
+OTHER_CAPITALS = r"[\x{80}-\x{10FFFF}&&[\p{Lu}\p{Lt}\p{IsUppercase}\p{Cn}]]"
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where the session names none."""
+    """The folder that all executors share: spark.checkpoint.dir, or what the context was given.
+
+    Without either, a session in local mode gets a temporary folder of its
+    machine; on a cluster executors would not share one, so that is an error.
+    """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(folder)
-        return folder
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return sc.getCheckpointDir()
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return folder or sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -67,12 +71,13 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z and nothing else; texts of ASCII only take the quick way."""
-    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    """A-Z to a-z and nothing else; texts without other capitals take the quick way."""
+    quick = (F.length(text) == F.octet_length(text)) | ~text.rlike(OTHER_CAPITALS)
+    return F.when(quick, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def bound(value: Column, use) -> Column:

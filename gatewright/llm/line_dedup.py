@@ -1,19 +1,23 @@
 """Line deduplication with DataFrame functions only.
 
-Lines (ends stripped, A-Z lower-cased) are hashed to 128 bits, dealt out by
-range of (hash, salt) and sorted there by document and position, so that each
-run of equal lines streams past in order: its first row is the first occurrence
-and its length the number of documents.  The salt splits a line that a third of
-all documents hold over SALTS runs; one row of each run goes on, so that the
-second, global step sees SALTS rows of a line at most.  The answer is a bitmap
-of kept lines for each document that loses any, compressed to runs; text is
-only touched when a caller asks for it.
+Lines (ends stripped, A-Z lower-cased) are hashed once to 128 bits and the
+hashes stored.  They are dealt out by range of (hash, salt) and sorted there by
+document and position, so that each run of equal lines streams past in order:
+its first row is the first occurrence and its length the number of documents.
+Hashes are even, so ranges are cut by rule and need no sampling pass.  The salt
+turns the hash's upper bits, so that a line that a third of all documents hold
+stands in SALTS ranges; one row of each run goes on, and the second, global step
+sees SALTS rows of a line at most.  The answer is a bitmap of kept lines for
+each document that loses any, compressed to the runs of its dropped lines; text
+is only touched again when a caller asks for it.
 
 Cases: null or empty text is one empty line, which is kept, as are all blank
 lines; a line that a document repeats counts once for it, with its first
 position; rows that share doc_id and text are one document given twice (each is
 returned); rows that share only doc_id are different documents, ordered by a
-hash of their text; an empty table gives an empty result.
+hash of their text; other columns of the input stay, but for such as are called
+n_lines, n_dropped or kept_text, which are replaced; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -21,9 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound, broadcast_if_small, cut, lower_ascii, parallelism, strip_blanks
+from .common import bound, broadcast_if_small, cut, keep, lower_ascii, parallelism, strip_blanks
 
-SALTS = 64
+SALT_BITS = 6
+SALTS = 1 << SALT_BITS
 
 
 def line_key(line: Column) -> Column:
@@ -35,7 +40,7 @@ def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     t = F.coalesce(F.col(text), F.lit(""))
     return (
         docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("fp"), F.posexplode_outer(F.split(t, "\n")).alias("pos", "line"))
-        .withColumn("key", line_key(F.col("line")))
+        .select("doc_id", "fp", "pos", line_key(F.col("line")).alias("key"))
         .where(F.col("key") != "")
         .select("doc_id", "fp", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
@@ -44,15 +49,18 @@ def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def repeated_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     """h1, h2, n_docs, first (doc_id, fp, pos) of the lines that min_docs documents or more hold."""
     n = parallelism(lines.sparkSession)
-    run = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "fp", "pos")
+    salt = F.pmod(F.xxhash64("doc_id", "fp"), F.lit(SALTS))
+    place = F.floor((F.col("turned") / 2.0**64 + 0.5) * n).cast("int")
+    run = Window.partitionBy("place", "turned", "h2", "h1").orderBy("doc_id", "fp", "pos")
     same_doc = F.lag("fp").over(run).eqNullSafe(F.col("fp")) & F.lag("doc_id").over(run).eqNullSafe(F.col("doc_id")) & F.lag(F.lit(1)).over(run).isNotNull()
     streamed = (
-        lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "fp"), F.lit(SALTS)))
-        .repartitionByRange(n, "h1", "h2", "salt")
-        .sortWithinPartitions("h1", "h2", "salt", "doc_id", "fp", "pos")
+        lines.withColumn("turned", F.col("h1").bitwiseXOR(F.shiftleft(salt, 64 - SALT_BITS)))
+        .withColumn("place", F.least(place, F.lit(n - 1)))
+        .repartitionById(n, "place")
+        .sortWithinPartitions("place", "turned", "h2", "h1", "doc_id", "fp", "pos")
         .withColumn("new_doc", (~same_doc).cast("bigint"))
     )
-    runs = streamed.groupBy("h1", "h2", "salt").agg(F.sum("new_doc").alias("n"), F.min(F.struct("doc_id", "fp", "pos")).alias("first"))
+    runs = streamed.groupBy("place", "turned", "h2", "h1").agg(F.sum("new_doc").alias("n"), F.min(F.struct("doc_id", "fp", "pos")).alias("first"))
     return (
         runs.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first")).where(F.col("n_docs") >= min_docs)
     )
@@ -65,7 +73,7 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     lines of the document are kept.  keep_first: the first occurrence of a line
     (smallest document, then position) stays, and later ones go.
     """
-    lines = hashed_lines(docs, doc_id, text)
+    lines = keep(hashed_lines(docs, doc_id, text))
     repeated = broadcast_if_small(cut(repeated_lines(lines, min_docs)))
     hit = lines.join(repeated, ["h1", "h2"])
     if keep_first:
@@ -79,21 +87,20 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with n_lines, n_dropped and kept_text (the kept lines, joined by one line feed)."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    b = bitmaps.select(F.col("doc_id").alias("id__"), F.col("fp").alias("fp__"), F.col("bitmap").alias("bitmap__"))
-    joined = docs.join(b.hint("shuffle_hash"), F.col(doc_id).eqNullSafe(F.col("id__")) & (F.xxhash64(t) == F.col("fp__")), "left")
-    gone = F.flatten(F.transform("bitmap__", lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1)))
+    rows = docs.select(F.struct("*").alias("row"))
+    t = F.coalesce(F.col("row")[text], F.lit(""))
+    same = F.col("row")[doc_id].eqNullSafe(F.col("doc_id")) & (F.xxhash64(t) == F.col("fp"))
+    joined = rows.join(bitmaps.select("doc_id", "fp", "bitmap").hint("shuffle_hash"), same, "left")
+    gone = F.flatten(F.transform("bitmap", lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1)))
 
     def kept(lines: Column) -> Column:
         at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         return F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n")
 
-    return joined.withColumns(
-        {
-            "n_lines": F.size(F.split(t, "\n")).cast("bigint"),
-            "n_dropped": F.when(F.col("bitmap__").isNull(), F.lit(0)).otherwise(
-                F.aggregate("bitmap__", F.lit(0), lambda a, r: a + r["n"])
-            ).cast("bigint"),
-            "kept_text": F.when(F.col("bitmap__").isNull(), t).otherwise(bound(F.split(t, "\n"), kept)),
-        }
-    ).drop("id__", "fp__", "bitmap__")
+    untouched = F.col("bitmap").isNull()
+    made = {
+        "n_lines": (F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
+        "n_dropped": F.when(untouched, F.lit(0)).otherwise(F.aggregate("bitmap", F.lit(0), lambda a, r: a + r["n"])).cast("bigint"),
+        "kept_text": F.when(untouched, t).otherwise(bound(F.split(t, "\n"), kept)),
+    }
+    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
