@@ -10,8 +10,8 @@ into lanes of consecutive ids, which share its model and are coded in step, a
 range coder for each, so that a step is a few NumPy operations for all lanes.
 
 Where the tokenizer's pattern (SPLIT) never matches across blanks, texts are cut
-at spaces and line feeds, and the library encodes each different word, and what
-else there is, once; pieces are kept by a worker, up to PIECES of them.
+at spaces and line feeds, SLICE bytes of them at a time, and the library encodes
+each different word of a slice, and what else there is, once.
 
 Spark ranges and sorts documents by id, tasks encode segments, and Spark's own
 writer stores each segment as one binary value of a Parquet table in the shared
@@ -30,7 +30,6 @@ their text; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,13 +37,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, parallelism
 
 BLOCK, LANES, STEPS, SEGMENT = 1 << 20, 4096, 256, 4_000_000
-MAGIC = b"GWT2"
+MAGIC = b"GWT3"
 #: Fixed value: the pattern of the tokenizer whose texts may be cut at blanks.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = 24
@@ -65,11 +65,13 @@ class _Model:
         self.step = 0
 
     def predict(self) -> None:
-        """Predictions of each lane, and the mixed odds of the answers: order 2, order 1, neither."""
+        """Predictions of each lane, and the mixed odds of the answers: order 2, order 1, neither; the odds follow the counts every fourth step."""
         self.hash = ((self.two << 16 | self.one) * 0x9E3779B1 >> 16) & (1 << 18) - 1
         a, b = self.pair.take(self.hash), self.last.take(self.one)
         self.p2, self.p1, self.s2, self.s1 = a >> 2, b >> 2, a & 3, b & 3
         self.context = (self.s2 << 2 | self.s1) * 3
+        if self.step % 4 and self.step > 4:
+            return
         parts = (self.answers, self.answers.sum(axis=0, keepdims=True), self.answers.sum(axis=1, keepdims=True), self.answers.sum(axis=(0, 1), keepdims=True))
         mixed = sum((w * x << 10) // x.sum(axis=2, keepdims=True) for w, x in zip((32, 12, 12, 8), parts, strict=True))
         f = 1 + (mixed * ((1 << _ANSWER_BITS) - 3) >> 16).reshape(16, 3)
@@ -91,12 +93,14 @@ class _Model:
         self.id_start = np.cumsum(self.id_size) - self.id_size
         return True
 
-    def update(self, ids: np.ndarray, answer: np.ndarray, rest: np.ndarray) -> None:
-        self.answers += 16 * np.bincount(self.context + answer, minlength=48).reshape(4, 4, 3) - (self.answers >> 4)
-        self.pair[self.hash] = ids << 2 | np.where(self.p2 == ids, np.minimum(self.s2 + 1, 3), 0)
-        self.last[self.one] = ids << 2 | np.where(self.p1 == ids, np.minimum(self.s1 + 1, 3), 0)
-        if len(rest):
-            self.pending.append(ids[rest])
+    def update(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, slot: np.ndarray, others: np.ndarray) -> None:
+        """ids came; whether order 2 and order 1 predicted them, context and answer of each lane, and the ids that neither did."""
+        self.answers += 16 * np.bincount(slot, minlength=48).reshape(4, 4, 3) - (self.answers >> 4)
+        base = ids << 2
+        self.pair[self.hash] = base | np.minimum(self.s2 + 1, 3) * right2
+        self.last[self.one] = base | np.minimum(self.s1 + 1, 3) * right1
+        if len(others):
+            self.pending.append(others)
         self.two, self.one = self.one, ids
         self.step += 1
 
@@ -110,45 +114,47 @@ def _encode_block(ids: np.ndarray) -> bytes:
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     m = _Model(lanes, int(ids.max()) + 1)
-    low, span, at = np.zeros(lanes, np.int64), np.full(lanes, 1 << 2 * _WORD, np.int64), np.zeros(lanes, np.int64)
-    words, every = np.zeros((2 * steps + 1, lanes), np.int32), np.arange(lanes)
-
-    def put(lane: np.ndarray, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        whole = lane is every
-        part = (span if whole else span.take(lane)) >> bits
-        lo, sp = (low if whole else low.take(lane)) + start * part, size * part
+    width = 2 * steps + 2  # words that a lane can need
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << 2 * _WORD, np.int64)
+    words, first = np.zeros(lanes * width, np.int32), np.arange(lanes) * width
+    at = first.copy()  # where each lane's next word goes
+
+    def put(lane: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        part = span[lane] >> bits
+        lo, sp = low[lane] + start * part, size * part
         over = np.flatnonzero(lo > _ALL)
         if len(over):
-            words[at[lane[over]] - 1, lane[over]] += 1  # words that grow too large so are set right at the end
+            words[at[lane][over] - 1] += 1  # words that grow too large so are set right at the end
             lo[over] &= _ALL
         out = np.flatnonzero(sp <= _LOW)
         if len(out):
-            who = lane[out]
-            words[at[who], who] = lo[out] >> _WORD
-            at[who] += 1
-            lo[out] = (lo[out] & _LOW) << _WORD
+            who = out if isinstance(lane, slice) else lane.take(out)
+            ends, place = lo.take(out), at.take(who)
+            words[place] = ends >> _WORD
+            at[who] = place + 1
+            lo[out] = (ends & _LOW) << _WORD
             sp[out] <<= _WORD
-        where = slice(None) if whole else lane
-        low[where], span[where] = lo, sp
+        low[lane], span[lane] = lo, sp
 
     for x in grid:
         m.predict()
         m.fresh()
-        answer = np.where(m.p2 == x, 0, np.where(m.p1 == x, 1, 2))
-        rest = np.flatnonzero(answer == 2)
-        slot = m.context + answer
-        put(every, m.start.take(slot), m.size.take(slot), _ANSWER_BITS)
+        right2, right1 = m.p2 == x, m.p1 == x
+        slot = m.context + np.where(right2, 0, 2 - right1)
+        put(slice(None), m.start.take(slot), m.size.take(slot), _ANSWER_BITS)
+        rest = np.flatnonzero(~(right2 | right1))
+        others = x.take(rest)
         if len(rest):
-            ids_left = x.take(rest)
-            put(rest, m.id_start.take(ids_left), m.id_size.take(ids_left), _ID_BITS)
-        m.update(x, answer, rest)
-    words[at, every] = (low + _LOW) >> _WORD
-    at += 1
-    for k in range(int(at.max()) - 1, 0, -1):
-        words[k - 1] += words[k] >> _WORD
-        words[k] &= _LOW
-    used = np.arange(int(at.max())) < at[:, None]
-    stream = np.ascontiguousarray(words[: used.shape[1]].T[used]).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3]
+            put(rest, m.id_start.take(others), m.id_size.take(others), _ID_BITS)
+        m.update(x, right2, right1, slot, others)
+    words[at] = (low + _LOW) >> _WORD
+    at += 1 - first
+    columns = np.ascontiguousarray(words.reshape(lanes, width)[:, : int(at.max())].T)
+    for k in range(len(columns) - 1, 0, -1):
+        columns[k - 1] += columns[k] >> _WORD
+        columns[k] &= _LOW
+    used = np.arange(len(columns)) < at[:, None]
+    stream = np.ascontiguousarray(columns.T[used]).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3]
     return struct.pack("<III", lanes, steps, len(m.counts)) + at.astype("<u2").tobytes() + stream.tobytes()
 
 
@@ -159,22 +165,23 @@ def _decode_block(data: bytes, n: int) -> np.ndarray:
     size = np.frombuffer(data, "<u2", lanes, 12).astype(np.int64)
     stream = np.frombuffer(data, np.uint8, int(size.sum()) * 3, 12 + 2 * lanes).reshape(-1, 3).astype(np.int64)
     words = np.zeros((lanes, int(size.max()) + 2), np.int64)
-    words[np.arange(words.shape[1]) < size[:, None]] = stream[:, 0] | stream[:, 1] << 8 | stream[:, 2] << 16
+    width = words.shape[1]
+    words[np.arange(width) < size[:, None]] = stream[:, 0] | stream[:, 1] << 8 | stream[:, 2] << 16
     ahead = words[:, 0] << _WORD | words[:, 1]  # how far the code is above the lower end
-    m, span, at = _Model(lanes, vocabulary), np.full(lanes, 1 << 2 * _WORD, np.int64), np.full(lanes, 2)
-    every, last = np.arange(lanes), words.shape[1] - 1
+    words, last = words.ravel(), lanes * width - 1
+    m, span, at = _Model(lanes, vocabulary), np.full(lanes, 1 << 2 * _WORD, np.int64), np.arange(lanes) * width + 2
     grid = np.zeros((steps, lanes), np.int64)
 
-    def take(lane: np.ndarray, part: np.ndarray, ah: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def take(lane: np.ndarray | slice, part: np.ndarray, ah: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         ah, sp = ah - start * part, size * part
         more = np.flatnonzero(sp <= _LOW)
         if len(more):
-            who = lane[more]
-            ah[more] = ah[more] << _WORD | words[who, np.minimum(at[who], last)]
-            at[who] += 1
+            who = more if isinstance(lane, slice) else lane.take(more)
+            place = at.take(who)
+            ah[more] = ah.take(more) << _WORD | words.take(np.minimum(place, last))
+            at[who] = place + 1
             sp[more] <<= _WORD
-        where = slice(None) if lane is every else lane
-        ahead[where], span[where] = ah, sp
+        ahead[lane], span[lane] = ah, sp
 
     for t in range(steps):
         m.predict()
@@ -183,18 +190,18 @@ def _decode_block(data: bytes, n: int) -> np.ndarray:
         part = span >> _ANSWER_BITS
         # a float holds the 48 bits of ahead, and its quotient is exact to more than the bits of part
         v = (ahead / part).astype(np.int64)
-        answer = (v >= m.start.take(m.context + 1)).astype(np.int64) + (v >= m.start.take(m.context + 2))
-        slot = m.context + answer
-        take(every, part, ahead, m.start.take(slot), m.size.take(slot))
-        x = np.where(answer == 0, m.p2, m.p1)
-        rest = np.flatnonzero(answer == 2)
+        slot = m.context + (v >= m.start.take(m.context + 1)) + (v >= m.start.take(m.context + 2))
+        take(slice(None), part, ahead, m.start.take(slot), m.size.take(slot))
+        x = np.where(slot == m.context, m.p2, m.p1)
+        rest = np.flatnonzero(slot == m.context + 2)
+        others = x.take(rest)
         if len(rest):
             part, ah = span.take(rest) >> _ID_BITS, ahead.take(rest)
-            got = ids_of[np.clip((ah / part).astype(np.int64), 0, (1 << _ID_BITS) - 1)].astype(np.int64)
-            take(rest, part, ah, m.id_start.take(got), m.id_size.take(got))
-            x[rest] = got
+            others = ids_of[np.clip((ah / part).astype(np.int64), 0, (1 << _ID_BITS) - 1)].astype(np.int64)
+            take(rest, part, ah, m.id_start.take(others), m.id_size.take(others))
+            x[rest] = others
         grid[t] = x
-        m.update(x, answer, rest)
+        m.update(x, m.p2 == x, m.p1 == x, slot, others)
     return grid.T.reshape(-1)[:n].astype(np.int32)
 
 
@@ -235,19 +242,31 @@ def tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-#: One worker's pieces take 200 MB at most, as each is at most PIECE characters long.
-PIECES, PIECE = 1_000_000, 64
-_known: dict[str, dict[str, bytes]] = {}  # of this worker, by tokenizer
+#: So many bytes of text are cut into pieces at a time (a longer document alone).
+SLICE = 16 << 20
 #: Letters that neither join with what stands beside them nor change in number by lower-casing, then marks without the apostrophe.
-_WORD_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+_WORD_AND_MARKS = "^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
+
+
+class _Pool:
+    """Ids of many strings behind one another: where those of string k start and how many they are."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray):
+        self.ids, self.size = ids.astype(np.int32, copy=False), size
+        self.start = np.cumsum(size) - size
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The ids of these strings, in their order."""
+        n = self.size[which]
+        ends = np.cumsum(n)
+        return self.ids[np.repeat(self.start[which] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
 
 
 class _Encoder:
-    """Ids of whole texts; pieces of up to PIECE characters are kept until there are PIECES of them."""
+    """Ids of whole texts."""
 
     def __init__(self, name: str, end: int):
-        self.tokenizer, self.end = tokenizer(name), np.array([end], np.int32).tobytes()
-        self.known = _known.setdefault(name, {})
+        self.tokenizer, self.end = tokenizer(name), end
         spec = json.loads(self.tokenizer.to_str())
         kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
@@ -257,35 +276,62 @@ class _Encoder:
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+            self.bare = bare_words(name)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.in_pieces:
-            return [np.frombuffer(x + self.end, np.int32) for x in self.whole(texts)]
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*pieces).difference(self.known)
-        if len(self.known) + 2 * len(new) > PIECES:
-            self.known.clear()
-            new = set().union(*pieces)
-        cuts = {p: m for p in new if (m := _WORD_AND_MARKS.fullmatch(p))}
-        self.add_words({m[1].lower() for m in cuts.values()}.difference(self.known))
-        rest = list((new - cuts.keys()) | {m[2] for m in cuts.values()}.difference(self.known))
-        self.known.update(zip(rest, self.whole(rest), strict=True))
-        self.known.update((p, self.known[m[1].lower()] + self.known[m[2]]) for p, m in cuts.items())
-        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, p)) + self.end, np.int32) for p in pieces]
-        for p in [p for p in {*new, *rest, *(m[1].lower() for m in cuts.values())} if len(p) > PIECE]:
-            self.known.pop(p, None)
-        return ids
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def add_words(self, words: set[str]) -> None:
+        ids, lengths = self.all_ids(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(lengths)[:-1])
+
+    def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the number of each text's."""
+        if self.in_pieces:
+            cut = pa.compute.split_pattern(pa.compute.replace_substring(texts, "\n", " "), " ")
+            coded = cut.flatten().dictionary_encode()
+            which, pool = np.array(coded.indices), self.pieces(coded.dictionary)
+            ends = np.concatenate(([0], np.cumsum(pool.size[which])))
+            ids, lengths = pool.take(which), np.diff(ends[np.array(cut.offsets) - cut.offsets[0].as_py()])
+        else:
+            pool = self.whole(texts.to_pylist())
+            ids, lengths = pool.ids, pool.size
+        return np.insert(ids, np.cumsum(lengths), self.end), lengths + 1
+
+    def pieces(self, pieces: pa.Array) -> _Pool:
+        """Ids of each of these different pieces: those of its word and of its marks, or of it as a whole."""
+        both = pa.compute.extract_regex(pieces, _WORD_AND_MARKS)
+        cut = np.array(both.is_valid())
+        word = pa.compute.utf8_lower(both.field("word")).filter(both.is_valid()).dictionary_encode()
+        marks = both.field("marks").filter(both.is_valid()).dictionary_encode()
+        pools = [self.words(word.dictionary), self.whole(marks.dictionary.to_pylist()), self.whole(pieces.filter(both.is_null()).to_pylist())]
+        joined = _Pool(np.concatenate([p.ids for p in pools]), np.concatenate([p.size for p in pools]))
+        parts = np.full((len(pieces), 2), len(joined.size))  # the last string of the pool is empty
+        parts[cut, 0] = np.array(word.indices)
+        parts[cut, 1] = np.array(marks.indices) + len(word.dictionary)
+        parts[~cut, 0] = np.arange(len(pieces) - cut.sum()) + len(word.dictionary) + len(marks.dictionary)
+        joined = _Pool(joined.ids, np.append(joined.size, 0))
+        return _Pool(joined.take(parts.ravel()), joined.size[parts].sum(axis=1))
+
+    def whole(self, texts: list[str]) -> _Pool:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return _Pool(np.array([x for i in ids for x in i], np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def words(self, words: pa.Array) -> _Pool:
         """Each word of letters only has one id that ends a word, its last; so all are encoded as one text."""
-        words = list(words)
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
-        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        data = ids.tobytes()
-        self.known.update(zip(words, (data[a:b] for a, b in zip([0, *stops], stops)), strict=True))
+        text = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py()
+        ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            raise ValueError("a word has no id of its own at its end")
+        return _Pool(ids, np.diff(stops, prepend=0))
+
+
+@lru_cache(maxsize=2)
+def bare_words(name: str):
+    """The tokenizer for words of lower-case letters with single blanks between: its model, without what changes no such word."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tokenizer(name).model)
+    bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return bare
 
 
 def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "word_bpe_49k.json", end: int = 1, segment: int = SEGMENT) -> DataFrame:
@@ -300,25 +346,27 @@ def write_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         part, encode = TaskContext.get().partitionId(), _Encoder(name, end)
         ids: list[np.ndarray] = []
         names: list[pa.Array] = []
-        lengths: list[int] = []
+        lengths: list[np.ndarray] = []
         held = seq = before = 0
 
         def flush() -> pa.RecordBatch:
             data = np.concatenate(ids)
             owner = pa.concat_arrays(names)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(owner)], pa.int32()), owner), pa.array([lengths], pa.list_(pa.int64())), pa.array([encode_segment(data)], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(owner)], pa.int32()), owner), pa.array([np.concatenate(lengths)], pa.list_(pa.int64())), pa.array([encode_segment(data)], pa.binary())],
                 names=["part", "seq", "before", "doc_ids", "lengths", "data"],
             )
 
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for lo in range(0, len(texts), 256):
-                encoded = encode(texts[lo : lo + 256])
-                ids += encoded
-                lengths += [len(e) for e in encoded]
-                names.append(b.column("doc_id").slice(lo, len(encoded)))
-                held += sum(len(e) for e in encoded)
+            size = np.cumsum(np.array(pa.compute.binary_length(b.column("text"))), dtype=np.int64)
+            lo = 0
+            while lo < b.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE, "right")))
+                encoded, n = encode.all_ids(b.column("text").slice(lo, hi - lo))
+                ids.append(encoded)
+                lengths.append(n)
+                names.append(b.column("doc_id").slice(lo, hi - lo))
+                held, lo = held + len(encoded), hi
                 if held >= segment:
                     yield flush()
                     seq, before, held = seq + 1, before + held, 0
