@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewright.functions import expr as X
+
+from .profile import code_like, column_statistics, narrowest_type
+
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """Each key that occurs more than once, with n; null keys group together.  One shuffle of keys, combined on the map side."""
@@ -33,32 +38,63 @@ def test_combination(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def infer_key(df: DataFrame, candidates: list[str], most: int = 3) -> list[str] | None:
+#: Columns that loads fill themselves; none is part of a key, but for the tab.
+SYSTEM = ("source_file_name", "excel_tab_name", "sp_ingest_load_dt", "audit_id", "__$batch_id", "__$job_instance_id")
+
+
+def key_candidates(df: DataFrame, stats: DataFrame | None = None) -> list[str]:
+    """Columns whose name hints at a key, whole numbers, and short codes, in the table's order.
+
+    Two scans: statistics (given or made), and the code test of the text columns left.
+    """
+    own = [c for c in df.columns if c.lower() not in SYSTEM]
+    kinds = {r.column_name: r.inferred for r in narrowest_type(stats if stats is not None else column_statistics(df, own)).select("column_name", "inferred").collect()}  # a row a column
+    sure = {c for c in own if re.search(X.KEY_NAME, c) or kinds.get(c) in ("INT", "BIGINT")}
+    texts = [c for c in own if c not in sure and kinds.get(c, "").startswith("VARCHAR")]
+    codes = {r.column_name for r in code_like(df, texts).where("code_like").collect()} if texts else set()
+    return [c for c in own if c in sure or c in codes]
+
+
+def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3, tab: str | None = None) -> list[str] | None:
     """The first combination of up to `most` candidates, in their order, that is unique and free of nulls.
 
-    One job counts nulls and distinct values of each candidate.  A column with
-    a null is out; a combination whose distinct counts multiply to less than the
-    number of rows cannot be unique and is not tested.
+    Without candidates they are found (key_candidates).  If none fits and there
+    is a tab column, the same are tried with it.  One job counts nulls and
+    distinct values of each candidate.  A column with a null is out; a
+    combination whose distinct counts multiply to less than the number of rows
+    cannot be unique and is not tested.
     """
+    candidates = key_candidates(df) if candidates is None else candidates
+    extra = [tab] if tab and tab in df.columns else []
+    names = [*candidates, *extra]
+    if not candidates:
+        return None
     first = df.agg(
         F.count("*").alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{k}") for k, c in enumerate(candidates)],
-        *[F.approx_count_distinct(c, 0.02).alias(f"distinct_{k}") for k, c in enumerate(candidates)],
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{k}") for k, c in enumerate(names)],
+        *[F.approx_count_distinct(c, 0.02).alias(f"distinct_{k}") for k, c in enumerate(names)],
     ).first()
-    whole = [(c, first[f"distinct_{k}"]) for k, c in enumerate(candidates) if not first[f"nulls_{k}"]]
-    for size in range(1, most + 1):
-        for combo in combinations(whole, size):
-            room = 1.0
-            for _, n in combo:
-                room *= 1.2 * n  # far beyond the error of the estimate
-            if room < first["rows"]:
-                continue
-            names = [c for c, _ in combo]
-            if not duplicate_groups(df, names).limit(1).count():
-                return names
+    if not first["rows"]:
+        return None
+    counts = {c: first[f"distinct_{k}"] for k, c in enumerate(names) if not first[f"nulls_{k}"]}
+    for more in [[], extra] if extra and extra[0] in counts else [[]]:
+        for size in range(1, most + 1):
+            for combo in combinations([c for c in candidates if c in counts], size):
+                chosen = [*combo, *more]
+                room = 1.0
+                for c in chosen:
+                    room *= 1.2 * counts[c]  # far beyond the error of the estimate
+                if room >= first["rows"] and not duplicate_groups(df, chosen).limit(1).count():
+                    return chosen
     return None
 
 
+def key_report(df: DataFrame, tab: str | None = None) -> DataFrame:
+    """pk_columns, strategy (APPEND with a key, else TRUNCATE) and n_rows."""
+    found = infer_key(df, tab=tab)
+    return df.agg(F.count("*").alias("n_rows")).select(F.lit(",".join(found or [])).alias("pk_columns"), F.lit("APPEND" if found else "TRUNCATE").alias("strategy"), "n_rows")
+
+
 def append_guard(staged: DataFrame, target: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """code, n: duplicate keys in the load and keys that the target holds, to be checked before any write."""
     dup = duplicate_summary(staged, list(pairs)).select(F.lit("DUPLICATE_IN_LOAD").alias("code"), F.col("dup_rows").alias("n"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .keys import duplicate_groups, key_conflicts
+
 
 def common_columns(staged: list[str], target: list[str]) -> list[tuple[str, str]]:
     """(staged name, target name) of columns on both sides, by lower-cased name, in target order."""
@@ -24,10 +26,29 @@ def promote(staged: DataFrame, target: DataFrame, strategy: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows replace target rows of the same key; the rest of the target stays.  A null key matches nothing."""
+    """What the target holds after a merge: on equal keys the source's other columns replace the target's, and new keys are added.
+
+    Target columns that the source lacks keep their values (null in new rows); a
+    source of keys only adds rows.  A null key matches nothing.  One full outer
+    join.  A key that the source holds twice is an error, found before the merge.
+    """
+    keys = [k.strip() for k in keys if k and k.strip()]
+    if not keys:
+        raise ValueError("merge keys are needed")
     if missing := [k for k in keys if k not in source.columns]:
         raise ValueError(f"merge keys missing from source: {missing}")
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    if unknown := [c for c in source.columns if c not in target.columns]:
+        raise ValueError(f"columns missing from target: {unknown}")
+    filled = source.where(" and ".join(f"`{k}` is not null" for k in keys))
+    if filled.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        raise ValueError(f"merge keys repeat in source: {keys}")
+    same = None
+    for k in keys:
+        part = F.col(f"t.row.`{k}`") == F.col(f"s.row.`{k}`")
+        same = part if same is None else same & part
+    both = target.select(F.struct("*").alias("row")).alias("t").join(source.select(F.struct("*").alias("row")).alias("s"), same, "full_outer")
+    came = F.col("s.row").isNotNull()
+    return both.select(*[(F.when(came, F.col(f"s.row.`{c}`")).otherwise(F.col(f"t.row.`{c}`")) if c in source.columns else F.col(f"t.row.`{c}`")).alias(c) for c in target.columns])
 
 
 def write_truncate(df: DataFrame, path: str) -> None:
@@ -35,17 +56,66 @@ def write_truncate(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_append(df: DataFrame, path: str) -> None:
+def write_append(df: DataFrame, path: str, keys: list[str] | None = None) -> bool:
+    """Add rows; False and nothing written if df is empty.  With keys, repeated ones and those the table holds are an error before any write."""
+    if not df.limit(1).count():
+        return False
+    if keys:
+        check_key(df, keys)
+        if conflicts := key_conflicts(df, df.sparkSession.read.schema(df.schema).parquet(path), {k: k for k in keys}).limit(5).collect():
+            raise ValueError(f"PRIMARY_KEY_VIOLATION: keys in target: {[tuple(r) for r in conflicts]}")
     df.write.mode("append").parquet(path)
+    return True
+
+
+def check_key(df: DataFrame, keys: list[str]) -> None:
+    found = duplicate_groups(df, keys).orderBy(*keys).limit(5).collect()
+    if found:
+        raise ValueError(f"PRIMARY_KEY_VIOLATION: {len(found)} or more keys with duplicates. Sample duplicate key values: {[tuple(r)[:-1] for r in found]}")
 
 
-def write_swap(spark: SparkSession, df: DataFrame, folder: str, version: str) -> DataFrame:
-    """Write a new version beside the old one and read it; readers of the old version are not disturbed."""
+def write_swap(spark: SparkSession, df: DataFrame, folder: str, version: str, keys: list[str] | None = None) -> DataFrame:
+    """Write a new version beside the old one and read it; readers of the old version are not disturbed.  Its keys, if named, are checked first."""
+    if keys:
+        check_key(df, keys)
     path = f"{folder}/_v={version}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
+def staging_only(control: DataFrame, known: DataFrame) -> DataFrame:
+    """control with strategy, target, promote and error for a run that ends in staging.
+
+    Staging is replaced, never promoted; a blank or unknown staging table (known:
+    table_name) is an error, and the integrated table does not stand in for it.
+    """
+    name = F.nullif(F.trim("staging_table_name"), F.lit(""))
+    found = known.select(F.lower("table_name").alias("known_name")).distinct()
+    joined = control.withColumn("target", name).join(found, F.lower("target") == F.col("known_name"), "left")
+    error = F.when(F.col("target").isNull(), "BLANK_STAGING_TABLE").when(F.col("known_name").isNull(), "UNKNOWN_STAGING_TABLE")
+    return joined.select(*control.columns, F.lit("TRUNCATE").alias("strategy"), "target", F.lit(False).alias("promote"), error.alias("error"))
+
+
+def staged_files(files: DataFrame, order: str = "file_name") -> DataFrame:
+    """files (load_id, file_name) with strategy: the first file of a load replaces staging, the others add to it."""
+    first = Window.partitionBy("load_id").orderBy(order)
+    return files.withColumn("strategy", F.when(F.row_number().over(first) == 1, "TRUNCATE").otherwise("APPEND"))
+
+
 def current_audit(events: DataFrame, audit_id: str, seq: str, *columns: str) -> DataFrame:
     """The latest event of each audit id, by an aggregation without a sort."""
     return events.groupBy(audit_id).agg(F.max_by(F.struct(*columns), F.struct(seq)).alias("x")).select(audit_id, "x.*")
+
+
+def unite_ledgers(*ledgers: DataFrame) -> DataFrame:
+    """Ledgers of different age as one: a column that an older one lacks is null there."""
+    out = ledgers[0]
+    for x in ledgers[1:]:
+        out = out.unionByName(x, allowMissingColumns=True)
+    return out
+
+
+def ledger_events(spark: SparkSession, audit_id: str, seq: int, status: str, **facts: str | int | None) -> DataFrame:
+    """One event row for an append-only ledger: STARTED, then SUCCESS or FAILED of the same audit id, also where no start was written."""
+    columns = {"audit_id": audit_id, "seq": seq, "status": status, **facts}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in columns.items()])

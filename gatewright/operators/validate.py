@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column as Column_
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gatewright.functions import expr as X
 
 from .profile import column_statistics, family
 
+#: Columns that loads fill themselves, and type names by family.
 MANAGED = ("sp_ingest_load_dt", "audit_id", "__$batch_id", "__$job_instance_id")
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "decimal", "numeric", "money", "smallmoney", "float", "real")
 DATETIME = ("date", "datetime", "datetime2", "smalldatetime", "datetimeoffset", "time")
@@ -34,9 +39,85 @@ def contract_frame(spark: SparkSession, columns: Iterable[Column]) -> DataFrame:
     return df.withColumn("family", kind)
 
 
-def schema_diff(contract: DataFrame, source_columns: list[str]) -> DataFrame:
+def contract_columns(table: DataFrame, keys: Iterable[str] = ()) -> list[Column]:
+    """The contract that a table's own schema states, in its order."""
+    names = {T.ByteType: "tinyint", T.ShortType: "smallint", T.IntegerType: "int", T.LongType: "bigint", T.BooleanType: "bit", T.FloatType: "real", T.DoubleType: "float", T.DateType: "date", T.TimestampType: "datetime2", T.TimestampNTZType: "datetime2"}
+    out = []
+    for f in table.schema:
+        kind, key = f.dataType, f.name in set(keys)
+        if isinstance(kind, T.DecimalType):
+            out.append(Column(f.name, "decimal", precision=kind.precision, scale=kind.scale, is_key=key))
+        elif isinstance(kind, T.VarcharType | T.CharType):
+            out.append(Column(f.name, "varchar", char_len=kind.length, is_key=key))
+        else:
+            out.append(Column(f.name, names.get(type(kind), "varchar"), is_key=key))
+    return out
+
+
+def date_columns(contract: DataFrame, managed: tuple[str, ...] = MANAGED) -> DataFrame:
+    """The rows of a contract that are dates or times and not managed."""
+    return contract.where(F.col("data_type").isin(*DATETIME) & ~F.lower(F.trim("column_name")).isin(*managed))
+
+
+def source_frame(contract: DataFrame, source: list[str] | DataFrame) -> DataFrame:
+    """position, source_name of a source's columns."""
+    if isinstance(source, DataFrame):
+        return source.select("position", "source_name")
+    return contract.sparkSession.createDataFrame([(k + 1, c) for k, c in enumerate(source)], "position int, source_name string")
+
+
+def schema_issues(contract: DataFrame, source_columns: list[str] | DataFrame, managed: tuple[str, ...] = MANAGED) -> DataFrame:
+    """At most one issue each: missing columns in the contract's order, additional ones in the source's, and another order of the shared ones."""
+    source = source_frame(contract, source_columns)
+    key = F.lower(F.trim("column_name"))
+    both = contract.withColumn("k", key).where(~F.col("k").isin(*managed)).join(
+        source.withColumn("k", F.lower(F.trim("source_name"))).where(~F.col("k").isin(*managed)), "k", "full_outer"
+    )
+
+    def listed(name: str, rule: Column_, by: str) -> Column_:
+        return F.transform(F.sort_array(F.collect_list(F.when(rule, F.struct(by, name)))), lambda x: x[name])
+
+    shared = F.col("source_name").isNotNull() & F.col("column_name").isNotNull()
+    lists = both.agg(
+        listed("column_name", F.col("source_name").isNull(), "ordinal").alias("missing"), listed("source_name", F.col("column_name").isNull(), "position").alias("additional"),
+        listed("k", shared, "position").alias("came"), listed("k", shared, "ordinal").alias("due"),
+    )
+    join = lambda c: F.array_join(c, ",")
+
+    def issue(rule: Column_, severity: str, code: str, names: Column_, detail: Column_) -> Column_:
+        return F.when(rule, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), names.alias("column_name"), detail.alias("detail")))
+
+    found = F.array(
+        issue(F.size("missing") > 0, "ERROR", "MISSING_DEST_COLUMNS_IN_SOURCE", join("missing"), F.lit("missing")),
+        issue(F.size("additional") > 0, "WARNING", "ADDITIONAL_SOURCE_COLUMNS", join("additional"), F.lit("additional")),
+        issue(F.col("came") != F.col("due"), "WARNING", "COLUMN_REORDERING_DETECTED", join("came"), F.concat(F.lit("due "), join("due"))),
+    )
+    return lists.select(F.inline(F.filter(found, lambda x: x.isNotNull())))
+
+
+def text_date_issues(df: DataFrame, contract: DataFrame, samples: int = 5) -> DataFrame:
+    """One warning for each date column of the contract that holds dates as text: how many, and the smallest few of them."""
+    due = {r.k for r in date_columns(contract).select(F.lower(F.trim("column_name")).alias("k")).collect()}  # a contract's rows
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name.strip().lower() in due]
+    if not texts:
+        return df.sparkSession.createDataFrame([], "severity string, code string, column_name string, detail string")
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), X.strip(F.col(f"`{c}`")).alias("t")) for c in texts])).alias("x")).select("x.*").where(X.is_date_like(F.col("t")))
+    counted = cells.groupBy("c", "t").agg(F.count("*").alias("n"))
+    first = counted.withColumn("place", F.row_number().over(Window.partitionBy("c").orderBy("t")))
+    return first.groupBy("c").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.when(F.col("place") <= samples, F.col("t")))).alias("s")).select(
+        F.lit("WARNING").alias("severity"), F.lit("EXCEL_DATETIME_STORED_AS_TEXT").alias("code"), F.col("c").alias("column_name"),
+        F.concat(F.lit("count="), F.col("n").cast("string"), F.lit(", samples="), F.array_join("s", ", ")).alias("detail"),
+    )
+
+
+def blocked(issues: DataFrame, *by: str) -> DataFrame:
+    """For each load whether an error stops it; warnings do not."""
+    return issues.groupBy(*by).agg(F.bool_or(F.col("severity") == "ERROR").alias("blocked"))
+
+
+def schema_diff(contract: DataFrame, source_columns: list[str] | DataFrame) -> DataFrame:
     """side, column_name of what only one side has, by trimmed name in lower case; managed columns are left out."""
-    source = contract.sparkSession.createDataFrame([(k + 1, c) for k, c in enumerate(source_columns)], "position int, source_name string")
+    source = source_frame(contract, source_columns)
     key = F.lower(F.trim("column_name"))
     both = contract.where(~key.isin(*MANAGED)).withColumn("k", key).join(
         source.withColumn("k", F.lower(F.trim("source_name"))).where(~F.col("k").isin(*MANAGED)), "k", "full_outer"
@@ -64,14 +145,4 @@ def validate(df: DataFrame, contract: DataFrame, null_threshold: float = 0.9) ->
         F.array(*[F.when(rule, F.struct(F.lit(s).alias("severity"), F.lit(code).alias("code"), F.col("column_name").alias("column_name"), detail.alias("detail"))) for s, code, rule, detail in checks]),
         lambda x: x.isNotNull(),
     )
-    issues = both.select(F.inline(found))
-    diff = schema_diff(contract, df.columns)
-    missing = F.col("side") == "missing"
-    return issues.unionByName(
-        diff.select(
-            F.when(missing, "ERROR").otherwise("WARNING").alias("severity"),
-            F.when(missing, "MISSING_DEST_COLUMNS_IN_SOURCE").otherwise("ADDITIONAL_SOURCE_COLUMNS").alias("code"),
-            "column_name",
-            F.col("side").alias("detail"),
-        )
-    )
+    return both.select(F.inline(found)).unionByName(schema_issues(contract, df.columns))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gatewright.functions import expr as X
-from gatewright.operators import dates, keys, load, profile
-from gatewright.operators.validate import Column, contract_frame, schema_diff, validate
+from gatewright.operators import dates, enrich, keys, load, profile, reports
+from gatewright.operators.validate import Column, contract_frame, schema_diff, schema_issues, validate
+from gatewright.operators.validate import text_date_issues as validate_text_dates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,11 +95,12 @@ def pk_combo_test(spark, d):
     return t.select(F.lit(",".join(LINE_KEY)).alias("combo"), F.col("null_rows").cast("int").alias("null_rows"), "distinct_keys", "duplicate_rows")
 
 
-@query("SELECT 'conv_id,turn' AS inferred_key, count(*) AS n_rows FROM conversations")
+@query("""
+SELECT CASE WHEN count(DISTINCT conv_id) = count(*) THEN 'conv_id' WHEN count(DISTINCT turn) = count(*) THEN 'turn' WHEN count(DISTINCT (conv_id, turn)) = count(*) THEN 'conv_id,turn' ELSE '' END AS pk_columns,
+ CASE WHEN count(DISTINCT (conv_id, turn)) = count(*) THEN 'APPEND' ELSE 'TRUNCATE' END AS strategy, count(*) AS n_rows FROM conversations
+""")
 def pk_inference(spark, d):
-    df = read(spark, d, "conversations")
-    found = keys.infer_key(df, ["conv_id", "turn"])
-    return df.agg(F.count("*").alias("n_rows")).select(F.lit(",".join(found or [])).alias("inferred_key"), "n_rows")
+    return keys.key_report(read(spark, d, "conversations"))
 
 
 _DIGITS = """CASE WHEN {0} = 0 THEN 1 ELSE greatest(length(ltrim(replace(CAST({0} AS VARCHAR), '.', ''), '0')), length(split_part(CAST({0} AS VARCHAR), '.', 2)), 1) END"""
@@ -135,7 +137,8 @@ def null_ratio(spark, d):
 
 
 @query("""
-SELECT * FROM (VALUES ('ERROR', 'TYPE_MISMATCH', 'l_linestatus', 'string'), ('ERROR', 'MISSING_DEST_COLUMNS_IN_SOURCE', 'l_comment', 'missing')) t(severity, code, column_name, detail)
+SELECT 'ERROR' AS severity, 'TYPE_MISMATCH' AS code, 'l_linestatus' AS column_name, 'string' AS detail WHERE (SELECT count(*) FROM lineitem WHERE TRY_CAST(l_linestatus AS DOUBLE) IS NULL) > 0
+UNION ALL SELECT 'ERROR', 'MISSING_DEST_COLUMNS_IN_SOURCE', 'l_comment', 'missing' WHERE (SELECT count(*) FROM information_schema.columns WHERE table_name = 'lineitem' AND column_name = 'l_comment') = 0
 UNION ALL SELECT 'ERROR', 'NUMERIC_PRECISION_EXCEEDED', 'l_extendedprice', CAST(m AS VARCHAR) FROM (SELECT max(length(replace(CAST(l_extendedprice AS VARCHAR), '.', ''))) AS m FROM lineitem) WHERE m > 6
 UNION ALL SELECT 'ERROR', 'NUMERIC_SCALE_EXCEEDED', 'l_discount', CAST(m AS VARCHAR) FROM (SELECT max(length(split_part(CAST(l_discount AS VARCHAR), '.', 2))) AS m FROM lineitem) WHERE m > 1
 """)
@@ -173,17 +176,44 @@ def high_null_ratio(spark, d):
     return validate(df, contract_frame(spark, [Column("v", "varchar", char_len=10)]))
 
 
-@query("""
-SELECT 'missing' AS side, column_name FROM (VALUES ('c_email'), ('c_phone')) t(column_name) WHERE (SELECT count(*) FROM customer) >= 0
-UNION ALL SELECT 'additional', column_name FROM (VALUES ('c_acctbal'), ('c_mktsegment')) t(column_name)
+#: The columns of a contract and of a source as rows of customer: names of the one and of the other, in different orders.
+_SIDES = """WITH c AS (SELECT lower(trim(c_name)) AS k, c_name AS column_name, c_custkey AS ordinal FROM customer WHERE c_custkey % 3 <> 0),
+s AS (SELECT lower(trim(c_name)) AS k, upper(c_name) AS source_name, 1000000 - c_custkey AS position FROM customer WHERE c_custkey % 5 <> 0)"""
+
+
+def sides(spark, d) -> tuple[DataFrame, DataFrame]:
+    c = read(spark, d, "customer")
+    contract = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("int").alias("ordinal"), F.concat(F.col("c_name"), F.lit(" ")).alias("column_name"))
+    return contract, c.where("c_custkey % 5 <> 0").select((1000000 - F.col("c_custkey")).cast("int").alias("position"), F.upper("c_name").alias("source_name"))
+
+
+@query(_SIDES + """
+SELECT 'missing' AS side, column_name FROM c WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT 'additional', source_name FROM s WHERE k NOT IN (SELECT k FROM c)
 """)
 def schema_diff_customer(spark, d):
-    contract = contract_frame(spark, [Column(n, "varchar") for n in ("C_CUSTKEY", " c_name ", "c_nationkey", "c_email", "c_phone", "audit_id")])
-    return schema_diff(contract, read(spark, d, "customer").columns)
+    contract, source = sides(spark, d)
+    return schema_diff(contract, source).withColumn("column_name", F.trim("column_name"))
 
 
-@query("""
-SELECT * FROM (VALUES ('l_orderkey', 'INT'), ('l_quantity', 'DECIMAL(18,1)'), ('l_returnflag', 'VARCHAR(10)'), ('l_shipdate', 'DATE'), ('l_linenumber', 'INT')) t(column_name, raw_type) WHERE (SELECT count(*) FROM lineitem) > 0
+@query(_SIDES + """
+SELECT 'ERROR' AS severity, 'MISSING_DEST_COLUMNS_IN_SOURCE' AS code, sha256(string_agg(column_name, ',' ORDER BY ordinal)) AS names FROM c WHERE k NOT IN (SELECT k FROM s)
+UNION ALL SELECT 'WARNING', 'ADDITIONAL_SOURCE_COLUMNS', sha256(string_agg(source_name, ',' ORDER BY position)) FROM s WHERE k NOT IN (SELECT k FROM c)
+UNION ALL SELECT 'WARNING', 'COLUMN_REORDERING_DETECTED', sha256(string_agg(s.k, ',' ORDER BY position)) FROM s JOIN c USING (k) HAVING string_agg(s.k, ',' ORDER BY position) <> string_agg(s.k, ',' ORDER BY ordinal)
+""")
+def column_reordering(spark, d):
+    contract, source = sides(spark, d)
+    return schema_issues(contract.withColumn("column_name", F.trim("column_name")), source).select("severity", "code", F.sha2("column_name", 256).alias("names"))
+
+
+_SCALE = "max(length(split_part(CAST({0} AS VARCHAR), '.', 2)))"
+
+
+@query(f"""
+SELECT 'l_orderkey' AS column_name, CASE WHEN max(abs(l_orderkey)) <= 2147483647 THEN 'INT' ELSE 'BIGINT' END AS raw_type FROM lineitem
+UNION ALL SELECT 'l_quantity', 'DECIMAL(18,' || {_SCALE.format('l_quantity')} || ')' FROM lineitem
+UNION ALL SELECT 'l_returnflag', 'VARCHAR(' || CAST(greatest(10, ceil(max(length(l_returnflag)) * 1.2 / 10) * 10) AS INT) || ')' FROM lineitem
+UNION ALL SELECT 'l_shipdate', CASE WHEN bool_or(l_shipdate <> date_trunc('day', l_shipdate)) THEN 'DATETIME2(3)' ELSE 'DATE' END FROM lineitem
+UNION ALL SELECT 'l_linenumber', CASE WHEN max(abs(l_linenumber)) <= 2147483647 THEN 'INT' ELSE 'BIGINT' END FROM lineitem
 """)
 def infer_types(spark, d):
     s = profile.column_statistics(line_text(spark, d), ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate", "l_linenumber"])
@@ -245,10 +275,13 @@ e AS (SELECT count(*) AS n_values, count(*) FILTER (WHERE a > 12) AS n_dmy, coun
 """
 
 
-@query(_EVIDENCE + "SELECT * FROM e")
+@query(rf"""
+WITH s AS (SELECT CASE WHEN o_orderkey % 13 = 5 THEN 'pending' ELSE {_US} END AS t FROM orders), p AS (SELECT *, {_A} AS a, {_B} AS b FROM s)
+SELECT count(*) AS n_values, count(*) FILTER (WHERE a > 12) AS n_dmy, count(*) FILTER (WHERE b > 12) AS n_mdy, count(*) FILTER (WHERE a <= 12 AND b <= 12) AS n_ambiguous, count(*) FILTER (WHERE t LIKE '____-%') AS n_ymd,
+ count(*) FILTER (WHERE a IS NULL AND t NOT LIKE '____-%') AS n_invalid, bool_or(t LIKE '%:%') AS has_time, min(CASE WHEN a IS NULL AND t NOT LIKE '____-%' THEN t END) AS invalid_sample FROM p
+""")
 def date_order_evidence(spark, d):
-    e = dates.order_evidence(us_dates(spark, d), "t")
-    return e.withColumn("n_invalid", F.col("n_invalid").cast("int"))
+    return dates.order_evidence(us_dates(spark, d, dirty=True), "t")
 
 
 @query(_EVIDENCE + "SELECT CASE WHEN n_dmy > 0 AND n_mdy > 0 THEN 'conflict' WHEN n_dmy > 0 THEN 'dayfirst' WHEN n_mdy > 0 THEN 'monthfirst' WHEN n_ambiguous > 0 THEN 'dayfirst' ELSE 'none' END AS date_order FROM e")
@@ -266,9 +299,42 @@ def normalise_dates_forced_us(spark, d):
     return dates.normalise_dates(us_dates(spark, d), "t", "ts", us=True).select("o_orderkey", "ts")
 
 
-@query("SELECT o_orderkey, CAST(NULL AS TIMESTAMP) AS ts FROM orders")
+@query(rf"SELECT o_orderkey, CASE WHEN (SELECT count(*) FROM orders WHERE o_orderkey % 13 = 5) = 0 THEN o_orderdate END AS ts, CASE WHEN o_orderkey % 13 = 5 THEN 'pending' ELSE {_US} END AS kept FROM orders")
 def date_passthrough_guard(spark, d):
-    return dates.normalise_dates(us_dates(spark, d, dirty=True), "t", "ts").select("o_orderkey", "ts")
+    return dates.normalise_dates(us_dates(spark, d, dirty=True), "t", "ts", text_out="kept").select("o_orderkey", "ts", "kept")
+
+
+#: Each value can be read one way only, but some have the day first and some the month.
+_MIXED = "CASE WHEN day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%Y/%m/%d 10:30') WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%-d.%-m.%Y') ELSE strftime(o_orderdate, '%-m/%-d/%Y') END"
+
+
+def mixed_dates(spark, d) -> DataFrame:
+    day = F.dayofmonth("o_orderdate") <= 12
+    text = F.when(day, F.date_format("o_orderdate", "yyyy/MM/dd' 10:30'")).when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "d.M.yyyy")).otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
+    return read(spark, d, "orders").select("o_orderkey", text.alias("t"))
+
+
+@query(f"SELECT o_orderkey, {_MIXED} AS t, date_trunc('day', o_orderdate) + CASE WHEN day(o_orderdate) <= 12 THEN INTERVAL 630 MINUTE ELSE INTERVAL 0 MINUTE END AS ts FROM orders")
+def normalise_dates_mixed(spark, d):
+    return dates.normalise_dates(mixed_dates(spark, d), "t", "ts", mode="mixed").select("o_orderkey", "t", "ts")
+
+
+@query("""
+WITH n AS (SELECT count(*) FILTER (WHERE day(o_orderdate) > 12 AND o_orderkey % 2 = 0) AS dmy, count(*) FILTER (WHERE day(o_orderdate) > 12 AND o_orderkey % 2 = 1) AS mdy FROM orders)
+SELECT 'ERROR' AS severity, 'CONFLICTING_DATE_ORDERS' AS code, 't' AS column_name, 'day first ' || dmy || ', month first ' || mdy || ', either 0' AS detail FROM n WHERE dmy > 0 AND mdy > 0
+UNION ALL SELECT 'ERROR', 'FORCED_US_BUT_DAY_FIRST', 't', 'day first ' || dmy || ', month first ' || mdy || ', either 0' FROM n WHERE dmy > 0
+""")
+def date_order_issues(spark, d):
+    df = mixed_dates(spark, d)
+    return dates.date_issues(df, "t").unionByName(dates.date_issues(df, "t", us=True))
+
+
+@query(rf"""
+WITH s AS (SELECT CASE WHEN o_orderkey % 13 = 5 THEN 'pending' ELSE {_US} END AS t FROM orders), f AS (SELECT t FROM s WHERE t <> 'pending')
+SELECT 'WARNING' AS severity, 'EXCEL_DATETIME_STORED_AS_TEXT' AS code, 't' AS column_name, 'count=' || (SELECT count(*) FROM f) || ', samples=' || (SELECT string_agg(t, ', ' ORDER BY t) FROM (SELECT DISTINCT t FROM f ORDER BY t LIMIT 5)) AS detail
+""")
+def text_date_issues(spark, d):
+    return validate_text_dates(us_dates(spark, d, dirty=True), contract_frame(spark, [Column("o_orderkey", "bigint"), Column("T", "datetime2")]))
 
 
 @query("SELECT o_orderkey, TIMESTAMP '1899-12-30' + to_microseconds(CAST(round((40000 + o_orderkey % 5000 + 0.25) * 86400 * 1000000) AS BIGINT)) AS ts FROM orders")
@@ -283,7 +349,7 @@ def au_date_text(spark, d):
 
 @query("SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey, c_acctbal AS credit_limit, c_mktsegment FROM customer")
 def apply_column_mapping(spark, d):
-    return read(spark, d, "customer").withColumnsRenamed({"c_custkey": "customer_id", "c_name": "customer_name", "c_acctbal": "credit_limit"})
+    return enrich.apply_mapping(read(spark, d, "customer"), '{"c_custkey": "customer_id", "c_name": "customer_name", "c_acctbal": "credit_limit"}')
 
 
 @query("SELECT c_custkey, c_name AS v FROM customer")
@@ -308,7 +374,7 @@ def flag_truthy(spark, d):
 @query("SELECT n_nationkey, n_name, CASE WHEN n_regionkey % 2 = 0 THEN 'sheet' ELSE n_name END AS tab FROM nation")
 def fill_blank_tab(spark, d):
     tab = F.when(F.col("n_regionkey") % 2 == 0, F.lit("  ")).otherwise(F.col("n_name"))
-    return read(spark, d, "nation").select("n_nationkey", "n_name", F.coalesce(F.nullif(F.trim(tab), F.lit("")), F.lit("sheet")).alias("tab"))
+    return read(spark, d, "nation").select("n_nationkey", "n_name", enrich.fill_blank(tab, "sheet").alias("tab"))
 
 
 @query("SELECT c_nationkey AS tab, count(*) AS rows, round(sum(CASE WHEN c_nationkey % 2 = 0 THEN c_acctbal END), 2) AS credit FROM customer GROUP BY 1")
@@ -320,9 +386,10 @@ def union_sheets(spark, d):
     return rows.groupBy(F.col("c_nationkey").alias("tab")).agg(F.count("*").alias("rows"), F.round(F.sum("c_acctbal"), 2).alias("credit"))
 
 
-@query("SELECT p_partkey, regexp_replace(lower(p_name), '[^0-9a-z]+', '_', 'g') AS snake FROM part")
+@query("SELECT p_partkey, 'part_' || replace(lower(p_name), ' ', '_') || '_id' AS snake FROM part")
 def snake_case(spark, d):
-    return read(spark, d, "part").select("p_partkey", X.snake_case(F.lower("p_name"), F.concat(F.lit("column_"), F.col("p_partkey"))).alias("snake"))
+    camel = F.concat(F.lit("Part"), F.replace(F.initcap("p_name"), F.lit(" "), F.lit("")), F.lit("ID"))
+    return read(spark, d, "part").select("p_partkey", X.snake_case(camel, F.concat(F.lit("column_"), F.col("p_partkey"))).alias("snake"))
 
 
 @query("""
@@ -331,8 +398,7 @@ SELECT p_partkey, CASE WHEN k = 1 THEN b ELSE b || '_' || k END AS name FROM (SE
 """)
 def snake_case_mapping(spark, d):
     base = read(spark, d, "part").select("p_partkey", X.snake_case(F.col("p_brand"), F.lit("column")).alias("b"))
-    k = F.row_number().over(Window.partitionBy("b").orderBy("p_partkey"))
-    return base.withColumn("k", k).select("p_partkey", F.when(F.col("k") == 1, F.col("b")).otherwise(F.concat_ws("_", "b", F.col("k").cast("string"))).alias("name"))
+    return base.select("p_partkey", enrich.unique_names(F.col("b"), "p_partkey").alias("name"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders UNION ALL SELECT o_orderkey + 100000000, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 = 0")
@@ -360,17 +426,17 @@ def audit_current_state(spark, d):
 
 @query("SELECT user_id AS workflow_id, event_type AS status, count(*) AS n FROM events GROUP BY 1, 2")
 def audit_rollup(spark, d):
-    return read(spark, d, "events").groupBy(F.col("user_id").alias("workflow_id"), F.col("event_type").alias("status")).agg(F.count("*").alias("n"))
+    return reports.rollup(read(spark, d, "events").select(F.col("user_id").alias("workflow_id"), F.col("event_type").alias("status")))
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE user_id % 10 = 3 ORDER BY event_id DESC LIMIT 5")
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k <= 5")
 def audit_latest(spark, d):
-    return read(spark, d, "events").where("user_id % 10 = 3").select("event_id", "user_id", "event_type").orderBy(F.desc("event_id")).limit(5)
+    return reports.latest(read(spark, d, "events").select("event_id", "user_id", "event_type"), "user_id", "event_id")
 
 
-@query("SELECT count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS failed, round(sum(value), 2) AS rows_loaded FROM events")
+@query("SELECT count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS failed, round(sum(value), 2) AS rows_loaded, CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN 0 ELSE 2 END AS status FROM events")
 def run_summary(spark, d):
-    return read(spark, d, "events").agg(F.count("*").alias("processed"), F.count_if(F.col("event_type") == "error").alias("failed"), F.round(F.sum("value"), 2).alias("rows_loaded"))
+    return reports.summary(read(spark, d, "events"), F.col("event_type") == "error", "value")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

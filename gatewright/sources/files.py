@@ -38,6 +38,11 @@ def select_files(files: DataFrame, pattern: str | None, default: str | None = No
     return hit if several else hit.orderBy("file_name").limit(1)
 
 
+def folders_to(folders: DataFrame, column: str, depth: int) -> DataFrame:
+    """folders with depth (how many folders lie above it), down to a depth; none for 0 or less."""
+    return folders.withColumn("depth", F.size(F.split(F.btrim(column, F.lit("/")), "/")) - 1).where((F.col("depth") <= depth) & F.lit(depth > 0))
+
+
 def encodings(spark: SparkSession, path: str) -> DataFrame:
     """path, encoding of each file: utf-8, windows-1252 or iso-8859-1, decided on all its lines.
 

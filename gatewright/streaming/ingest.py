@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -19,13 +20,26 @@ from pyspark.sql.types import StructType
 from gatewright.operators import keys as K
 
 
-def _loaded(spark: SparkSession, target: str, schema: StructType, batch_id: int) -> DataFrame:
-    """The rows of earlier batches."""
-    kinds = StructType(list(schema.fields)).add("_batch", "long")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(kinds).parquet(target).where(F.col("_batch") < batch_id).drop("_batch")
+#: Loaded rows lie in folders by a hash of their key, so that a batch looks only into those of its own keys.
+BUCKETS = 64
+
+
+def _bucket(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+
+
+def _loaded(rows: DataFrame, target: str, key: Sequence[str], batch_id: int) -> DataFrame:
+    """The keys of earlier batches, from the folders that hold keys like those of rows."""
+    spark = rows.sparkSession
+    kinds = StructType([rows.schema[k] for k in key]).add("_batch", "long").add("_bucket", "integer")
+    try:
+        known = spark.read.schema(kinds).parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows.select(*key).limit(0)
+    touched = [r[0] for r in rows.select(_bucket(key)).distinct().collect()]  # BUCKETS numbers at most
+    return known.where((F.col("_batch") < batch_id) & F.col("_bucket").isin(touched)).select(*key)
 
 
 def load_batch(
@@ -45,13 +59,13 @@ def load_batch(
     spark = batch.sparkSession
     rows = prepare(batch).persist()  # kept for three passes, spilled to disk; lost parts are read again from the files
     try:
-        found = K.append_guard(rows, _loaded(spark, target, rows.schema, batch_id), {k: k for k in key}).where("n > 0")
+        found = K.append_guard(rows, _loaded(rows, target, key, batch_id), {k: k for k in key}).where("n > 0")
         found = found.select(F.lit("ERROR").alias("severity"), "code", F.lit(",".join(key)).alias("column_name"), F.col("n").cast("string").alias("detail"))
         if check:
             found = found.unionByName(check(rows).select("severity", "code", "column_name", "detail"))
         found.write.mode("overwrite").parquet(f"{issues}/_batch={batch_id}")
         blocked = spark.read.schema(found.schema).parquet(f"{issues}/_batch={batch_id}").where("severity = 'ERROR'").limit(1).count() > 0
-        rows.write.mode("overwrite").parquet(f"{quarantine if blocked else target}/_batch={batch_id}")
+        rows.withColumn("_bucket", _bucket(key)).write.mode("overwrite").partitionBy("_bucket").parquet(f"{quarantine if blocked else target}/_batch={batch_id}")
         return not blocked
     finally:
         rows.unpersist()
