@@ -47,19 +47,18 @@ def keep(df: DataFrame) -> DataFrame:
 
 
 def with_variant(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text and variant: 0, but 0, 1, ... for the different texts of rows that share a doc_id.
+    """doc_id, text and variant: 0, but a hash of the text for rows whose doc_id stands with different texts.
 
     (doc_id, variant) then names a document; rows that repeat wholly are one.
+    Shared ids are found by two numbers an id, combined on the map side.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     fp = F.xxhash64("text").alias("fp")
-    several = docs.select("doc_id", fp).groupBy("doc_id").agg(F.sort_array(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
-    several = cut(several.select("doc_id", F.posexplode("fps").alias("variant", "fp")))
+    several = cut(docs.select("doc_id", fp).groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select(F.col("doc_id").alias("id_")))
     if not several.limit(1).count():
-        return docs.withColumn("variant", F.lit(0))
-    several = several.select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_"), "variant")
-    both = docs.withColumn("fp", fp).join(broadcast_if_small(several), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("fp") == F.col("fp_")), "left")
-    return both.select("doc_id", "text", F.coalesce("variant", F.lit(0)).alias("variant"))
+        return docs.withColumn("variant", F.lit(0).cast("bigint"))
+    both = docs.join(broadcast_if_small(several.withColumn("shared", F.lit(True))), F.col("doc_id").eqNullSafe(F.col("id_")), "left")
+    return both.select("doc_id", "text", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).alias("variant"))
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -171,6 +171,39 @@ def test_suffix_dedup_equals_brute_force(spark, texts):
     assert got == brute_ranges(made)
 
 
+def test_previous_factors_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for n, alphabet in ((1, 2), (40, 1), (300, 2), (300, 4)):
+        text = rng.integers(97, 97 + alphabet, n + 11, dtype=np.uint8)
+        group, strings = np.sort(rng.integers(0, 3, n)), np.lib.stride_tricks.sliding_window_view(text, 12)
+        want = []
+        for i in range(n):
+            shared = [next((k for k in range(12) if strings[i, k] != strings[j, k]), 12) for j in range(i) if group[i] == group[j]]
+            want.append(max(shared, default=0))
+        assert suffix_dedup.previous_factors(group, strings).tolist() == want
+
+
+@pytest.mark.parametrize("hot_runs", [1, 3, 1000])
+def test_suffix_dedup_with_a_hot_anchor(spark, hot_runs):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdef ") for _ in range(140))
+    made = {k: "".join(rng.choice("uvwxyz") for _ in range(rng.randrange(0, 90))) + passage + rng.choice(["", "k", "é"]) * rng.randrange(0, 60) for k in range(120)}
+    docs = suffix_dedup.with_variant(frame(spark, [*made.values(), *list(made.values())[:9]], [*made, *range(9)]).repartition(7), "doc_id", "text")
+    ranges = suffix_dedup.repeated_ranges(docs, hot_runs=hot_runs)
+    got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup.remove_ranges(docs, ranges, 100).collect()}
+    assert got == brute_ranges(made)
+
+
+def test_suffix_dedup_of_shared_and_missing_ids(spark):
+    rng = random.Random(12)
+    t = ["".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(4)]
+    rows = [(5, t[0]), (5, t[0] + t[1]), (None, t[2]), (None, t[3]), (7, t[3] + t[2]), (7, "x")]
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.suffix_dedup(frame(spark, [x for _, x in rows], [k for k, _ in rows])).collect())
+    assert got[(7, 600, 600)] == 1 and got[(None, 300, 0)] == 2 and got[(7, 1, 0)] == 1
+    assert sum(n * c for (k, _, n), c in got.items() if k == 5) == 300
+    assert suffix_dedup.suffix_dedup(frame(spark, ["x"]).limit(0)).count() == 0
+
+
 def test_suffix_dedup_repeated_rows(spark):
     rng = random.Random(1)
     t = "".join(rng.choice("abcdefgh") for _ in range(300))
