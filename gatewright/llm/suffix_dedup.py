@@ -333,8 +333,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
         .drop("kinds", "split", "twice")
     )
     firsts = seen.where(~F.col("gone")).drop("gone")
-    hot = cut(firsts.groupBy("v").count().where(F.col("count") >= hot_runs).select("v", F.lit(True).alias("hot")))
-    firsts = firsts.join(broadcast_if_small(hot), "v", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    hot = cut(firsts.groupBy("v").count().where(F.col("count") >= hot_runs).select(F.col("v").alias("hot_v")))
+    firsts = firsts.join(broadcast_if_small(hot), F.col("v") == F.col("hot_v"), "left").withColumn("hot", F.col("hot_v").isNotNull())
     wanted = firsts.groupBy("doc_id", "variant").agg(F.collect_set(F.struct("p", "w", "v", "hot")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"doc_id": "id_", "variant": "variant_"})
     with_text = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("variant") == F.col("variant_")))

@@ -398,6 +398,86 @@ def test_secrets_named_and_of_letters(spark):
     assert list(secrets_scan.candidates("a" * 18 + "==", [])) == [(0, 20)]
 
 
+def test_secret_p_values_are_calibrated():
+    rng = random.Random(99)
+    for kind in ("hex", "base32", "alpha", "alnum", "base64"):
+        p = [x[1] for x in (secrets_scan.battery(secrets_scan.written(rng, kind, rng.randint(20, 120))) for _ in range(1500)) if x]
+        assert len(p) > 600 and sum(x < 0.01 for x in p) <= 0.025 * len(p) and sum(x < 1e-4 for x in p) <= 0.003 * len(p), kind
+    words = "order line item build user account payment invoice report table index value cache token config server client".split()
+    names = ["_".join(rng.choice(words) for _ in range(rng.randint(3, 6))) + f"_v{rng.randint(1, 30)}" for _ in range(2000)]
+    p = [x[1] for x in map(secrets_scan.battery, names) if x]
+    assert sum(x < 0.01 for x in p) <= 0.01 * len(p) and secrets_scan.battery("2024-01-02T03-04-05Z-run-0001")[1] > 0.01
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for n in (40, 128, 700):
+        p = [secrets_scan.battery("".join(rng.choice(letters) for _ in range(n)))[1] for _ in range(100)]
+        assert sum(x < 0.001 for x in p) >= 90, n
+
+
+def test_base_spans_equal_a_plain_scan(texts):
+    names = ("password", "passwd", "secret", "token", "apikey", "api_key")
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def fold(c):
+        return c.lower() if c.isascii() else c
+
+    def assign(t, i):
+        name = next((n for n in names if "".join(map(fold, t[i : i + len(n)])) == n), None)
+        if not name:
+            return None
+        i += len(name)
+        i += t[i : i + 1] in ("'", '"') and bool(t[i : i + 1])
+        while t[i : i + 1] == " ":
+            i += 1
+        if t[i : i + 1] not in (":", "="):
+            return None
+        i += 1
+        while t[i : i + 1] == " ":
+            i += 1
+        i += t[i : i + 1] in ("'", '"') and bool(t[i : i + 1])
+        j = i
+        while j < len(t) and t[j] in value:
+            j += 1
+        return (j, j - i >= 12) if j > i else None
+
+    def span(t, i, chars, head=""):
+        if not t.startswith(head, i):
+            return None
+        j = i + len(head)
+        while j < len(t) and t[j] in chars:
+            j += 1
+        return j if j > i + len(head) else None
+
+    def scan(t):
+        out, i = [], 0
+        while i < len(t):
+            found = assign(t, i)
+            if found:
+                out += [(i, found[0], "assign")] * found[1]
+                i = found[0]
+            else:
+                i += 1
+        for kind, chars, head, least in (("access", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), "AKIA", 18), ("hex", set("0123456789abcdef"), "", 16)):
+            i = 0
+            while i < len(t):
+                j = span(t, i, chars, head)
+                if j and j - i >= least:
+                    out.append((i, j, kind))
+                i = j or i + 1
+        return sorted(out, key=lambda x: (x[0], ("assign", "access", "hex").index(x[2])))
+
+    key = "Ab3/" * 4
+    made = [f"Password = '{key}' pass\u017fword={key} to\u212aen: {key}", f'{{"api_key": "{key}", "APIKEY":{key}token={key}}}', "AKIA" * 6 + "x AKIA1 AKIA" + "Z" * 13, "secret:" + "0123456789abcdef" * 3 + "g", "token = = abc", "secret==" + "=" * 12, ""]
+    for t in [*made, *list(texts.values())[:150]]:
+        assert secrets_scan.base_spans(t) == scan(t)
+
+
+def test_secrets_of_edge_rows(spark):
+    df = frame(spark, [None, "", "AKIA" + "B" * 20, "AKIA" + "B" * 20], [1, None, 7, 7]).withColumnRenamed("lang", "spans").withColumnRenamed("source", "base")
+    rows = secrets_scan.find_secrets(df).collect()
+    assert Counter((r.doc_id, len(r.base), len(r.spans)) for r in rows) == Counter([(1, 0, 0), (None, 0, 0), (7, 1, 1), (7, 1, 1)])
+    assert secrets_scan.find_secrets(df.limit(0)).collect() == []
+
+
 def test_token_segments(spark, docs, texts):
     ids = np.random.default_rng(2).integers(0, 49408, 5000).astype(np.int32)
     for x in (ids, ids[:1], ids[:0], np.repeat(ids[:3], 1500)):
