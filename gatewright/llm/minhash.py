@@ -11,10 +11,11 @@ Pairs are not enumerated within a band's bucket.  Each bucket picks one pivot by
 a hash of its own, so that a document meets a different pivot in each band;
 pairs with pivots that pass size and sketch are verified on full sets, and
 verified links give components.  What is left in doubt are members of a bucket
-outside its largest component: they meet the other members of the bucket in a
-join whose condition holds the size and sketch bounds and then the full sets, so
-that only links come out of it.  No link between components that share a bucket
-is lost, and a bucket of copies costs a row a member.
+outside its largest component: they meet the other members of the bucket, BUCKET
+of them in one slot of it, first by size and sketch alone, which leaves those that
+fit another one, and then by full sets in the condition of a join, so that only
+links come out of it.  No link between components that share a bucket is lost, and
+a bucket of copies costs a row a member.
 
 Bands and rows follow from the threshold: a pair at it shares no bucket with a
 probability of 2e-5 at most (MISS), and the sketch bound rejects it with one below
@@ -43,6 +44,8 @@ from .components import connected_components
 
 #: A pair at the threshold shares no bucket with this probability at most; samples that a document has at most for that.
 MISS, MOST_SAMPLES, SKETCH_LONGS = 2e-5, 256, 8
+#: Members of a bucket that stand in one slot; larger buckets are split.
+BUCKET = 500
 
 
 @cache
@@ -211,19 +214,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = members.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
     mixed = (
         labelled.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
-        .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-        .where("parts > 1").select("band", "key", "main")
+        .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"), F.sum("m").alias("size"))
+        .where("parts > 1").select("band", "key", "main", "size")
     )
-    doubtful = cut(labelled.join(mixed, ["band", "key"]).where("main is not null"))
-    known = reps.drop("rep_id", "rep_fp").join(full_sets(doubtful.select("id")), "id")
-    placed_full = doubtful.join(known, "id")
-    outside = placed_full.where("component <> main").select("band", "key", *[F.col(c).alias(f"{x}_a") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
-    others = placed_full.select("band", "key", "main", *[F.col(c).alias(f"{x}_b") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
-    # a pair counts in its first common bucket only; cheap bounds come first, the full sets decide inside the join
-    near = outside.join(others, ["band", "key"]).where(
+    doubtful = labelled.join(mixed, ["band", "key"]).where("main is not null")
+    outer = (F.col("component") != F.col("main")).alias("outer")
+    doubtful = cut(doubtful.select("band", "key", "id", "component", "main", outer, F.ceil(F.col("size") / BUCKET).cast("int").alias("slots")).join(reps.drop("rep_id", "rep_fp"), "id"))
+
+    def sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+        """Members outside the largest component, in each slot of their bucket, and all members, each in one slot by its id."""
+        names = [("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), *[(x, "i") for x in more]]
+        left = rows.where("outer").select("band", "key", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), *[F.col(c).alias(f"{x}_a") for c, x in names])
+        right = rows.select("band", "key", F.pmod(F.xxhash64("id"), F.col("slots")).cast("int").alias("slot"), "main", *[F.col(c).alias(f"{x}_b") for c, x in names])
+        return left, right
+
+    # a pair counts in its first common bucket only
+    bucket = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "key", "slot")]
+    fits = (
         (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))) & sizes_fit(percent)
-        & (ones("s_a", "s_b") <= most_ones(percent)) & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("key")) & linked("i_a", "i_b")
+        & (ones("s_a", "s_b") <= most_ones(percent)) & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("l.key"))
     )
+    meets = fits
+    for c in bucket:
+        meets = c & meets
+    # only members that some other one fits by size and sketch take their full sets along
+    left, right = sides(doubtful)
+    able = left.alias("l").join(right.alias("r"), meets, "left_semi").select(F.col("id_a").alias("id")).union(right.alias("r").join(left.alias("l"), meets, "left_semi").select(F.col("id_b").alias("id")))
+    able = cut(able.distinct())
+    left, right = sides(doubtful.join(full_sets(able), "id"), "items")
+    near = left.alias("l").join(right.alias("r"), meets & linked("i_a", "i_b"))
     more = cut(near.groupBy(F.col("id_a").alias("a"), "c_b").agg(F.min("id_b").alias("b")).select("a", "b"))
     if more.limit(1).count():
         labels = connected_components(links.union(more))

@@ -99,6 +99,23 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {k: (len(sets[k]), find(k)) for k in range(len(texts))}
 
 
+@pytest.mark.parametrize(("words", "percent", "bucket"), [(3, 85, 500), (5, 80, 2)])
+def test_near_duplicates_of_given_documents(spark, docs, texts, monkeypatch, words, percent, bucket):
+    monkeypatch.setattr(minhash, "BUCKET", bucket)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=words, percent=percent).collect()}
+    sets, root = {}, {k: k for k in texts}
+    for k, t in texts.items():
+        w = t.encode().lower().split()
+        sets[k] = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+    for a in sorted(sets):
+        for b in sorted(sets):
+            c = len(sets[a] & sets[b]) if a < b else 0
+            if c and 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c) and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if v == old else v for k, v in root.items()}
+    assert got == root and len(set(root.values())) < len(root)
+
+
 def test_near_dedup_of_null_and_shared_ids(spark):
     import corpus_pipeline
 
