@@ -99,9 +99,8 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {k: (len(sets[k]), find(k)) for k in range(len(texts))}
 
 
-@pytest.mark.parametrize(("words", "percent", "bucket"), [(3, 85, 500), (5, 80, 2)])
-def test_near_duplicates_of_given_documents(spark, docs, texts, monkeypatch, words, percent, bucket):
-    monkeypatch.setattr(minhash, "BUCKET", bucket)
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates_of_given_documents(spark, docs, texts, words, percent):
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=words, percent=percent).collect()}
     sets, root = {}, {k: k for k in texts}
     for k, t in texts.items():
