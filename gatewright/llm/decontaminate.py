@@ -14,7 +14,8 @@ against all documents, so the size of a broadcast is bounded for any benchmark.
 A passage that a third of all documents hold costs a few rows a document.
 
 Cases: a null or empty text, or one without words, is a document without words
-and never contaminated; an item without words is ignored; an item of fewer than
+and never contaminated; an item without words or
+without id is ignored; an item of fewer than
 `window` words is one window; equal items all count; rows that share doc_id and
 text are one document (returned once); rows that share only doc_id are
 different documents; empty tables: no documents, no rows; no items, no hits.

@@ -45,7 +45,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = train(docs, labels.where(~held_out))
     scored = score(docs, model).select("doc_id", "score", "offending")
     return scored.select(

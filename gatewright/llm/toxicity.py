@@ -128,13 +128,13 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         for b in batches:
             scores, spans = [], []
             for value in b.column(text):
-                t = (value.as_py() or "").lower()
+                t = value.as_py() or ""  # lower-cased by sentence, as lower-casing may lengthen text and shift what follows
                 found = []
                 total = 0.0
                 sentences = 0
-                hit = vocabulary.intersection(_WORD.findall(t))
+                hit = vocabulary.intersection(_WORD.findall(t.lower()))
                 for s in _SENTENCE.finditer(t):
-                    part = s[0]
+                    part = s[0].lower()
                     if part.isspace():
                         continue
                     sentences += 1

@@ -285,6 +285,39 @@ def test_toxicity_held_out(spark):
     assert toxicity.train(docs, labels.limit(0)).words == {}
 
 
+def test_toxicity_spans_are_those_of_the_text(spark):
+    model = toxicity.Model(-4.0, {"vile": 9.0})
+    texts = ["İİİİ fine. So VILE it is! ok", "x" * 100_000 + ". vile", None, "", "vile", "vile"]
+    df = frame(spark, texts, [1, 2, None, 3, 4, 4]).withColumnRenamed("lang", "score").withColumnRenamed("source", "offending")
+    rows = toxicity.score(df, model).collect()
+    found = {r.doc_id: [texts[[1, 2, None, 3, 4, 4].index(r.doc_id)][x.start : x.end] for x in r.offending] for r in rows}
+    assert found == {1: [" So VILE it is"], 2: [" vile"], None: [], 3: [], 4: ["vile"]} and len(rows) == 6
+    assert toxicity.score(df.limit(0), model).collect() == []
+
+
+def test_token_output_of_edge_rows(spark):
+    texts = [None, "", "The cat. " * 30_000, "same", "same", "other"]
+    df = frame(spark, texts, [None, 1, 2, 3, 3, 3]).withColumnRenamed("lang", "start").withColumnRenamed("source", "data")
+    rows = sorted(token_output.read_segments(token_output.write_segments(df, segment=20_000)).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.n_tokens) for r in rows] == [(None, 1), (1, 1), (2, 90_001), (3, 2), (3, 2), (3, 2)]
+    assert [r.start for r in rows] == [0, 1, 2, 90_003, 90_005, 90_007]
+    assert token_output.read_segments(token_output.write_segments(df.limit(0))).collect() == []
+
+
+def test_clashing_columns_and_long_texts(spark):
+    long = "one two three four five six seven eight nine ten\n" * 20_000
+    df = frame(spark, [long, long, None, ""], [1, 2, None, 3]).withColumnRenamed("lang", "n_lines").withColumnRenamed("n_chars", "kept_text")
+    kept = apply_bitmaps(df, keep_bitmaps(df, min_docs=2)).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in kept) == Counter([(1, 20_001, 20_000, ""), (2, 20_001, 20_000, ""), (None, 1, 0, ""), (3, 1, 0, "")])
+    assert kept[0].source == "s"
+    clash = frame(spark, [long, None], [1, None]).withColumnRenamed("lang", "n_words").withColumnRenamed("n_chars", "fp")
+    assert {r.doc_id: (r.n_words, r.n_repeat_words) for r in quality_rules(clash).collect()} == {1: (200_000, 200_000), None: (0, 0)}
+    bench = spark.createDataFrame([(1, "ten one two three four five six seven eight nine")], "item_id long, text string")
+    assert {r.doc_id: r.n_hit > 0 for r in decontaminate(clash, bench).collect()} == {1: True, None: False}
+    near = minhash.near_duplicates(df).select("doc_id", "component_id").collect()
+    assert {(r.doc_id, r.component_id) for r in near} == {(1, 1), (2, 1), (None, None), (3, 3)}
+
+
 def test_html():
     page = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>
     <div class="cookie-notice">We use cookies</div><article><h1>Head&amp;line</h1><p><b>First   para.<br><p>Second &eacute;.<div class="ad">Buy</div><p>Third</p>
