@@ -6,14 +6,13 @@ and returns the columns of documents; the last returns the encoded corpus.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright.llm.bpe import round_trip
-from gatewright.llm.common import cut
+from gatewright.llm.common import checkpoint_folder, cut
 from gatewright.llm.decontaminate import decontaminate
 from gatewright.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from gatewright.llm.minhash import near_duplicates
@@ -69,13 +68,13 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("bpe", bpe)]
 
-#: A fitted model decides the first stage, which SQL cannot express; tests compare with a brute-force version.
+#: A fitted model decides the first stage, which SQL cannot express; a test compares run() with plain Python through all five stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written as Parquet in the shared folder and read again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    folder = checkpoint_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = f"{folder}/pipeline-{uuid.uuid4().hex}-{name}"
