@@ -117,7 +117,7 @@ def mapping_rows(contract: DataFrame, object_name: str, source_object: str, upda
 MAPPING_COMMENT = "Mapping provided manually, it cannot or meant to be generated"
 
 
-def emit_control(groups: DataFrame, contract: DataFrame, schema: str = "sharepoint") -> DataFrame:
+def emit_control(groups: DataFrame, contract: DataFrame, schema: str = "landing") -> DataFrame:
     """A proposed control row for each group (group_id, folder, table_name, pattern, members); contract: group_id and emit_contract's columns.
 
     With a key files are added (APPEND), without one they replace (TRUNCATE).

@@ -140,14 +140,14 @@ def enrich_lineage(spark, d):
 
 
 @query("""
-SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE c_mktsegment END AS to_address, 'sharepoint.' || lower(c_mktsegment) AS table_name FROM customer
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE c_mktsegment END AS to_address, 'landing.' || lower(c_mktsegment) AS table_name FROM customer
 """)
 def backfill_coalesce(spark, d):
     c = read(spark, d, "customer").select(
         "c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit(" "), F.col("c_mktsegment"))).when(F.col("c_custkey") % 2 == 0, "  ").alias("to_address"), F.col("c_name").alias("old_address"),
-        F.concat(F.when(F.col("c_custkey") % 2 == 0, "staging.").otherwise("sharepoint."), F.lower("c_mktsegment")).alias("table_name"),
+        F.concat(F.when(F.col("c_custkey") % 2 == 0, "staging.").otherwise("landing."), F.lower("c_mktsegment")).alias("table_name"),
     )
-    return enrich.backfill(c, {"to_address": "old_address"}, {"table_name": "staging->sharepoint"}).drop("old_address")
+    return enrich.backfill(c, {"to_address": "old_address"}, {"table_name": "staging->landing"}).drop("old_address")
 
 
 @query("""
@@ -279,7 +279,7 @@ def mapping_rows(spark, d):
 
 
 @query("""
-SELECT g AS group_id, '/in/' || g AS process_folder, 'sharepoint.t_' || g AS staging_table_name, 'APPEND' AS load_strategy, 'customer_key' AS merge_key_columns, n > 1 AS multi_file_ingest,
+SELECT g AS group_id, '/in/' || g AS process_folder, 'landing.t_' || g AS staging_table_name, 'APPEND' AS load_strategy, 'customer_key' AS merge_key_columns, n > 1 AS multi_file_ingest,
  '{"CustomerKey":"customer_key","Market Segment":"market_segment","market-segment":"market_segment_2"}' AS column_mapping_json, 'wf-t-' || lower(g) || '-' || left(sha256(g), 8) AS workflow_id FROM (SELECT c_mktsegment AS g, count(*) AS n FROM customer GROUP BY 1)
 """)
 def emit_control_row(spark, d):
