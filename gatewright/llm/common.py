@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A table is broadcast only after its rows have been counted and are no more than this.
@@ -46,6 +46,13 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_counted(df: DataFrame, rows: Column | None = None) -> tuple[DataFrame, int]:
+    """keep(), and how many of its rows hold `rows` (all, without it), counted as they are written: no job besides."""
+    seen = Observation()
+    kept = keep(df.observe(seen, F.count_if(F.lit(True) if rows is None else rows).alias("n")))
+    return kept, seen.get["n"]
+
+
 def with_variant(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, text and variant: 0, but a hash of the text for rows whose doc_id stands with different texts.
 

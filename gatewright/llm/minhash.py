@@ -11,10 +11,12 @@ Pairs are not enumerated within a band's bucket.  Each bucket picks one pivot by
 a hash of its own, so that a document meets a different pivot in each band;
 pairs with pivots that pass size and sketch are verified on full sets, and
 verified links give components.  What is left in doubt are members of a bucket
-outside its largest component: they meet the other members of the bucket in a
-join whose condition holds the size and sketch bounds and then the full sets, so
-that only links come out of it.  No link between components that share a bucket
-is lost, and a bucket of copies costs a row a member.
+outside its largest component.  Semi-joins leave those of them that another
+member of the bucket fits by size and sketch, and those that fit them; these
+alone take their full sets along into a join whose condition decides on the sets,
+so that only links come out of it.  No link between components that share a
+bucket is lost, and a bucket of copies costs a row a member.  Intermediate tables
+are kept as Parquet; hot buckets are split by Spark where it sees a skewed join.
 
 Bands and rows follow from the threshold: a pair at it shares no bucket with a
 probability of 2e-5 at most (MISS), and the sketch bound rejects it with one below
@@ -38,11 +40,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut
+from .common import BROADCAST_ROWS, keep, keep_counted
 from .components import connected_components
 
 #: A pair at the threshold shares no bucket with this probability at most; samples that a document has at most for that.
 MISS, MOST_SAMPLES, SKETCH_LONGS = 2e-5, 256, 8
+#: Buckets of more than one member that are broadcast at most.
+BUCKETS_SENT = 100_000
 
 
 @cache
@@ -167,25 +171,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null; of a component the document of smallest (doc_id, fp) is kept, null ids last.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("fp", F.xxhash64("text"))
-    signed = cut(signatures(source, "doc_id", "text", words, percent))
+    signed = keep(signatures(source, "doc_id", "text", words, percent))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
-    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(first).alias("rep"))
-    # cut once, so that the ids stay
-    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
-    of_rep = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("fp") == F.col("rep_fp"))
-    named = classes.select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.fp").alias("rep_fp"), "id", F.col("f1").alias("f1_"), F.col("f2").alias("f2_"), F.col("n").alias("n_"))
-    reps = signed.join(named, of_rep & (F.col("f1") == F.col("f1_")) & (F.col("f2") == F.col("f2_")) & (F.col("n") == F.col("n_")))
-    reps = cut(reps.select("id", "rep_id", "rep_fp", "n", "bands", "sketch").dropDuplicates(["id"]))
-    light = reps.select("id", "n", "sketch")
-
-    placed = reps.select("id", F.posexplode_outer("bands").alias("band", "key"))
-    buckets = (
-        placed.groupBy("band", "key")
-        .agg(F.count("*").alias("m"), F.min_by("id", F.xxhash64("id", "band")).alias("pivot"))
-        .where("m > 1")
-        .select("band", "key", "pivot")
-    )
-    members = cut(placed.join(broadcast_if_small(cut(buckets), 100_000), ["band", "key"]))
+    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(first).alias("rep"), F.first(F.struct("bands", "sketch")).alias("mark"))
+    # kept once, so that the ids stay
+    classes = keep(classes.select(F.monotonically_increasing_id().alias("id"), "f1", "f2", "n", "rep", "mark.bands", "mark.sketch"))
+    light = classes.select("id", "n", "sketch")
+
+    # a key holds the number of its band
+    placed = classes.select("id", F.explode("bands").alias("key"))
+    buckets = placed.groupBy("key").agg(F.count("*").alias("m"), F.min_by("id", F.xxhash64("id", "key")).alias("pivot")).where("m > 1").select("key", "pivot")
+    buckets, n_buckets = keep_counted(buckets)
+    members = keep(placed.join(F.broadcast(buckets) if n_buckets <= BUCKETS_SENT else buckets, "key"))
 
     def with_sketches(pairs: DataFrame) -> DataFrame:
         one = pairs.join(light.toDF("a", "n_a", "s_a"), "a")
@@ -193,43 +190,54 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return two.where(sizes_fit(percent) & (ones("s_a", "s_b") <= most_ones(percent))).select("a", "b")
 
     def full_sets(ids: DataFrame) -> DataFrame:
-        wanted = cut(reps.select("id", "rep_id", "rep_fp").join(ids.distinct(), "id"))
-        texts = source.join(broadcast_if_small(wanted), of_rep).select("id", "text")
-        return cut(sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
+        wanted = classes.select("id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.fp").alias("rep_fp")).join(ids.distinct(), "id")
+        wanted, n_wanted = keep_counted(wanted)
+        of_rep = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("fp") == F.col("rep_fp"))
+        texts = source.join(F.broadcast(wanted) if n_wanted <= BROADCAST_ROWS else wanted, of_rep).select("id", "text")
+        return keep(sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
 
     def linked(x: str, y: str) -> Column:
         common = F.size(F.array_intersect(x, y))
         return 100 * common >= percent * (F.size(x) + F.size(y) - common)
 
     # links with pivots
-    pairs = cut(with_sketches(members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()))
+    pairs = keep(with_sketches(members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()))
     full = full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
     both = pairs.join(full.toDF("a", "i_a"), "a").join(full.toDF("b", "i_b"), "b")
-    links = cut(both.where(linked("i_a", "i_b")).select("a", "b"))
-    labels = connected_components(links)
+    labels = connected_components(both.where(linked("i_a", "i_b")).select("a", "b"))
+
     # what is in doubt: members of a bucket outside its largest component, against all others of the bucket
-    labelled = members.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
+    labelled = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = (
-        labelled.groupBy("band", "key", "component").agg(F.count("*").alias("m"))
-        .groupBy("band", "key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-        .where("parts > 1").select("band", "key", "main")
+        labelled.groupBy("key", "component").agg(F.count("*").alias("m"))
+        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
+        .where("parts > 1").select("key", "main")
     )
-    doubtful = cut(labelled.join(mixed, ["band", "key"]).where("main is not null"))
-    known = reps.drop("rep_id", "rep_fp").join(full_sets(doubtful.select("id")), "id")
-    placed_full = doubtful.join(known, "id")
-    outside = placed_full.where("component <> main").select("band", "key", *[F.col(c).alias(f"{x}_a") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
-    others = placed_full.select("band", "key", "main", *[F.col(c).alias(f"{x}_b") for c, x in (("id", "id"), ("component", "c"), ("n", "n"), ("sketch", "s"), ("bands", "k"), ("items", "i"))])
-    # a pair counts in its first common bucket only; cheap bounds come first, the full sets decide inside the join
-    near = outside.join(others, ["band", "key"]).where(
-        (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))) & sizes_fit(percent)
-        & (ones("s_a", "s_b") <= most_ones(percent)) & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("key")) & linked("i_a", "i_b")
+    doubtful = keep(labelled.join(mixed, "key").select("key", "id", "component", "main").join(light, "id"))
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        names = {"key": "key", "id": "id", "component": "c", "n": "n", "sketch": "s"}
+        return rows.select(*[F.col(c).alias(f"{short}_{x}") for c, short in names.items()], *(["main"] if x == "b" else []))
+
+    fits = (
+        (F.col("key_a") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
+        & sizes_fit(percent) & (ones("s_a", "s_b") <= most_ones(percent))
     )
-    more = cut(near.groupBy(F.col("id_a").alias("a"), "c_b").agg(F.min("id_b").alias("b")).select("a", "b"))
-    if more.limit(1).count():
-        labels = connected_components(links.union(more))
-    ends = labels.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("least"))
-    ends = labels.join(broadcast_if_small(cut(ends)), "component").select("id", "least")
-    firsts = classes.join(ends, "id", "left").select("f1", "f2", "n", F.coalesce("least", "rep").alias("least"))
+    outside = doubtful.where("component <> main")
+    able = keep(side(outside, "a").join(side(doubtful, "b"), fits, "left_semi"))
+    others = keep(side(doubtful, "b").join(able, fits, "left_semi"))
+    full = full_sets(able.select(F.col("id_a").alias("id")).union(others.select("id_b"))).join(classes.select("id", "bands"), "id")
+    able = able.join(full.toDF("id_a", "i_a", "k_a"), "id_a")
+    others = others.join(full.toDF("id_b", "i_b", "k_b"), "id_b")
+    # a pair counts in its first common bucket only
+    near = able.join(others, fits & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("key_a")) & linked("i_a", "i_b"))
+    merged = connected_components(near.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).toDF("component", "joined")
+
+    # of a set: its component by pivots, then what that was joined to
+    own = classes.select("id", "f1", "f2", "n", "rep").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    own = own.join(merged, "component", "left").select("f1", "f2", "n", "rep", F.coalesce("joined", "component").alias("component"))
+    ends = own.groupBy("component").agg(F.min("rep").alias("least"))
+    firsts = own.join(ends, "component").select("f1", "f2", "n", "least")
     alone = F.col("least").isNull()
     return signed.select("doc_id", "fp", "n", "f1", "f2").join(firsts, ["f1", "f2", "n"], "left").select(
         "doc_id",
