@@ -9,8 +9,9 @@ window cannot fit, and the words around decide exactly.
 
 Scale: document words are exploded and probed inside one stage and never
 shuffled; only hits and a row for each document are.  Anchors are broadcast
-after they have been counted; more than `block` of them go in blocks, each
-against all documents, so the size of a broadcast is bounded for any benchmark.
+after they have been counted; more than `block` of them go in blocks by their
+number, each against all documents, so the size of a broadcast is bounded for any
+benchmark.  What is done for an item grows with its words, not with their square.
 A passage that a third of all documents hold costs a few rows a document.
 
 Cases: a null or empty text, or one without words, is a document without words
@@ -23,7 +24,7 @@ different documents; empty tables: no documents, no rows; no items, no hits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, bound, broadcast_if_small, cut, lower_ascii
@@ -57,31 +58,31 @@ def word_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
 def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     """word, item_id, stretch (words of the item), at (of the anchor in it), length (of a window)."""
     items = items.withColumn("row", F.monotonically_increasing_id())
-    placed = items.select("item_id", "row", "w", F.posexplode("w").alias("a", "word")).join(counts, "word")
+    placed = items.select("item_id", "row", F.posexplode("w").alias("a", "word")).join(counts, "word")
+    # the words of an item in order, each with its rank by rarity; a row holds one word until here, and one item from here on
+    rank = F.struct("n", "word", "a").alias("rank")
+    per_item = placed.groupBy("item_id", "row").agg(F.sort_array(F.collect_list(F.struct("a", rank))).alias("ranks")).withColumn("length", F.least(F.size("ranks"), F.lit(window)))
+    ranks, length = F.col("ranks"), F.col("length")
+
+    def lowest(start: Column) -> Column:
+        return F.array_min(F.transform(F.slice(ranks, start + 1, length), lambda x: x["rank"]))["a"]
+
     # a word is the anchor of the windows from the last rarer or equally rare word before it to the next rarer one
-    length = F.least(F.size("w"), F.lit(window))
-    at_item = Window.partitionBy("item_id", "row")
-    ranks = placed.withColumn("ranks", F.sort_array(F.collect_list(F.struct("a", F.struct("n", "word", "a").alias("rank"))).over(at_item)))
+    starts = F.transform(F.sequence(F.lit(0), F.size(ranks) - length), lambda s: F.struct(s.alias("s"), lowest(s).alias("a")))
 
-    def lowest(r: Column, start: Column) -> Column:
-        return F.array_min(F.transform(F.slice(r, start + 1, F.col("length")), lambda x: x["rank"]))["a"]
+    def heads(x: Column) -> Column:
+        return F.filter(x, lambda h, i: (i == 0) | (F.get(x, i - 1)["a"] != h["a"]))
 
-    per_item = ranks.where("a = 0").withColumn("length", length)
-    starts = per_item.select(
-        "item_id", "row", "w", "length",
-        F.explode(bound(F.col("ranks"), lambda r: F.transform(F.sequence(F.lit(0), F.size("w") - F.col("length")), lambda s: F.struct(s.alias("s"), lowest(r, s).alias("a"))))).alias("x"),
-    )
-    return (
-        starts.groupBy("item_id", "row", "w", "length", F.col("x.a").alias("a"))
-        .agg(F.min("x.s").alias("lo"), F.max("x.s").alias("hi"))
-        .select(
-            F.get("w", F.col("a")).alias("word"),
-            "item_id",
-            F.slice("w", F.col("lo") + 1, F.col("hi") + F.col("length") - F.col("lo")).alias("stretch"),
-            (F.col("a") - F.col("lo")).alias("at"),
-            "length",
-        )
-    )
+    def stretches(x: Column) -> Column:
+        def one(h: Column, i: Column) -> Column:
+            stop = F.coalesce(F.get(x, i + 1)["s"], F.size(ranks) - length + 1) - 1 + length
+            words = F.transform(F.slice(ranks, h["s"] + 1, stop - h["s"]), lambda y: y["rank"]["word"])
+            return F.struct(F.get(ranks, h["a"])["rank"]["word"].alias("word"), words.alias("stretch"), (h["a"] - h["s"]).alias("at"))
+
+        return F.transform(x, one)
+
+    found = per_item.select("item_id", "length", F.explode(bound(bound(starts, heads), stretches)).alias("x"))
+    return found.select("x.word", "item_id", "x.stretch", "x.at", "length")
 
 
 def hits(docs: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -134,11 +135,11 @@ def decontaminate(
     """doc_id, fp (hash of the text), n_words, n_hit, items (sorted strings) and spans (array of first and last word)."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("fp"), F.col(text).alias("t"))
     items = cut(items_of(benchmark, item_id, item_text).withColumn("item_id", F.col("item_id").cast("string")).where("item_id is not null"))
-    table = cut(anchors(items, word_counts(d, items), window))
+    table = cut(anchors(items, word_counts(d, items), window).withColumn("nr", F.monotonically_increasing_id()))
     blocks = max(1, -(-table.count() // block))
     found = None
     for b in range(blocks):
-        part = hits(d, table.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == b), window)
+        part = hits(d, table.where(F.pmod("nr", F.lit(blocks)) == b).drop("nr"), window)  # by number: a word of many anchors is split too
         found = part if found is None else found.unionByName(part)
     per_doc = found.groupBy("doc_id", "fp").agg(
         F.max("n_words").alias("n_words"),

@@ -269,6 +269,26 @@ def test_decontaminate(spark):
     assert decontaminate(frame(spark, texts).limit(0), bench).count() == 0
 
 
+def test_decontaminate_equals_brute_force(spark):
+    rng = random.Random(5)
+    draw = lambda n: [rng.choice("abcdefghij") for _ in range(n)]  # noqa: E731  # few words: ties, and anchors that stand in a window several times
+    items = [draw(n) for n in (3, 9, 10, 11, 40, 400)] + [["a"] * 30, ["zz"] * 12]
+    texts = [draw(300) for _ in range(12)] + [draw(50) + x[3:60] + draw(20) + x[:12] for x in items] + [["a"] * 25, ["a"] * 9]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    for block in (50, 1000):
+        got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate(frame(spark, [" ".join(t) for t in texts]), bench, block=block).collect()}
+        for d, t in enumerate(texts):
+            hit, found = set(), set()
+            for k, x in enumerate(items):
+                m = min(10, len(x))
+                windows = {tuple(x[s : s + m]) for s in range(len(x) - m + 1)}
+                for s in range(len(t) - m + 1):
+                    if tuple(t[s : s + m]) in windows:
+                        hit |= set(range(s, s + m))
+                        found.add(str(k))
+            assert got[d] == (len(hit), sorted(found))
+
+
 # models, pages, secrets, output
 
 
