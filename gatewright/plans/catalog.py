@@ -11,6 +11,7 @@ from gatewright.functions import expr as X
 from gatewright.operators import dates, enrich, keys, load, profile, reports
 from gatewright.operators.validate import Column, contract_frame, schema_diff, schema_issues, validate
 from gatewright.operators.validate import text_date_issues as validate_text_dates
+from gatewright.sources.files import oversize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -487,7 +488,7 @@ def payload_kind(spark, d):
 
 @query("SELECT doc_id, n_chars FROM documents WHERE n_chars > 5000")
 def oversize_files(spark, d):
-    return files(spark, d).where("n_chars > 5000").select("doc_id", "n_chars")
+    return oversize(files(spark, d).withColumnRenamed("n_chars", "length"), 5000).select("doc_id", F.col("length").alias("n_chars"))
 
 
 @query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'TRUNCATE' WHEN 1 THEN 'APPEND' WHEN 2 THEN 'TRUNCATE' WHEN 3 THEN 'TRUNCATE' ELSE 'INVALID' END AS strategy FROM orders")

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import header_names
+from gatewright.functions import expr as X
 
 GRID = "path string, tab_index int, tab_name string, row_no int, cells array<string>"
 ALL_TABS = ("*", "ALL", "ALL_SHEETS")
@@ -102,22 +102,37 @@ def select_tabs(grid: DataFrame, wanted: str | None) -> DataFrame:
     return rows
 
 
+def names_of(cells: Column) -> Column:
+    """Column names from the cells of a header row: a blank one is named by its place, a repeated one gets .1, .2, ..."""
+    named = F.transform(cells, lambda c, k: F.coalesce(F.nullif(X.strip(c), F.lit("")), F.concat(F.lit("Unnamed: "), k.cast("string"))))
+
+    def numbered(x: Column) -> Column:
+        def one(name: Column, k: Column) -> Column:
+            before = F.size(F.filter(F.slice(x, F.lit(1), k), lambda y: y == name))
+            return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+
+        return F.transform(x, one)
+
+    return F.get(F.transform(F.array(named), numbered), F.lit(0))
+
+
 def tables(grid: DataFrame, header_skip_rows: int = 0, tab_column: str = "tab_name") -> DataFrame:
     """One table of all tabs in grid, by column name; a column that a tab lacks is null in its rows.
 
-    Only header rows (one a tab) come to the driver, as distinct layouts.  Short
-    rows are padded with nulls, and cells beyond the header are cut.
+    Only the names of the columns come to the driver, in order of place and name.
+    Tabs of several layouts meet their header rows by a join, and each cell is
+    found by its name's place.  Short rows are padded with nulls, and cells beyond
+    the header are cut.
     """
     at = max(header_skip_rows, 0)
-    layouts = [list(r.cells) for r in grid.where(F.col("row_no") == at).select("cells").distinct().orderBy("cells").collect()]
-    heads = grid.where(F.col("row_no") == at).select("path", "tab_index", F.col("cells").alias("_head"))
-    rows = grid.where(F.col("row_no") > at).join(F.broadcast(heads), ["path", "tab_index"]) if len(layouts) > 1 else grid.where(F.col("row_no") > at)
-    out = None
-    for head in layouts:
-        names = header_names(head)
-        mine = rows.where(F.col("_head").eqNullSafe(F.array(*[F.lit(x) for x in head]))) if len(layouts) > 1 else rows
-        part = mine.select(*[F.get("cells", F.lit(k)).alias(n) for k, n in enumerate(names)], F.col("tab_name").alias(tab_column), F.col("path").alias("source_path"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    heads = grid.where(F.col("row_no") == at).select("path", "tab_index", names_of(F.col("cells")).alias("_names"))
+    found = heads.select("_names").distinct().select(F.posexplode("_names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"), F.count("*").alias("n")).orderBy("at", "name").collect()
+    if not found:
         raise ValueError("no header row")
-    return out
+    rows = grid.where(F.col("row_no") > at)
+    if len({r["at"] for r in found}) == len(found) and all(r["n"] == 1 for r in found):  # one layout
+        cells = [F.get("cells", F.lit(r["at"])).alias(r["name"]) for r in found]
+    else:
+        rows = rows.join(heads, ["path", "tab_index"])
+        cells = [F.get("cells", F.array_position("_names", F.lit(r["name"])).cast("int") - 1).alias(r["name"]) for r in found]
+    return rows.select(*cells, F.col("tab_name").alias(tab_column), F.col("path").alias("source_path"))

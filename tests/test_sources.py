@@ -76,6 +76,22 @@ def test_workbook_tabs(spark, tmp_path):
         workbook.select_tabs(grid, "West")
 
 
+def test_workbook_tabs_of_several_layouts(spark):
+    rows = [
+        ("a", 0, "North", 0, ["id", "name"]), ("a", 0, "North", 1, ["1", "x", "beyond"]), ("a", 1, "South", 0, ["name", None, "name"]), ("a", 1, "South", 1, ["y", "u"]),
+        ("b", 0, "East", 0, ["id", "name"]), ("b", 0, "East", 2, ["3"]),
+    ]
+    grid = spark.createDataFrame(rows, workbook.GRID)
+    whole = workbook.tables(grid)
+    assert whole.columns == ["id", "name", "Unnamed: 1", "name.1", "tab_name", "source_path"]
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(
+        [("1", "x", None, None, "North", "a"), (None, "y", "u", None, "South", "a"), ("3", None, None, None, "East", "b")], key=str
+    )
+    assert workbook.tables(grid.where("tab_name <> 'South'")).columns == ["id", "name", "tab_name", "source_path"]
+    with pytest.raises(ValueError, match="no header row"):
+        workbook.tables(grid, header_skip_rows=9)
+
+
 def test_control(spark):
     rows = [(1, 1, "a", "y", None, False), (2, 1, "b", "1", " test ", False), (3, 2, "c", "0", "real", False), (4, 2, "d", "Y", "", True), (5, 2, "e", None, None, None)]
     c = spark.createDataFrame(rows, "id int, process_id int, workflow_id string, is_active string, ingestion_scope string, is_test_data boolean")
