@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Encoded pieces that a worker remembers.
-CACHE = 400_000
+#: Pieces, parts and pairs (of each so many) that a task remembers; it forgets them at its end, as workers live on.
+CACHE = 100_000
 LEAF = 2048
 #: Parts of so many bytes are remembered; data of more bytes is merged by a heap.
 PART, SHORT = 8, 48
@@ -94,6 +94,8 @@ class Encoder:
     def pair(self, a: int, b: int) -> tuple[int, ...]:
         got = self.pairs.get((a, b))
         if got is None:
+            if len(self.pairs) >= CACHE:
+                self.pairs.clear()
             got = self.pairs[a, b] = tuple(self.merge(self.bytes_of[a] + self.bytes_of[b]))
         return got
 
@@ -136,6 +138,11 @@ class Encoder:
                 self.pieces[text] = got
         return got
 
+    def forget(self) -> None:
+        """Drop what was remembered; results do not depend on it."""
+        for memory in (self.pairs, self.parts, self.pieces):
+            memory.clear()
+
     def encode(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         """For each piece its ids, and the same as decimal text."""
         if not text:
@@ -173,6 +180,7 @@ def encode_column(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
         for b in batches:
             ids = [list(chain.from_iterable(p[0] for p in e.encode(t))) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        e.forget()
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -208,6 +216,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rank
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(data_hash, pa.string()), pa.array(kept, pa.list_(pa.int32()))],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"],
             )
+        e.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>")
