@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .decontaminate import decontaminate
+from .fill_in_middle import fill_in_middle, restored
 from .html_extract import extract
 from .line_dedup import apply_bitmaps, keep_bitmaps
 from .minhash import near_duplicates
+from .prefix_trie import conversation_trie
 from .quality_rules import quality_rules
 from .secrets_scan import as_text, find_secrets
+from .simhash import simhash_duplicates
 from .suffix_dedup import suffix_dedup
 from .token_output import read_segments, write_segments
 from .toxicity import score, train
@@ -85,6 +88,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(restored(F.col("output"), F.col("form")), 256)}
+    return made.withColumns(digests).drop("output")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_bpe": op2_bpe,
@@ -96,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_array": op9_suffix_array,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash": op13_simhash,
 }
 
 _WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
@@ -137,5 +158,15 @@ m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(
  FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id LEFT JOIN lost ON w.doc_id = lost.doc_id),
 v AS (SELECT *, word_chars > 0 AND word_chars - removed_chars < 0.3 * word_chars AS depleted, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_chars, depleted, base_failed, NOT base_failed AND NOT depleted AS kept FROM v
+""",
+    "op11_fill_in_middle": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+ CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+ CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
 """,
 }
