@@ -168,5 +168,17 @@ c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(
 p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+""",
+    "op12_prefix_trie": r"""
+WITH t AS (SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, l, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: list_concat([CAST(ascii(x) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+ lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 9 AS h FROM t),
+r AS (SELECT h.c, list_concat(coalesce(b.l, [])[1:h], h.l[h + 1:]) AS l FROM h LEFT JOIN t b ON b.c = h.c - h.c % 5),
+m AS (SELECT c, d, l[1:d] AS k, d = len(l) AS ends FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM r)),
+n AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS e FROM m GROUP BY k, d),
+w AS (SELECT n.*, (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(n.k[d].t) END AS own, coalesce(ch.n, 0) AS n_children FROM n LEFT JOIN (SELECT k[1:d - 1] AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY 1) ch ON n.k = ch.k),
+s AS (SELECT k[1:a] AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own) AS saved FROM (SELECT k, own, n_children, unnest(range(0, d + 1)) AS a FROM w) GROUP BY 1)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(w.e) AS ends_sha256
+FROM w JOIN s ON w.k = s.k LEFT JOIN n p ON w.d > 0 AND p.k = w.k[1:w.d - 1]
 """,
 }
