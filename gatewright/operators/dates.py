@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from gatewright.functions import expr as X
 
+from .samples import with_samples
+
 COUNTS = ("n_values", "n_dmy", "n_mdy", "n_ambiguous", "n_ymd", "n_invalid")
 
 
@@ -67,6 +69,15 @@ def order_evidence(df: DataFrame, column: str, by: list[str] | None = None) -> D
     )
 
 
+def invalid_samples(df: DataFrame, column: str, by: list[str] | None = None, most: int = 5) -> DataFrame:
+    """n_invalid and invalid: how many filled values of each group are no digit dates, and the smallest few of them, distinct."""
+    by = by or []
+    read = read_orders(df.select(*by, F.col(column).alias("t")), F.col("t"))
+    wrong = (F.trim("t") != "") & ~F.coalesce(F.col("dmy") | F.col("mdy") | F.col("ymd"), F.lit(False))
+    rows = read.select(*by, F.when(wrong, F.col("t")).alias("bad"))
+    return with_samples(rows.groupBy(*by).agg(F.count("bad").alias("n_invalid")), rows, by, "bad", "invalid", most)
+
+
 def merge_evidence(evidence: DataFrame, by: list[str] | None = None) -> DataFrame:
     return evidence.groupBy(*(by or [])).agg(*[F.sum(c).alias(c) for c in COUNTS], F.bool_or("has_time").alias("has_time"), F.min("invalid_sample").alias("invalid_sample"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gatewright.functions import expr as X
 
 from .profile import code_like, column_statistics, narrowest_type
+from .samples import with_samples
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,6 +24,15 @@ def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     return duplicate_groups(df, keys).agg(F.count("*").alias("dup_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("dup_rows"))
 
 
+def duplicate_samples(df: DataFrame, keys: list[str], by: list[str], most: int = 5) -> DataFrame:
+    """dup_groups, dup_rows and samples (keys as text, joined by a bar, the smallest few) of each load; a null is an empty text in a sample."""
+    groups = df.groupBy(*by, *keys).agg(F.count("*").alias("n"))
+    text = F.array_join(F.array(*[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys]), "|")
+    rows = groups.select(*by, "n", F.when(F.col("n") > 1, text).alias("key"))
+    counts = rows.groupBy(*by).agg(F.count("key").alias("dup_groups"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("dup_rows"))
+    return with_samples(counts, rows, by, "key", "samples", most)
+
+
 def key_conflicts(staged: DataFrame, target: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Distinct staged keys that the target holds; a null never matches."""
     t = target.select(*[F.col(v).alias(k) for k, v in pairs.items()])
@@ -55,14 +65,43 @@ def key_candidates(df: DataFrame, stats: DataFrame | None = None) -> list[str]:
     return [c for c in own if c in sure or c in codes]
 
 
-def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3, tab: str | None = None) -> list[str] | None:
+#: Rows of the sample that refutes combinations; combinations that one job tests at most.
+SAMPLE_ROWS, AT_ONCE = 20_000, 64
+
+
+def repeated(df: DataFrame, combos: list[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Which of the combinations of columns (without nulls) occur twice, by one job over grouping sets.
+
+    Each row is sent once for each combination; a combination's verdict is one
+    flag a task.  Only the names of those found come to the driver.
+    """
+    if not combos:
+        return set()
+    names = list(dict.fromkeys(c for combo in combos for c in combo))
+    short = {c: f"k{i}" for i, c in enumerate(names)}
+    rows = df.select(*[F.col(f"`{c}`").alias(k) for c, k in short.items()])
+    sets = [[F.col(short[c]) for c in combo] for combo in combos]
+    counted = rows.groupingSets(sets, *short.values()).agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+    found = {r.g for r in counted.where("n > 1").select("g").distinct().collect()}
+    # a bit of grouping_id is set where the column is left out, the first column's is the highest
+    number = {combo: sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in combo) for combo in combos}
+    return {combo for combo in combos if number[combo] in found}
+
+
+def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3, tab: str | None = None, sample_rows: int = SAMPLE_ROWS) -> list[str] | None:
     """The first combination of up to `most` candidates, in their order, that is unique and free of nulls.
 
     Without candidates they are found (key_candidates).  If none fits and there
-    is a tab column, the same are tried with it.  One job counts nulls and
-    distinct values of each candidate.  A column with a null is out; a
-    combination whose distinct counts multiply to less than the number of rows
-    cannot be unique and is not tested.
+    is a tab column, the same are tried with it.  The search goes by level:
+
+    - one job counts rows, nulls and about the distinct values of each candidate;
+      a column with a null is out, and a combination whose distinct counts
+      multiply to less than the number of rows cannot be unique;
+    - a job over a sample tests a level's combinations by grouping sets: what
+      repeats there is refuted, whatever the other rows hold;
+    - a job over all rows tests the level's survivors, which are few, likewise; the
+      first unique one in order ends the search, so that what contains it is never
+      tested.  Levels of more than AT_ONCE combinations take several such pairs.
     """
     candidates = key_candidates(df) if candidates is None else candidates
     extra = [tab] if tab and tab in df.columns else []
@@ -71,21 +110,38 @@ def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3,
         return None
     first = df.agg(
         F.count("*").alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{k}") for k, c in enumerate(names)],
-        *[F.approx_count_distinct(c, 0.02).alias(f"distinct_{k}") for k, c in enumerate(names)],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{k}") for k, c in enumerate(names)],
+        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"distinct_{k}") for k, c in enumerate(names)],
     ).first()
-    if not first["rows"]:
+    rows = first["rows"]
+    if not rows:
         return None
     counts = {c: first[f"distinct_{k}"] for k, c in enumerate(names) if not first[f"nulls_{k}"]}
-    for more in [[], extra] if extra and extra[0] in counts else [[]]:
-        for size in range(1, most + 1):
-            for combo in combinations([c for c in candidates if c in counts], size):
-                chosen = [*combo, *more]
-                room = 1.0
-                for c in chosen:
-                    room *= 1.2 * counts[c]  # far beyond the error of the estimate
-                if room >= first["rows"] and not duplicate_groups(df, chosen).limit(1).count():
-                    return chosen
+
+    def may_be(combo: tuple[str, ...]) -> bool:
+        room = 1.0
+        for c in combo:
+            room *= 1.2 * counts[c]  # far beyond the error of the estimate
+        return room >= rows
+
+    usable = [c for c in candidates if c in counts]
+    levels = [[(*combo, *more) for combo in combinations(usable, size)] for more in ([[], extra] if extra and extra[0] in counts else [[]]) for size in range(1, most + 1)]
+    levels = [[combo for combo in level if may_be(combo)] for level in levels]
+    # a share of the rows by a seeded draw: rows that are there, so that what repeats among them repeats in the table
+    sample = df.sample(min(1.0, sample_rows / rows), 17).persist() if sample_rows < rows else None
+    try:
+        for level in levels:
+            for at in range(0, len(level), AT_ONCE):
+                part = level[at : at + AT_ONCE]
+                if sample is not None:
+                    refuted = repeated(sample, part)
+                    part = [combo for combo in part if combo not in refuted]
+                wrong = repeated(df, part)
+                if left := [combo for combo in part if combo not in wrong]:
+                    return list(left[0])
+    finally:
+        if sample is not None:
+            sample.unpersist()
     return None
 
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gatewright.sources.versions import VersionedTable
+
 from .keys import duplicate_groups, key_conflicts
 
 
@@ -74,8 +80,32 @@ def check_key(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"PRIMARY_KEY_VIOLATION: {len(found)} or more keys with duplicates. Sample duplicate key values: {[tuple(r)[:-1] for r in found]}")
 
 
+def swap(table: VersionedTable, chunks: DataFrame | list[DataFrame], strategy: str = "TRUNCATE", keys: list[str] | None = None) -> int:
+    """Stage one frame or several chunks of a load, check the keys of all of them, and make them live in one commit; the commit's number.
+
+    Whatever fails before the commit leaves the table as it was, and what was
+    staged is dropped.  APPEND also checks the keys against the live rows.
+    """
+    chunks = chunks if isinstance(chunks, list) else [chunks]
+    after, version = max(table.numbers(), default=0), None
+    try:
+        for df in chunks:
+            version = table.stage(df, version)
+        rows = table.staged(version, chunks[0].schema)
+        if keys:
+            check_key(rows, keys)
+            if strategy == "APPEND" and after:
+                if conflicts := key_conflicts(rows, table.read(after), {k: k for k in keys}).limit(5).collect():
+                    raise ValueError(f"PRIMARY_KEY_VIOLATION: keys in target: {[tuple(r) for r in conflicts]}")
+        return table.commit(version, chunks[0].schema, strategy, after)
+    except Exception:
+        if version:
+            table.discard(version)
+        raise
+
+
 def write_swap(spark: SparkSession, df: DataFrame, folder: str, version: str, keys: list[str] | None = None) -> DataFrame:
-    """Write a new version beside the old one and read it; readers of the old version are not disturbed.  Its keys, if named, are checked first."""
+    """Write a new version beside the old one and read it, without a manifest (see swap).  Its keys, if named, are checked first."""
     if keys:
         check_key(df, keys)
     path = f"{folder}/_v={version}"
@@ -83,6 +113,72 @@ def write_swap(spark: SparkSession, df: DataFrame, folder: str, version: str, ke
     return spark.read.parquet(path)
 
 
+_BUCKET = re.compile(r"^_bucket_of_(\d+)$")
+
+
+def write_buckets(df: DataFrame, path: str, keys: list[str], buckets: int = 64) -> None:
+    """A table in folders by a hash of its key, which merge_buckets can merge into."""
+    name = f"_bucket_of_{buckets}"
+    df.withColumn(name, _bucket(keys, buckets)).repartition(name).write.mode("overwrite").partitionBy(name).parquet(path)
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df.drop(*[c for c in df.columns if _BUCKET.match(c)])
+
+
+def merge_buckets(source: DataFrame, path: str, keys: list[str]) -> int:
+    """upsert() into a table of write_buckets: only the folders that hold keys of the source are read and replaced; how many.
+
+    The number of buckets stands in the name of the partition column.  At most so
+    many numbers come to the driver; the filter on them reaches the scan as a
+    partition filter.  A folder is replaced when the job commits; of several, a
+    crash in that moment may leave some replaced, and the same merge run again
+    gives the same rows.
+    """
+    stored = source.sparkSession.read.parquet(path)
+    name = next(c for c in stored.columns if _BUCKET.match(c))
+    buckets = int(_BUCKET.match(name)[1])
+    touched = sorted(r[0] for r in source.select(_bucket(keys, buckets)).distinct().collect())
+    if not touched:
+        return 0
+    merged = upsert(touched_rows(stored, name, touched).drop(name), source, keys)
+    out = merged.withColumn(name, _bucket(keys, buckets)).repartition(name)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+    return len(touched)
+
+
+def touched_rows(stored: DataFrame, name: str, touched: list[int]) -> DataFrame:
+    return stored.where(F.col(name).isin(touched))
+
+
+@dataclass(frozen=True)
+class Metrics:
+    rows_scanned: int
+    rows_loaded: int
+    error_count: int
+    null_key_rows: int
+
+
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], keys: list[str] | None = None, error: Column | None = None) -> Metrics:
+    """Write the rows of df that are no errors, and count on the way: scanned, loaded, errors, rows with a null in the key.
+
+    The counts are taken from the rows as they pass to the writer, by the tasks
+    whose output is committed; nothing is read a second time.
+    """
+    scanned, loaded = Observation(), Observation()
+    wrong = F.coalesce(error, F.lit(False)) if error is not None else F.lit(False)
+    no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) if keys else F.lit(False)
+    seen = df.observe(scanned, F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("errors"), F.count_if(no_key).alias("null_keys"))
+    write(seen.where(~wrong).observe(loaded, F.count(F.lit(1)).alias("rows")))
+    got, kept = scanned.get, loaded.get
+    return Metrics(got["rows"], kept["rows"], got["errors"], got["null_keys"])
+
+
 def staging_only(control: DataFrame, known: DataFrame) -> DataFrame:
     """control with strategy, target, promote and error for a run that ends in staging.
 
@@ -119,3 +215,7 @@ def ledger_events(spark: SparkSession, audit_id: str, seq: int, status: str, **f
     """One event row for an append-only ledger: STARTED, then SUCCESS or FAILED of the same audit id, also where no start was written."""
     columns = {"audit_id": audit_id, "seq": seq, "status": status, **facts}
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in columns.items()])
+
+
+def metric_columns(metrics: Metrics) -> dict[str, Column]:
+    return {k: F.lit(v).cast("bigint") for k, v in asdict(metrics).items()}

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column as Column_
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatewright.functions import expr as X
 
 from .profile import column_statistics, family
+from .samples import with_samples
 
 #: Columns that loads fill themselves, and type names by family.
 MANAGED = ("sp_ingest_load_dt", "audit_id", "__$batch_id", "__$job_instance_id")
@@ -39,16 +41,31 @@ def contract_frame(spark: SparkSession, columns: Iterable[Column]) -> DataFrame:
     return df.withColumn("family", kind)
 
 
-def contract_columns(table: DataFrame, keys: Iterable[str] = ()) -> list[Column]:
-    """The contract that a table's own schema states, in its order."""
+#: What Spark writes beside a text column that was declared with a length; its type in a frame is string.
+DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+_LENGTH = re.compile(r"^(varchar|char)\((\d+)\)$")
+
+
+def contract_columns(table: DataFrame | str, keys: Iterable[str] = (), spark: SparkSession | None = None) -> list[Column]:
+    """The contract that a table's own schema states, in its order; a name is looked up in the session's catalog.
+
+    Lengths of char and varchar columns come from what the catalog or the frame's
+    schema keeps of their declaration.
+    """
+    declared = {}
+    if isinstance(table, str):
+        spark = spark or SparkSession.active()
+        declared = {c.name: c.dataType for c in spark.catalog.listColumns(table)}
+        table = spark.table(table)
     names = {T.ByteType: "tinyint", T.ShortType: "smallint", T.IntegerType: "int", T.LongType: "bigint", T.BooleanType: "bit", T.FloatType: "real", T.DoubleType: "float", T.DateType: "date", T.TimestampType: "datetime2", T.TimestampNTZType: "datetime2"}
     out = []
     for f in table.schema:
         kind, key = f.dataType, f.name in set(keys)
-        if isinstance(kind, T.DecimalType):
+        sized = _LENGTH.match(f.metadata.get(DECLARED) or declared.get(f.name) or kind.simpleString())
+        if sized:
+            out.append(Column(f.name, sized[1], char_len=int(sized[2]), is_key=key))
+        elif isinstance(kind, T.DecimalType):
             out.append(Column(f.name, "decimal", precision=kind.precision, scale=kind.scale, is_key=key))
-        elif isinstance(kind, T.VarcharType | T.CharType):
-            out.append(Column(f.name, "varchar", char_len=kind.length, is_key=key))
         else:
             out.append(Column(f.name, names.get(type(kind), "varchar"), is_key=key))
     return out
@@ -102,9 +119,8 @@ def text_date_issues(df: DataFrame, contract: DataFrame, samples: int = 5) -> Da
     if not texts:
         return df.sparkSession.createDataFrame([], "severity string, code string, column_name string, detail string")
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), X.strip(F.col(f"`{c}`")).alias("t")) for c in texts])).alias("x")).select("x.*").where(X.is_date_like(F.col("t")))
-    counted = cells.groupBy("c", "t").agg(F.count("*").alias("n"))
-    first = counted.withColumn("place", F.row_number().over(Window.partitionBy("c").orderBy("t")))
-    return first.groupBy("c").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.when(F.col("place") <= samples, F.col("t")))).alias("s")).select(
+    counts = cells.groupBy("c").agg(F.count("*").alias("n"))
+    return with_samples(counts, cells, ["c"], "t", "s", samples).select(
         F.lit("WARNING").alias("severity"), F.lit("EXCEL_DATETIME_STORED_AS_TEXT").alias("code"), F.col("c").alias("column_name"),
         F.concat(F.lit("count="), F.col("n").cast("string"), F.lit(", samples="), F.array_join("s", ", ")).alias("detail"),
     )
@@ -129,13 +145,13 @@ def schema_diff(contract: DataFrame, source_columns: list[str] | DataFrame) -> D
 
 def validate(df: DataFrame, contract: DataFrame, null_threshold: float = 0.9) -> DataFrame:
     """severity, code, column_name, detail of every finding; one scan of df and joins of two tiny tables."""
-    stats = family(column_statistics(df)).withColumn("k", F.lower(F.trim("column_name")))
+    stats = column_statistics(df).withColumn("k", F.lower(F.trim("column_name")))
     c = contract.withColumn("k", F.lower(F.trim("column_name"))).where(~F.col("k").isin(*MANAGED))
-    both = stats.join(F.broadcast(c.select("k", "family", "data_type", "char_len", "precision", "scale")), "k")
+    both = family(stats.join(F.broadcast(c.select("k", "family", "data_type", "char_len", "precision", "scale")), "k"), df.schema, F.col("family"))
     numeric = (F.col("family") == "numeric") & (F.col("source_family") == "numeric") & ~F.col("data_type").isin("float", "real")
     ratio = F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows")).otherwise(0.0)
     checks = [
-        ("ERROR", "TYPE_MISMATCH", F.col("family").isin("numeric", "datetime", "bool") & (F.col("source_family") != "any") & (F.col("source_family") != F.col("family")) & ~((F.col("family") == "bool") & F.col("all_bit")), F.col("source_family")),
+        ("ERROR", "TYPE_MISMATCH", F.col("family").isin("numeric", "datetime", "bool") & (F.col("source_family") != "any") & (F.col("source_family") != F.col("family")), F.col("source_family")),
         ("ERROR", "STRING_LENGTH_EXCEEDED", (F.col("source_family") == "string") & (F.col("char_len") > 0) & (F.col("max_len") > F.col("char_len")), F.col("max_len").cast("string")),
         ("ERROR", "NUMERIC_PRECISION_EXCEEDED", numeric & (F.col("precision") > 0) & (F.col("max_total") > F.col("precision")), F.col("max_total").cast("string")),
         ("ERROR", "NUMERIC_SCALE_EXCEEDED", numeric & (F.col("max_fraction") > F.coalesce("scale", F.lit(0))), F.col("max_fraction").cast("string")),

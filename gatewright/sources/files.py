@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes without a character in Windows-1252; a file that holds one is read as Latin-1.
 UNDEFINED_1252 = ("81", "8D", "8F", "90", "9D")
+_OWN_1252 = bytes(x for x in range(0x80, 0xA0) if f"{x:02X}" not in UNDEFINED_1252)
+_CHARACTERS_1252 = (_OWN_1252.decode("latin-1"), _OWN_1252.decode("cp1252"))
 
 
 def inventory(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -56,13 +58,17 @@ def encodings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _peek(spark: SparkSession, path: str, skip: int, encoding: str) -> tuple[int, list[str]]:
-    """How many of the first `skip` lines hold text, and the names in the line after them."""
-    lines = [r.value for r in spark.read.text(path).head(skip + 1)]
-    filled = sum(bool(x.strip()) for x in lines[:skip])
-    whole = spark.read.schema("line string").option("sep", "\u0001").option("quote", "").option("encoding", encoding).csv(path).head(filled + 1)
-    if len(whole) <= filled:
-        raise ValueError(f"no header row in {path}")
-    return filled, header_names(next(csv.reader([whole[-1].line.removeprefix("﻿")])))
+    """How many of the first `skip` lines hold text, and the names in the first line with text after them."""
+    raw, n = spark.read.text(path).select(F.col("value").cast("binary").alias("value")), skip + 1
+    while True:
+        lines = [bytes(r.value) for r in raw.head(n)]
+        header = next((x for x in lines[skip:] if x.strip()), None)
+        if header is not None:
+            text = header.decode("utf-8-sig" if encoding.lower() == "utf-8" else {"windows-1252": "cp1252"}.get(encoding.lower(), encoding))
+            return sum(bool(x.strip()) for x in lines[:skip]), header_names(next(csv.reader([text])))
+        if len(lines) < n:
+            raise ValueError(f"no header row in {path}")
+        n *= 2
 
 
 def header_names(cells: list[str | None]) -> list[str]:
@@ -77,7 +83,7 @@ def header_names(cells: list[str | None]) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, header_skip_rows: int = 0, encoding: str | None = None, multiline: bool = False) -> DataFrame:
-    """All columns as text and source_file_name, from files of one encoding and layout (see encodings).
+    """All columns as text and source_file_name, from files of one encoding and layout (loadset.load_set takes files of several).
 
     Files are split between tasks unless records hold line breaks (multiline).
     A preamble is dropped where a file's first split is read; nothing is
@@ -85,17 +91,27 @@ def read_csv(spark: SparkSession, path: str, header_skip_rows: int = 0, encoding
     """
     skip = max(header_skip_rows, 0)
     encoding = encoding or "utf-8"
-    if encoding.lower() == "windows-1252":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else the reader refuses it; stays set, as rows are read later
     first = path if not (files := spark.read.text(path).inputFiles()) else sorted(files)[0]
     filled, names = _peek(spark, first, skip, encoding)
+    return read_layout(spark, path, names, encoding, filled if skip else None, multiline)
+
+
+def from_latin_1(text: Column) -> Column:
+    """Text of Windows-1252 that was read as ISO-8859-1: the two differ in 27 characters."""
+    return F.translate(text, *_CHARACTERS_1252)
+
+
+def read_layout(spark: SparkSession, paths: str | list[str], names: list[str], encoding: str, filled: int | None, multiline: bool = False) -> DataFrame:
+    """Delimited files of known column names; filled preamble lines with text stand above the header (None: no preamble at all)."""
+    cp1252 = encoding.lower() == "windows-1252"  # which the reader refuses
     schema = ", ".join(f"`c{k}` string" for k in range(len(names)))
-    reader = spark.read.schema(schema).option("quote", '"').option("escape", '"').option("encoding", encoding).option("multiLine", multiline)
-    name = F.col("_metadata.file_name").alias("source_file_name")
-    if not skip:
-        rows = reader.option("header", True).option("enforceSchema", True).csv(path)
-        return rows.select("*", name).toDF(*names, "source_file_name")
-    rows = reader.csv(path).select("*", name, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"))
+    reader = spark.read.schema(schema).option("quote", '"').option("escape", '"').option("encoding", "iso-8859-1" if cp1252 else encoding).option("multiLine", multiline)
+    cells = [(from_latin_1(F.col(f"c{k}")) if cp1252 else F.col(f"c{k}")).alias(f"c{k}") for k in range(len(names))]
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("source_file_name")  # it comes as in an address
+    if filled is None:
+        rows = reader.option("header", True).option("enforceSchema", True).csv(paths)
+        return rows.select(*cells, name).toDF(*names, "source_file_name")
+    rows = reader.csv(paths).select(*cells, name, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: dict[str, int] = {}

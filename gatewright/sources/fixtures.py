@@ -7,6 +7,9 @@ the same in each run and SQL can state it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,19 @@ def preamble_lines(table: DataFrame, lines: int = 2) -> DataFrame:
     return top.unionByName(table.select((F.monotonically_increasing_id() + lines + 1).alias("n"), row.alias("value"))).orderBy("n").select("value")
 
 
+def preamble_files(table: DataFrame, lines: list[str]) -> DataFrame:
+    """value: the lines of delimited files, of which each (one a task) begins with the preamble and a header; write with text()."""
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in table.columns]
+    head = [*lines, ",".join(table.columns)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(head)], names=["value"])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("value")], names=["value"])
+
+    return table.select(F.concat_ws(",", *quoted).alias("value")).mapInArrow(run, "value string")
+
+
 #: What a defect puts into a cell.
 DEFECTS = {"bad_number": "ABC", "date_as_number": "2025-03-01", "bad_date": "not-a-date", "impossible_date": "31/13/2025", "blank": "", "too_long": "X" * 400, "precision": "1234567890123456789", "scale": "123.456", "text_date": "31/01/2025"}
 
