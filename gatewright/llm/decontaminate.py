@@ -18,7 +18,7 @@ Cases: a null or empty text, or one without words, is a document without words
 and never contaminated; an item without words or
 without id is ignored; an item of fewer than
 `window` words is one window; equal items all count; rows that share doc_id and
-text are one document (returned once); rows that share only doc_id are
+text come back as often as they were given; rows that share only doc_id are
 different documents; empty tables: no documents, no rows; no items, no hits.
 """
 
@@ -145,6 +145,7 @@ def decontaminate(
         F.max("n_words").alias("n_words"),
         F.sort_array(F.collect_set("item_id")).alias("items"),
         F.sort_array(F.collect_set(F.when(F.col("item_id").isNotNull(), F.struct("lo", "hi")))).alias("spans"),
+        F.count_if(F.col("item_id").isNull()).alias("marks"),  # one a row and block
     )
     # spans come by their first word: each adds what lies beyond the furthest last word so far
     walked = F.aggregate(
@@ -156,4 +157,5 @@ def decontaminate(
         ),
         lambda a: a["n"],
     )
-    return per_doc.select("doc_id", "fp", "n_words", walked.alias("n_hit"), "items", "spans")
+    once = per_doc.select("doc_id", "fp", "n_words", walked.alias("n_hit"), "items", "spans", "marks")
+    return once.select("*", F.explode(F.array_repeat(F.lit(0), (F.col("marks") / blocks).cast("int"))).alias("copy")).drop("marks", "copy")

@@ -24,9 +24,8 @@ from .common import BLANK, bound, broadcast_if_small, cut, lower_ascii, strip_bl
 
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 10
-#: A line is boilerplate of its host from so many documents on, and from this share of the host's documents on.
+#: A line is boilerplate of its host from so many of its documents on, however many the host has.
 LINE_MIN_DOCS = 10
-LINE_MIN_SHARE = 0.001
 #: A document is depleted if less than this share of its characters outside white space stays.
 KEEP_SHARE = 0.3
 GRAM = 5
@@ -101,18 +100,12 @@ def line_keys(text: Column) -> Column:
     )
 
 
-def cross_document_lines(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = LINE_MIN_DOCS, min_share: float = LINE_MIN_SHARE) -> DataFrame:
-    """host, h1, h2, n_docs of the lines over the limits."""
+def cross_document_lines(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = LINE_MIN_DOCS) -> DataFrame:
+    """host, h1, h2, n_docs of the lines over the limit."""
     t = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(host).alias("host"), t.alias("t"))
     lines = base.select("host", F.explode_outer(F.array_distinct(line_keys(F.col("t")))).alias("k")).where("k is not null").select("host", "k.h1", "k.h2")
-    counted = lines.groupBy("host", "h1", "h2").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    hosts = base.groupBy(F.col("host").alias("host_")).agg(F.count("*").alias("host_docs"))
-    return (
-        counted.join(hosts, F.col("host").eqNullSafe(F.col("host_")))
-        .where(F.col("n_docs") >= min_share * F.col("host_docs"))
-        .select("host", "h1", "h2", "n_docs")
-    )
+    return lines.groupBy("host", "h1", "h2").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
 
 
 def quality_rules(
@@ -121,12 +114,11 @@ def quality_rules(
     text: str = "text",
     host: str = "source",
     min_docs: int = LINE_MIN_DOCS,
-    min_share: float = LINE_MIN_SHARE,
     keep_share: float = KEEP_SHARE,
 ) -> DataFrame:
     """One row for each row of docs: doc_id, the base metrics, removed_chars, depleted, base_failed and kept."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), F.col(host).alias("host"))
-    frequent = broadcast_if_small(cut(cross_document_lines(docs, "t", "host", min_docs, min_share)))
+    frequent = broadcast_if_small(cut(cross_document_lines(docs, "t", "host", min_docs)))
     key = [F.col("doc_id"), F.xxhash64("t").alias("fp"), F.col("host")]
     lines = docs.select(*key, F.explode_outer(line_keys(F.coalesce(F.col("t"), F.lit("")))).alias("k")).where("k is not null").select("doc_id", "fp", "host", "k.*")
     f = frequent.select(F.col("host").alias("host_"), F.col("h1").alias("h1_"), F.col("h2").alias("h2_"))

@@ -150,8 +150,7 @@ g AS (SELECT doc_id, s, array_to_string(w[s + 1 : s + 5], ' ') AS g FROM (SELECT
 r AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest(range(s, s + 5)) AS p FROM g JOIN r ON g.doc_id = r.doc_id AND g.g = r.g) GROUP BY doc_id),
 l AS (SELECT doc_id, source, {_STRIPPED.format('x')} AS key FROM (SELECT doc_id, source, unnest(ls) AS x FROM w)),
-hosts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-f AS (SELECT source, key FROM (SELECT source, key, count(DISTINCT doc_id) AS n_docs FROM l GROUP BY source, key) x JOIN hosts USING (source) WHERE n_docs >= 10 AND n_docs >= 0.001 * n),
+f AS (SELECT source, key FROM (SELECT source, key, count(DISTINCT doc_id) AS n_docs FROM l GROUP BY source, key) WHERE n_docs >= 10),
 lost AS (SELECT doc_id, sum(length(regexp_replace(l.key, '[\x20\x09-\x0D]+', '', 'g'))) AS c FROM l JOIN f ON l.source = f.source AND l.key = f.key GROUP BY doc_id),
 m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, CAST(coalesce(lost.c, 0) AS BIGINT) AS removed_chars

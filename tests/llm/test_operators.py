@@ -257,6 +257,24 @@ def test_quality_rules(spark):
     assert len(twice) == 2
 
 
+def test_quality_verdict_does_not_depend_on_the_size_of_the_host(spark):
+    boiler = "this line stands in every single document of the host and is long"
+    own = frame(spark, [f"{boiler}\na{k}" for k in range(11)])
+    others = spark.range(1000, 12500).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of its own number "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    alone = {r.doc_id: (r.removed_chars, r.depleted) for r in quality_rules(own.withColumn("source", F.lit("s"))).collect()}
+    beside = {r.doc_id: (r.removed_chars, r.depleted) for r in quality_rules(own.select("doc_id", "text", F.lit("s").alias("source")).unionByName(others)).where("doc_id < 1000").collect()}
+    assert alone == beside and all(n > 0 and gone for n, gone in alone.values())
+
+
+def test_decontaminate_returns_rows_as_often_as_given(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    bench = spark.createDataFrame([(1, item), (2, item + " nu")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item)] * 3 + [(2, "clean")] * 2 + [(None, None)] * 2 + [(1, "other")], "doc_id long, text string")
+    for block in (1, 1000):
+        got = [(r.doc_id, r.n_hit) for r in decontaminate(docs, bench, block=block).collect()]
+        assert sorted(got, key=str) == sorted([(1, 12)] * 3 + [(2, 0)] * 2 + [(None, 0)] * 2 + [(1, 0)], key=str)
+
+
 def test_decontaminate(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     bench = spark.createDataFrame([(1, item), (2, "tiny item"), (3, None), (10, item), (4, "!!")], "item_id long, text string")
