@@ -14,7 +14,10 @@ verified links give components.  What is left in doubt are members of a bucket
 outside its largest component.  Semi-joins leave those of them that another
 member of the bucket fits by size and sketch, and those that fit them; these
 alone take their full sets along into a join whose condition decides on the sets,
-so that only links come out of it.  No link between components that share a
+so that only links come out of it.  Where more than CROWD members of a bucket are
+outside, as of a template whose texts differ too much to be linked, members are
+not compared with each other but joined by the rarest shingles of their sets
+(prefix_links), which is exact as well.  No link between components that share a
 bucket is lost, and a bucket of copies costs a row a member.  Intermediate tables
 are kept as Parquet; hot buckets are split by Spark where it sees a skewed join.
 
@@ -47,6 +50,8 @@ from .components import connected_components
 MISS, MOST_SAMPLES, SKETCH_LONGS = 2e-5, 256, 8
 #: Buckets of more than one member that are broadcast at most.
 BUCKETS_SENT = 100_000
+#: Members outside its largest component from which on a bucket's members are joined by prefixes of their sets, not with each other.
+CROWD = 64
 
 
 @cache
@@ -164,7 +169,39 @@ def sizes_fit(percent: int) -> Column:
     return (100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def prefix_links(members: DataFrame, sets: DataFrame, percent: int, linked) -> DataFrame:
+    """a, b: components of members (id, component, n, outside) that a link joins, of which one member at least is outside.
+
+    An exact join of sets: shingles in order of rarity among the members, those
+    of one member left out, as they cannot meet.  Of a link, the smaller set's
+    first shingles meet the larger one's: beyond the first |x| - o + 1 too few are
+    left for the overlap o that the sizes ask for.  Where a shingle stands bounds
+    the overlap further.  Members that share a template but have more of their own
+    than the threshold allows have their own shingles first and meet nobody.
+    """
+    pieces = sets.select("id", F.explode("items").alias("w"))
+    common = pieces.groupBy("w").agg(F.count("*").alias("f")).where("f > 1")
+    ranked = pieces.join(common, "w").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "w"))).alias("ws"))
+    # of sets of sizes x <= y, the overlap is at least percent (x + y) / (100 + percent): so much for y = x, and percent y / 100 for the least x
+    small = F.ceil(2 * percent * F.col("n") / F.lit(100 + percent) - 1e-9)
+    large = F.ceil(percent * F.col("n") / F.lit(100) - 1e-9)
+    placed = ranked.join(members, "id").withColumns({"own": F.col("n") - F.size("ws"), "short": F.col("n") - small + 1, "long": F.col("n") - large + 1})
+    heads = placed.select("id", "component", "n", "outside", "short", "own", F.posexplode(F.slice("ws", F.lit(1), F.greatest(F.col("long") - F.col("own"), F.lit(0)).cast("int"))).alias("k", "x"))
+    heads = keep(heads.select("id", "component", "n", "outside", F.col("x.w").alias("w"), (F.col("own") + F.col("k")).alias("p"), (F.col("own") + F.col("k") < F.col("short")).alias("as_small")))
+    x = heads.where("as_small").select(*[F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "outside", "w", "p")])
+    y = heads.select(*[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "outside", "w", "p")])
+    room = (100 + percent) * F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    meets = (F.col("w_a") == F.col("w_b")) & (F.col("component_a") != F.col("component_b")) & (F.col("n_a") <= F.col("n_b")) & sizes_fit(percent) & room
+
+    def met(one: DataFrame, two: DataFrame) -> DataFrame:
+        return one.join(two, meets).select("id_a", "id_b", "component_a", "component_b")
+
+    pairs = met(x.where("outside_a"), y).unionByName(met(x.where("not outside_a"), y.where("outside_b"))).distinct()
+    both = pairs.join(sets.toDF("id_a", "i_a"), "id_a").join(sets.toDF("id_b", "i_b"), "id_b")
+    return both.where(linked("i_a", "i_b")).select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_shingles, component_id, fp (of the text) and kept of each row; links are sets with 100 * intersection >= percent * union.
 
     component_id is the smallest doc_id of the component, null only if all are
@@ -210,10 +247,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = members.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = (
         labelled.groupBy("key", "component").agg(F.count("*").alias("m"))
-        .groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
-        .where("parts > 1").select("key", "main")
+        .groupBy("key").agg(F.count("*").alias("parts"), F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("component", F.struct("m", "component")).alias("main"))
+        .where("parts > 1").select("key", "main", (F.col("all") - F.col("most") > crowd).alias("crowded"))
     )
-    doubtful = keep(labelled.join(mixed, "key").select("key", "id", "component", "main").join(light, "id"))
+    doubtful = keep(labelled.join(mixed, "key").select("key", "id", "component", "main", "crowded").join(light, "id"))
+    crowded = keep(doubtful.where("crowded").groupBy("id").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.bool_or(F.col("component") != F.col("main")).alias("outside")))
+    doubtful = doubtful.where("not crowded").drop("crowded")
 
     def side(rows: DataFrame, x: str) -> DataFrame:
         names = {"key": "key", "id": "id", "component": "c", "n": "n", "sketch": "s"}
@@ -231,7 +270,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     others = others.join(full.toDF("id_b", "i_b", "k_b"), "id_b")
     # a pair counts in its first common bucket only
     near = able.join(others, fits & (F.get(F.array_intersect("k_a", "k_b"), F.lit(0)) == F.col("key_a")) & linked("i_a", "i_b"))
-    merged = connected_components(near.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).toDF("component", "joined")
+    joins = near.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    if crowded.limit(1).count():
+        joins = joins.unionByName(prefix_links(crowded, full_sets(crowded.select("id")), percent, linked))
+    merged = connected_components(joins).toDF("component", "joined")
 
     # of a set: its component by pivots, then what that was joined to
     own = classes.select("id", "f1", "f2", "n", "rep").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -7,12 +7,15 @@ traced to the sentences that made it.
 
 Fitting uses a bounded sample: the `max_docs` labelled rows of smallest hash of
 their id (all, if there are fewer).  The words in the model are at most
-`max_words`, those most tied to the label in the sample by chi-squared.  Scoring
+`max_words`, those most tied to the label in the sample by chi-squared.  Words are
+counted and sentences turned into numbers of words by Spark; the driver gets these
+numbers, not texts.  Scoring
 maps over all rows, whole texts, without a shuffle; what each task gets is the
 word table, bounded by max_words.
 
 Cases: null, empty or wordless text is one empty sentence and gets the score of
-the constant alone; rows that repeat get the same score; labels that are null
+the constant alone; rows that repeat get the same score and count once in
+fitting; labels that are null
 are not used; no usable labels, or one class only, give the share of label 1
 as every document's score (0 without labels).
 """
@@ -21,7 +24,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, keep
+
 MAX_DOCS, MAX_WORDS, MIN_DOCS = 4000, 300, 5
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
@@ -85,29 +89,42 @@ def bag(text: str | None, known) -> tuple[int, list[list]]:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> Model:
-    """Fit on at most max_docs labelled rows, which come to the driver."""
+    """Fit on at most max_docs labelled documents; their texts stay with Spark, and numbers of words in sentences come to the driver."""
     chosen = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     chosen = chosen.orderBy(F.xxhash64("id"), "id", "y").limit(max_docs)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    rows = texts.orderBy(F.xxhash64("id"), "id", "y", F.xxhash64("text")).limit(max_docs).select("y", "text").collect()
-    y = np.array([r.y for r in rows])
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(30.0 if share else -30.0)
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for r in rows:
-        seen[r.y].update(set(_WORD.findall((r.text or "").lower())))
-    n0, n1 = int((y == 0).sum()), int((y == 1).sum())
-
-    def tied(w: str) -> float:
-        a, b = seen[1][w], seen[0][w]
-        c, d = n1 - a, n0 - b
-        return (a * d - b * c) ** 2 * (n0 + n1) / max((a + b) * (c + d) * n1 * n0, 1)
-
-    common = [w for w in seen[0].keys() | seen[1].keys() if seen[0][w] + seen[1][w] >= MIN_DOCS]
-    words = sorted(common, key=lambda w: (-tied(w), w))[:max_words]
+    texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "id").withColumn("fp", F.xxhash64("text"))
+    # an id may stand with many texts: the limit is on pairs of them, by keys without texts
+    order = [F.xxhash64("id"), "id", "y", "fp"]
+    keys = cut(texts.select("id", "y", "fp").distinct().orderBy(*order).limit(max_docs))
+    rows = keep(texts.join(F.broadcast(keys), ["id", "y", "fp"]).dropDuplicates(["id", "y", "fp"]))
+    total = rows.agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1")).first()
+    n0, n1 = total["n0"], total["n1"]
+    if not n0 or not n1:
+        return Model(30.0 if n1 else -30.0)
+
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for y, t in zip(batch.column("y"), batch.column("text")):
+                words = list(set(_WORD.findall(t.as_py().lower())))
+                yield pa.RecordBatch.from_arrays([pa.array([y.as_py()] * len(words), pa.int32()), pa.array(words, pa.string())], names=["y", "word"])
+
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    c, d = n1 - a, n0 - b
+    tied = F.pow(a * d - b * c, F.lit(2)) * (n0 + n1) / F.greatest((a + b) * (c + d) * n1 * n0, F.lit(1))
+    counted = rows.select("y", "text").mapInArrow(distinct_words, "y int, word string").groupBy("word").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b"))
+    words = [r.word for r in counted.where(F.col("a") + F.col("b") >= MIN_DOCS).orderBy(tied.desc(), "word").limit(max_words).collect()]
     known = {w: k for k, w in enumerate(words)}
-    constant, weights = fit_bags([bag(r.text, known) for r in rows], y, len(words))
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [bag(t.as_py(), known) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(x) for x in ("id", "y", "fp")], pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.list_(pa.list_(pa.int32())))], names=["id", "y", "fp", "plain", "others"]
+            )
+
+    kind = rows.schema["id"].dataType.simpleString()
+    came = rows.select("id", "y", "fp", "text").mapInArrow(bags, f"id {kind}, y int, fp bigint, plain bigint, others array<array<int>>").orderBy(*order).select("y", "plain", "others").collect()
+    constant, weights = fit_bags([(r.plain, r.others) for r in came], np.array([r.y for r in came]), len(words))
     return Model(constant, dict(zip(words, weights.tolist(), strict=True)))
 
 

@@ -246,3 +246,44 @@ def test_simhash_on_given_documents(spark):
     ids = [d.doc_id for d in docs]
     want = {(d, f"{p:016x}", c) for d, p, c in zip(ids, prints, plain_components(prints, ids), strict=True)}
     assert {tuple(x) for x in queries.op13_simhash(spark, SF).collect()} == want
+
+
+# crowded buckets of near-duplicates
+
+
+def template_texts(n: int, words: int, own: int, seed: int, vocabulary: int = 0) -> list[str]:
+    """Texts of one template with `own` words of each replaced, by words of its own or out of a vocabulary."""
+    r = random.Random(seed)
+    base = [f"w{k}" for k in range(words)]
+    texts = []
+    for d in range(n):
+        t = list(base)
+        for k in r.sample(range(words), own):
+            t[k] = f"x{r.randrange(vocabulary)}" if vocabulary else f"d{d}x{k}"
+        texts.append(" ".join(t))
+    return texts
+
+
+@pytest.mark.parametrize(("own", "vocabulary"), [(2, 0), (4, 0), (4, 3), (6, 40)])
+def test_crowded_buckets_equal_brute_force(spark, own, vocabulary):
+    from gatewright.llm.minhash import near_duplicates, shingle_set
+
+    texts = template_texts(120, 90, own, own, vocabulary)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with np.errstate(over="ignore"):
+        sets = [set(shingle_set(t, 3).tolist()) for t in texts]
+    top = list(range(len(texts)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                p, q = find(a), find(b)
+                top[max(p, q)] = min(p, q)
+    for crowd in (0, 64):
+        got = {r.doc_id: r.component_id for r in near_duplicates(docs, words=3, percent=85, crowd=crowd).collect()}
+        assert got == {d: find(d) for d in range(len(texts))}, crowd
