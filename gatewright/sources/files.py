@@ -142,3 +142,31 @@ def read_parquet(spark: SparkSession, path: str, most_bytes: int | None = None)
 
 def oversize(files: DataFrame, most_bytes: int) -> DataFrame:
     return files.where(F.col("length") > most_bytes)
+
+
+def move_files(spark: SparkSession, uris: list[str], folder: str) -> list[str]:
+    """Move files to a folder, which is made if need be; their new names.
+
+    A name that is taken there gets _2, _3, ... before its extension.  Each file
+    moves by one rename of the file system; one that is gone already is skipped,
+    so that a run after a failure ends the work of the one before.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    moved = []
+    for uri in uris:
+        source = path(jvm.java.net.URI(uri))
+        if not fs.exists(source):
+            continue
+        name = source.getName()
+        stem, dot, extension = name.rpartition(".") if "." in name else (name, "", "")
+        k, target = 1, path(folder, name)
+        while fs.exists(target) or not fs.rename(source, target):
+            if not fs.exists(target):
+                raise OSError(f"{uri} could not be moved to {folder}")
+            k += 1
+            target = path(folder, f"{stem}_{k}{dot}{extension}")
+        moved.append(target.getName())
+    return moved

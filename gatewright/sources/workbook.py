@@ -1,7 +1,13 @@
-"""Workbooks (zipped XML) as grids of text cells, one task a workbook, and grids as tables."""
+"""Workbooks (zipped XML) as grids of text cells, and grids as tables.
+
+Two passes over the files: one lists the tabs, the other gives each chosen tab to
+a task of its own, whatever workbook it is in; tabs that are not wanted are never
+parsed.  A number in a cell with a date format is a date, as text.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -34,17 +40,62 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def sheet_rows(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
-    """tab_index, tab_name, row_no (from 0, gaps filled by later padding), cells of one workbook; a sheet is parsed as it is read."""
+#: Numbers of the formats for dates and times that every workbook knows.
+_DATES, _TIMES = {*range(14, 18), 22, *range(27, 37), *range(50, 59)}, {*range(18, 22), *range(45, 48)}
+_QUOTED = re.compile(r'"[^"]*"|\\.|_.|\[[^\]]*\]|General', re.I)
+
+
+def format_kind(number: int, code: str | None) -> str | None:
+    """date, time or None of a number format: by its number, or by the letters of its code outside quotes and brackets."""
+    if code is None:
+        return "date" if number in _DATES else "time" if number in _TIMES else None
+    letters = set(_QUOTED.sub("", code).split(";")[0].lower())
+    if letters & set("yd") or ("m" in letters and not letters & set("hs")):
+        return "date"
+    return "time" if letters & set("hs") else None
+
+
+def date_text(serial: float, kind: str, from_1904: bool) -> str:
+    """A serial number as ISO text: a date, a date and time if it has one, or a time; the 29th of February 1900, which was none, is the 28th."""
+    if kind == "time" and 0 <= serial < 1:
+        return (dt.datetime(2000, 1, 1) + dt.timedelta(seconds=round(serial * 86400))).strftime("%H:%M:%S")
+    origin = dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 31) if serial < 60 else dt.datetime(1899, 12, 30)
+    at = origin + dt.timedelta(seconds=round(serial * 86400))
+    return at.strftime("%Y-%m-%d" if at.time() == dt.time() else "%Y-%m-%d %H:%M:%S")
+
+
+def _sheets(z: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
+    """(name, member) of each tab in order, and whether dates count from 1904."""
+    targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+    book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+    from_1904 = any(_local(e.tag) == "workbookPr" and e.get("date1904") in ("1", "true") for e in book.iter())
+    found = []
+    for sheet in (e for e in book.iter() if _local(e.tag) == "sheet"):
+        target = targets[next(v for k, v in sheet.attrib.items() if _local(k) == "id")].lstrip("/")
+        found.append((sheet.get("name"), target if target.startswith("xl/") else f"xl/{target}"))
+    return found, from_1904
+
+
+def _styles(z: zipfile.ZipFile) -> list[str | None]:
+    """date, time or None of each cell style."""
+    if "xl/styles.xml" not in z.namelist():
+        return []
+    root = ElementTree.fromstring(z.read("xl/styles.xml"))
+    codes = {int(e.get("numFmtId")): e.get("formatCode") or "" for e in root.iter() if _local(e.tag) == "numFmt"}
+    cells = next((e for e in root if _local(e.tag) == "cellXfs"), ())
+    return [format_kind(n := int(x.get("numFmtId") or 0), codes.get(n)) for x in cells]
+
+
+def sheet_rows(content: bytes, only: int | None = None) -> Iterator[tuple[int, str, int, list[str | None]]]:
+    """tab_index, tab_name, row_no (from 0, gaps filled by later padding), cells of one workbook, or of one tab of it; a sheet is parsed as it is read."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        names = set(z.namelist())
-        shared = [_text(e) for e in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
-        targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        for index, sheet in enumerate(e for e in book.iter() if _local(e.tag) == "sheet"):
-            rel = next(v for k, v in sheet.attrib.items() if _local(k) == "id")
-            target = targets[rel].lstrip("/")
-            with z.open(target if target.startswith("xl/") else f"xl/{target}") as f:
+        shared = [_text(e) for e in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        sheets, from_1904 = _sheets(z)
+        styles = _styles(z)
+        for index, (name, member) in enumerate(sheets):
+            if only is not None and index != only:
+                continue
+            with z.open(member) as f:
                 for _, row in ElementTree.iterparse(f):
                     if _local(row.tag) != "row":
                         continue
@@ -52,26 +103,44 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]
                     for c in row:
                         at = _column(c.get("r") or "") if c.get("r") else len(cells)
                         cells += [None] * (at - len(cells) + 1)
-                        value = next((v.text for v in c if _local(v.tag) == "v"), None)
-                        if c.get("t") == "s" and value is not None:
+                        value, kind = next((v.text for v in c if _local(v.tag) == "v"), None), c.get("t")
+                        if kind == "s" and value is not None:
                             value = shared[int(value)]
-                        elif c.get("t") == "inlineStr":
+                        elif kind == "inlineStr":
                             value = next((_text(v) for v in c if _local(v.tag) == "is"), None)
-                        elif c.get("t") == "b" and value is not None:
+                        elif kind == "b" and value is not None:
                             value = "TRUE" if value == "1" else "FALSE"
+                        elif kind in (None, "n") and value is not None and int(c.get("s") or 0) < len(styles) and (style := styles[int(c.get("s") or 0)]):
+                            value = date_text(float(value), style, from_1904) if 0 <= float(value) < 2_958_466 else value
                         cells[at] = value
-                    yield index, sheet.get("name"), int(row.get("r", 1)) - 1, cells
+                    yield index, name, int(row.get("r", 1)) - 1, cells
                     row.clear()
 
 
-def sheet_grid(spark: SparkSession, path: str) -> DataFrame:
-    """path, tab_index, tab_name, row_no, cells of every row of every workbook under path."""
+def list_tabs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, tab_index, tab_name of every tab of every workbook; no sheet is parsed."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for name, content in zip(f["path"], f["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    tabs = [n for n, _ in _sheets(z)[0]]
+                yield pd.DataFrame({"path": name, "tab_index": range(len(tabs)), "tab_name": tabs})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, tab_index int, tab_name string")
+
+
+def sheet_grid(spark: SparkSession, path: str | list[str], wanted: str | None = "*", tasks: int | None = None) -> DataFrame:
+    """path, tab_index, tab_name, row_no, cells of every row of the wanted tabs (see tab_matches) of every workbook under path."""
+    chosen = list_tabs(spark, path).where(tab_matches(F.col("tab_name"), F.col("tab_index"), wanted)).select("path", "tab_index")
+    books = spark.read.format("binaryFile").load(path).select("path", "content")
+    each = chosen.join(books, "path").repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "tab_index")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for name, content, tab in zip(f["path"], f["content"], f["tab_index"]):
                 part = []
-                for row in sheet_rows(content):
+                for row in sheet_rows(content, tab):
                     part.append((name, *row))
                     if len(part) == 5000:
                         yield pd.DataFrame(part, columns=["path", "tab_index", "tab_name", "row_no", "cells"])
@@ -79,8 +148,16 @@ def sheet_grid(spark: SparkSession, path: str) -> DataFrame:
                 if part:
                     yield pd.DataFrame(part, columns=["path", "tab_index", "tab_name", "row_no", "cells"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, GRID)
+    return each.select("path", "content", "tab_index").mapInPandas(run, GRID)
+
+
+def read_workbooks(spark: SparkSession, path: str | list[str], wanted: str | None = None, header_skip_rows: int = 0) -> DataFrame:
+    """One table of the wanted tabs of workbooks, with excel_tab_name and source_file_name; no such tab is an error."""
+    if not list_tabs(spark, path).where(tab_matches(F.col("tab_name"), F.col("tab_index"), wanted)).limit(1).count():
+        raise ValueError(f"no tab matches {wanted!r}")
+    rows = tables(sheet_grid(spark, path, wanted), header_skip_rows, "excel_tab_name")
+    name = F.url_decode(F.replace(F.element_at(F.split("source_path", "/"), -1), F.lit("+"), F.lit("%2B")))
+    return rows.withColumn("source_file_name", name).drop("source_path")
 
 
 def tab_matches(tab: Column, index: Column, wanted: str | None) -> Column:
