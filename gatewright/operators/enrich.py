@@ -22,6 +22,12 @@ def column_mapping(text: str | None) -> dict[str, str]:
     return {str(k): str(v) for k, v in found.items()}
 
 
+def mappings(text: Column) -> Column:
+    """Source to destination names of each row's JSON object, as a map; blank is none, anything else is an error where it is read."""
+    filled = F.nullif(F.trim(text), F.lit(""))
+    return F.coalesce(F.from_json(filled, "map<string,string>", {"mode": "FAILFAST"}), F.create_map().cast("map<string,string>"))
+
+
 def apply_mapping(df: DataFrame, mapping: str | None) -> DataFrame:
     """Trimmed headers, then the mapping by exact name; columns without one keep their names."""
     names = column_mapping(mapping)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewright.functions import expr as X
@@ -33,6 +33,13 @@ def duplicate_samples(df: DataFrame, keys: list[str], by: list[str], most: int =
     return with_samples(counts, rows, by, "key", "samples", most)
 
 
+def seen_before(df: DataFrame, keys: list[str], batch: str) -> DataFrame:
+    """Each key and batch in which the key stands though an earlier batch had it; one row however often it repeats there."""
+    each = df.select(*keys, batch).distinct()
+    earlier = F.min(batch).over(Window.partitionBy(*keys))
+    return each.withColumn("_first", earlier).where(F.col(batch) > F.col("_first")).drop("_first")
+
+
 def key_conflicts(staged: DataFrame, target: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Distinct staged keys that the target holds; a null never matches."""
     t = target.select(*[F.col(v).alias(k) for k, v in pairs.items()])

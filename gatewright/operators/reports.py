@@ -11,6 +11,15 @@ def rollup(audit: DataFrame, workflow: str = "workflow_id", status: str = "statu
     return audit.groupBy(workflow, status).agg(F.count("*").alias("n"))
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, n: how many rows each table has, in one query."""
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def latest(audit: DataFrame, workflow: str, order: str, n: int = 5) -> DataFrame:
     """The last n entries of each workflow; Spark keeps n rows a workflow and task before the shuffle."""
     place = F.row_number().over(Window.partitionBy(workflow).orderBy(F.desc(order)))

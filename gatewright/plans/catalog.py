@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright.functions import expr as X
@@ -12,6 +12,7 @@ from gatewright.operators import dates, enrich, keys, load, profile, reports
 from gatewright.operators.validate import Column, contract_frame, schema_diff, schema_issues, validate
 from gatewright.operators.validate import text_date_issues as validate_text_dates
 from gatewright.sources.files import oversize
+from gatewright.sources.workbook import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,9 +84,8 @@ k AS (SELECT l_partkey, min(batch) AS first_batch FROM b GROUP BY 1)
 SELECT batch, count(DISTINCT b.l_partkey) AS seen_before FROM b JOIN k ON b.l_partkey = k.l_partkey AND batch > first_batch GROUP BY batch
 """)
 def cross_batch_duplicates(spark, d):
-    b = read(spark, d, "lineitem").select("l_partkey", (F.col("l_orderkey") % 4).alias("batch")).distinct()
-    earlier = F.min("batch").over(Window.partitionBy("l_partkey"))
-    return b.withColumn("first", earlier).where("batch > first").groupBy("batch").agg(F.count("*").alias("seen_before"))
+    b = read(spark, d, "lineitem").select("l_partkey", (F.col("l_orderkey") % 4).alias("batch"))
+    return keys.seen_before(b, ["l_partkey"], "batch").groupBy("batch").agg(F.count("*").alias("seen_before"))
 
 
 @query("""
@@ -380,11 +380,14 @@ def fill_blank_tab(spark, d):
 
 @query("SELECT c_nationkey AS tab, count(*) AS rows, round(sum(CASE WHEN c_nationkey % 2 = 0 THEN c_acctbal END), 2) AS credit FROM customer GROUP BY 1")
 def union_sheets(spark, d):
-    c = read(spark, d, "customer")
-    even = c.where("c_nationkey % 2 = 0").select("c_nationkey", "c_acctbal")
-    odd = c.where("c_nationkey % 2 = 1").select("c_nationkey")
-    rows = even.unionByName(odd, allowMissingColumns=True)
-    return rows.groupBy(F.col("c_nationkey").alias("tab")).agg(F.count("*").alias("rows"), F.round(F.sum("c_acctbal"), 2).alias("credit"))
+    """A sheet for each nation, of two layouts: the odd ones lack the balance."""
+    even = F.col("c_nationkey") % 2 == 0
+    c = read(spark, d, "customer").select("c_nationkey", even.alias("even"), F.when(even, F.array(F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string"))).otherwise(F.array(F.col("c_custkey").cast("string"))).alias("cells"))
+    head = F.when(F.col("even"), F.array(F.lit("key"), F.lit("credit"))).otherwise(F.array(F.lit("key")))
+    heads = c.select("c_nationkey", "even").distinct().select("c_nationkey", F.lit(0).alias("row_no"), head.alias("cells"))
+    grid = heads.unionByName(c.select("c_nationkey", F.lit(1).alias("row_no"), "cells"))
+    rows = tables(grid.select(F.lit("book").alias("path"), F.col("c_nationkey").cast("int").alias("tab_index"), F.col("c_nationkey").cast("string").alias("tab_name"), "row_no", "cells"))
+    return rows.groupBy(F.col("tab_name").cast("bigint").alias("tab")).agg(F.count("*").alias("rows"), F.round(F.sum(F.col("credit").cast("double")), 2).alias("credit"))
 
 
 @query("SELECT p_partkey, 'part_' || replace(lower(p_name), ' ', '_') || '_id' AS snake FROM part")
@@ -442,7 +445,7 @@ def run_summary(spark, d):
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def mapping_json(spark, d):
-    return read(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    return read(spark, d, "events").select("event_id", F.element_at(enrich.mappings(F.col("props")), "k").cast("bigint").alias("k"))
 
 
 @query("""
@@ -450,11 +453,8 @@ SELECT 'customer' AS table_name, count(*) AS n FROM customer UNION ALL SELECT 'e
 UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'supplier', count(*) FROM supplier
 """)
 def table_counts(spark, d):
-    parts = [read(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+    return reports.row_counts({t: read(spark, d, t) for t in names})
 
 
 _FILE = "source || '_' || CAST(doc_id % 50 AS VARCHAR) || CASE doc_id % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '.PARQUET' WHEN 2 THEN '.xlsx' ELSE '.bin' END"

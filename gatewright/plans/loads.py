@@ -8,11 +8,11 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewright.operators import dates, keys, load, profile
+from gatewright.operators import dates, job, keys, load, profile
 from gatewright.operators.validate import Column as Contract
 from gatewright.operators.validate import contract_columns as columns_of
 from gatewright.operators.validate import contract_frame, date_columns, validate
-from gatewright.sources import fixtures
+from gatewright.sources import fixtures, workbook
 from gatewright.sources.files import read_csv, read_parquet
 from gatewright.sources.loadset import load_set, shared_folder
 from gatewright.sources.versions import VersionedTable
@@ -208,3 +208,31 @@ def destination_family(spark, d):
     )
     kinds = [Contract("digits", "varchar", char_len=1), Contract("days", "varchar", char_len=5), Contract("bits", "varchar", char_len=4), Contract("day_as_number", "int"), Contract("number_as_day", "date"), Contract("amount", "float")]
     return validate(rows, contract_frame(spark, kinds))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment AS tab, 'customers_' || c_nationkey || '_' || c_custkey // 5000 || '.xlsx' AS book FROM customer WHERE c_mktsegment LIKE '%E%Y' OR c_mktsegment LIKE '%BILE'")
+def sheet_select_regex(spark, d):
+    """Workbooks of customers by nation, 5,000 of them at most, with a sheet for each market segment; two segments are chosen by pattern."""
+    c = read(spark, d, "customer").withColumn("book", F.concat(F.lit("customers_"), F.col("c_nationkey").cast("string"), F.lit("_"), F.floor(F.col("c_custkey") / 5000).cast("string")))
+    books = fixtures.workbooks(c.where("c_mktsegment is not null"), "book", "c_mktsegment", ["c_custkey", "c_name"])
+    return workbook.tables(workbook.grid_of(books, "REGEX:E.*Y$|BILE$"), tab_column="tab").withColumnRenamed("source_path", "book")
+
+
+@query("""
+SELECT o_orderkey, CAST(round(o_totalprice, 2) AS DECIMAL(12, 2)) AS price, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status FROM orders
+""")
+def load_job(spark, d):
+    """Orders as files of two layouts, one with a preamble of its own and days first, loaded from the folder to the target by one control row."""
+    place, o = scratch(spark, "job"), read(spark, d, "orders")
+    rows = o.select("o_orderkey", F.round("o_totalprice", 2).cast("decimal(12,2)").cast("string").alias("price"), "o_orderdate", F.col("o_orderstatus").alias("status"))
+    even = rows.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("Order Key"), "price", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "status")
+    odd = rows.where("o_orderkey % 2 = 1").select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"), F.col("o_orderkey").alias("Order Key"), "price")
+    fixtures.preamble_files(even.coalesce(2), ["export, of today"]).write.mode("append").text(f"{place}/in")
+    fixtures.preamble_files(odd.coalesce(2), [""]).write.mode("append").text(f"{place}/in")
+    contract = (Contract("o_orderkey", "bigint", is_key=True), Contract("price", "decimal", precision=12, scale=2), Contract("day", "date"), Contract("status", "varchar", char_len=10))
+    config = job.Config("orders", f"{place}/in", contract, "part-*.txt", header_skip_rows=1, mapping='{"Order Key": "o_orderkey"}', keys=("o_orderkey",), strategy="APPEND")
+    target = VersionedTable(spark, f"{place}/target")
+    done = job.run_load(spark, config, VersionedTable(spark, f"{place}/staging"), target, f"{place}/ledger", f"{place}/issues")
+    if done.error:
+        raise ValueError(done.error)
+    return target.read().select("o_orderkey", "price", "day", "status")

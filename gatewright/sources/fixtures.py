@@ -1,14 +1,19 @@
 """Generated tables of any size, as expressions of spark.range, and defects put into tables.
 
-Fixed values: the column names and the literals of the sample files that loads
-are tried with.  Every value follows from the row's number, so that a table is
-the same in each run and SQL can state it.
+Fixed values: the column names of the sample files that loads are tried with, and
+how their ids are written.  Every value is drawn from a hash of the row's number
+and the column's name, so that a table is the same in each run, whatever its
+partitions, and columns do not depend on each other unless they say so.
 """
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from xml.sax.saxutils import escape, quoteattr
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,42 +23,75 @@ def _code(prefix: str, number: Column, digits: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
 
 
-def _day(i: Column, cycle: int) -> Column:
-    return F.date_add(F.lit("2025-01-01").cast("date"), (i % cycle).cast("int"))
+def _draw(name: str, below: int, row: Column | None = None) -> Column:
+    """A number from 0 to below - 1 for a row and a column."""
+    return F.pmod(F.xxhash64(F.lit(name), F.col("id") if row is None else row), F.lit(below))
+
+
+def _one_of(name: str, values: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (_draw(name, len(values)) + 1).cast("int"))
+
+
+def _money(name: str, most: int) -> Column:
+    """From a cent to most, in two decimals."""
+    return ((_draw(name, 100 * most) + 1) / 100).cast("decimal(18,2)")
+
+
+def _moment(name: str) -> Column:
+    """A second of the three years from 2023 on."""
+    return F.timestamp_seconds(F.lit(1_672_531_200) + _draw(name, 3 * 365 * 86_400))
+
+
+def _day(name: str) -> Column:
+    return F.date_add(F.lit("2023-01-01").cast("date"), _draw(name, 3 * 365).cast("int"))
 
 
 def transactions(spark: SparkSession, rows: int, first: int = 1) -> DataFrame:
     """Small transactions of six columns, numbered from `first`."""
-    i, n = F.col("id"), F.col("id") + first
     return spark.range(rows).select(
-        _code("TXN", n, 6).alias("TransactionId"), _code("CUST", 1000 + n % 50, 5).alias("CustomerId"), F.date_format(_day(i, 90), "yyyy-MM-dd").alias("TransactionDate"),
-        F.round(20 + i * 1.87, 2).alias("Amount"), F.when(i % 2 == 0, "AUD").otherwise("USD").alias("Currency"), F.lit("COMPLETE").alias("Status"),
+        _code("TXN", F.col("id") + first, 6).alias("TransactionId"), _code("CUST", _draw("customer", 100_000), 5).alias("CustomerId"), F.date_format(_day("day"), "yyyy-MM-dd").alias("TransactionDate"),
+        _money("amount", 5000).alias("Amount"), _one_of("currency", ["AUD", "USD"]).alias("Currency"), _one_of("status", ["OPEN", "COMPLETE", "VOID"]).alias("Status"),
     )
 
 
-def wide_transactions(spark: SparkSession, rows: int, extra: int = 0) -> DataFrame:
-    """Transactions of twenty columns and `extra` more of text, extra_col_01, ..."""
-    i, n = F.col("id"), F.col("id") + 100000
-    amount = F.round(20 + i * 0.0137, 2)
-    fee, tax = F.round(amount * 0.0125, 2), F.round(amount * 0.10, 2)
-    day = F.date_format(_day(i, 365), "yyyy-MM-dd")
-    clock = F.format_string("%02d:%02d:%02d", i % 24, i % 60, i * 3 % 60)
+def wide_transactions(spark: SparkSession, rows: int, extra: int = 0, first: int = 1) -> DataFrame:
+    """Transactions of twenty columns, as of a large delimited file, and `extra` more of text, extra_col_01, ..."""
+    amount, fee, tax = _money("amount", 5000), _money("fee", 50), _money("tax", 500)
+    moment = _moment("moment")
     return spark.range(rows).select(
-        _code("TXN", n, 7).alias("TransactionId"), _code("CUST", 1000 + n % 500, 5).alias("CustomerId"), day.alias("TransactionDate"), amount.alias("Amount"), F.when(i % 2 == 0, "AUD").otherwise("USD").alias("Currency"),
-        F.when(i % 10 != 0, "COMPLETE").otherwise("PENDING").alias("Status"), (i % 50 + 1).alias("Quantity"), F.round(i % 15 / 100, 4).alias("DiscountRate"), fee.alias("FeeAmount"), tax.alias("TaxAmount"),
-        F.round(amount - fee + tax, 2).alias("NetAmount"), F.when(i % 3 == 0, "ONLINE").otherwise("STORE").alias("Channel"), F.when(i % 2 == 0, "AU").otherwise("US").alias("Region"), F.lit("ERP").alias("SourceSystem"),
-        _code("BATCH", F.floor(i / 10000) + 1, 5).alias("BatchId"), F.concat(day, F.lit("T"), clock).alias("EventTimestamp"), F.when(i % 20 == 0, "Y").otherwise("N").alias("IsPriority"), _code("REF", n, 9).alias("ReferenceCode"),
-        _code("LED", i % 200, 3).alias("LedgerCode"), F.concat(F.lit("Large transaction row "), n.cast("string")).alias("CommentText"), *[F.concat(F.lit(f"v{k}_"), i.cast("string")).alias(f"extra_col_{k:02d}") for k in range(1, extra + 1)],
+        _code("TXN", F.col("id") + first, 7).alias("TransactionId"), _code("CUST", _draw("customer", 100_000), 5).alias("CustomerId"), F.date_format(moment, "yyyy-MM-dd").alias("TransactionDate"), amount.alias("Amount"),
+        _one_of("currency", ["AUD", "USD"]).alias("Currency"), _one_of("status", ["OPEN", "COMPLETE", "VOID"]).alias("Status"), (_draw("quantity", 40) + 1).alias("Quantity"),
+        (_draw("discount", 3000) / 10_000).cast("decimal(9,4)").alias("DiscountRate"), fee.alias("FeeAmount"), tax.alias("TaxAmount"), (amount + tax - fee).cast("decimal(18,2)").alias("NetAmount"),
+        _one_of("channel", ["WEB", "PHONE", "SHOP"]).alias("Channel"), _one_of("region", ["NORTH", "SOUTH", "WEST"]).alias("Region"), _one_of("system", ["S1", "S2"]).alias("SourceSystem"), _code("B", _draw("batch", 1000), 4).alias("BatchId"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("EventTimestamp"), _one_of("priority", ["Y", "N"]).alias("IsPriority"), _code("R", _draw("reference", 10**9), 9).alias("ReferenceCode"), _code("L", _draw("ledger", 1000), 3).alias("LedgerCode"),
+        F.concat(F.lit("comment "), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 12)).alias("CommentText"), *_extra_columns(extra),
+    )
+
+
+def _extra_columns(extra: int) -> list[Column]:
+    return [F.hex(F.xxhash64(F.lit(k), "id")).alias(f"extra_col_{k:02d}") for k in range(1, extra + 1)]
+
+
+def wide_parquet(spark: SparkSession, rows: int, width: int = 22, first: int = 1) -> DataFrame:
+    """Transactions of 22 typed columns, as of a large Parquet file, and text up to the width."""
+    amount, tax, fee = _money("amount", 5000), _money("tax", 500), _money("fee", 50)
+    moment = _moment("moment")
+    return spark.range(rows).select(
+        _code("TXN", F.col("id") + first, 10).alias("transaction_id"), _code("CUST", _draw("customer", 100_000), 5).alias("customer_id"), _code("ACC", _draw("account", 10**6), 6).alias("account_id"), _code("M", _draw("merchant", 5000), 4).alias("merchant_id"),
+        F.date_format(moment, "yyyy-MM-dd").alias("transaction_date"), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("transaction_timestamp"), amount.cast("double").alias("amount"), tax.cast("double").alias("tax_amount"), fee.cast("double").alias("fee_amount"),
+        (amount + tax - fee).cast("double").alias("net_amount"), _one_of("currency", ["AUD", "USD"]).alias("currency"), _one_of("status", ["OPEN", "COMPLETE", "VOID"]).alias("status"), _one_of("method", ["CARD", "CASH", "TRANSFER"]).alias("payment_method"),
+        _one_of("channel", ["WEB", "PHONE", "SHOP"]).alias("channel"), _one_of("country", ["AU", "US", "NZ"]).alias("country_code"), _one_of("region", ["NORTH", "SOUTH", "WEST"]).alias("region_code"), _one_of("system", ["S1", "S2"]).alias("source_system"),
+        _code("B", _draw("batch", 1000), 4).alias("batch_reference"), (_draw("refund", 25) == 0).alias("is_refund"), (_draw("risk", 10_000) / 10_000).alias("risk_score"), F.hex(F.xxhash64(F.lit("device"), "id")).alias("device_id"),
+        F.concat(F.lit("about "), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 20)).alias("description"), *_extra_columns(max(width - 22, 0)),
     )
 
 
 def customers(spark: SparkSession, rows: int, regions: tuple[str, ...] = ("AU", "US")) -> DataFrame:
-    """Customers with the sheet they belong to: one for each region."""
-    i = F.col("id")
-    region = F.array(*[F.lit(r) for r in regions])[(i % len(regions)).cast("int")]
+    """Customers with the sheet they belong to: one for each region, dealt in turn."""
+    region = F.element_at(F.array(*[F.lit(r) for r in regions]), (F.col("id") % len(regions) + 1).cast("int"))
     return spark.range(rows).select(
-        (i + 1).alias("CustomerId"), F.concat(F.lit("Customer "), (i + 1).cast("string")).alias("CustomerName"), F.date_format(_day(i, 365), "yyyy-MM-dd").alias("SignupDate"),
-        F.round(500 + i * 12.5, 2).alias("CreditLimit"), region.alias("Region"), F.concat(F.lit("Customers_"), region).alias("excel_tab_name"),
+        (F.col("id") + 1).alias("CustomerId"), F.concat(F.lit("Name "), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 8)).alias("CustomerName"), F.date_format(_day("signup"), "yyyy-MM-dd").alias("SignupDate"),
+        _money("limit", 20_000).alias("CreditLimit"), region.alias("Region"), F.concat(F.lit("Customers_"), region).alias("excel_tab_name"),
     )
 
 
@@ -64,7 +102,7 @@ def unique_rows(spark: SparkSession, rows: int, first: int = 0, seed: int = 7) -
 
 def preamble_lines(table: DataFrame, lines: int = 2) -> DataFrame:
     """value: the lines of a delimited file, after so many lines of preamble and the header; write with text() from one task."""
-    head = [*[f"# preamble row {k + 1} for skip-rows testing" for k in range(lines)], ",".join(table.columns)]
+    head = [*[f"line {k + 1} above the header" for k in range(lines)], ",".join(table.columns)]
     top = table.sparkSession.createDataFrame([(k, x) for k, x in enumerate(head)], "n long, value string")
     row = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in table.columns])
     return top.unionByName(table.select((F.monotonically_increasing_id() + lines + 1).alias("n"), row.alias("value"))).orderBy("n").select("value")
@@ -83,6 +121,32 @@ def preamble_files(table: DataFrame, lines: list[str]) -> DataFrame:
     return table.select(F.concat_ws(",", *quoted).alias("value")).mapInArrow(run, "value string")
 
 
+def workbooks(rows: DataFrame, book: str, tab: str, columns: list[str]) -> DataFrame:
+    """path, content: a workbook for each value of `book`, with a sheet for each value of `tab` in it; every cell is text.
+
+    A book's rows meet in one task, so `book` has to bound them.
+    """
+    names = rows.select(F.col(book).cast("string").alias("_book"), F.col(tab).cast("string").alias("_tab"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+
+    def make(group: pd.DataFrame) -> pd.DataFrame:
+        out, tabs = io.BytesIO(), sorted(group["_tab"].unique())
+
+        def row(values: list[str]) -> str:
+            return "<row>" + "".join(f'<c t="inlineStr"><is><t>{escape(v)}</t></is></c>' for v in values) + "</row>"
+
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("xl/workbook.xml", '<workbook xmlns:r="r"><sheets>' + "".join(f'<sheet name={quoteattr(t)} r:id="i{k}"/>' for k, t in enumerate(tabs)) + "</sheets></workbook>")
+            z.writestr("xl/_rels/workbook.xml.rels", "<Relationships>" + "".join(f'<Relationship Id="i{k}" Target="worksheets/s{k}.xml"/>' for k in range(len(tabs))) + "</Relationships>")
+            for k, t in enumerate(tabs):
+                cells = group[group["_tab"] == t][columns].itertuples(index=False)
+                lines = [row(columns), *[row(list(x)) for x in cells]]
+                numbered = "".join(x.replace("<row>", f'<row r="{n}">', 1) for n, x in enumerate(lines, 1))
+                z.writestr(f"xl/worksheets/s{k}.xml", f"<worksheet><sheetData>{numbered}</sheetData></worksheet>")
+        return pd.DataFrame({"path": [f"{group['_book'].iloc[0]}.xlsx"], "content": [out.getvalue()]})
+
+    return names.groupBy("_book").applyInPandas(make, "path string, content binary")
+
+
 #: What a defect puts into a cell.
 DEFECTS = {"bad_number": "ABC", "date_as_number": "2025-03-01", "bad_date": "not-a-date", "impossible_date": "31/13/2025", "blank": "", "too_long": "X" * 400, "precision": "1234567890123456789", "scale": "123.456", "text_date": "31/01/2025"}
 

@@ -117,8 +117,17 @@ def sheet_rows(content: bytes, only: int | None = None) -> Iterator[tuple[int, s
                     row.clear()
 
 
+def books_at(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, content of each workbook."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
 def list_tabs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """path, tab_index, tab_name of every tab of every workbook; no sheet is parsed."""
+    return tabs_of(books_at(spark, path))
+
+
+def tabs_of(books: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -127,14 +136,18 @@ def list_tabs(spark: SparkSession, path: str | list[str]) -> DataFrame:
                     tabs = [n for n, _ in _sheets(z)[0]]
                 yield pd.DataFrame({"path": name, "tab_index": range(len(tabs)), "tab_name": tabs})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, tab_index int, tab_name string")
+    return books.mapInPandas(run, "path string, tab_index int, tab_name string")
 
 
 def sheet_grid(spark: SparkSession, path: str | list[str], wanted: str | None = "*", tasks: int | None = None) -> DataFrame:
     """path, tab_index, tab_name, row_no, cells of every row of the wanted tabs (see tab_matches) of every workbook under path."""
-    chosen = list_tabs(spark, path).where(tab_matches(F.col("tab_name"), F.col("tab_index"), wanted)).select("path", "tab_index")
-    books = spark.read.format("binaryFile").load(path).select("path", "content")
-    each = chosen.join(books, "path").repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "tab_index")
+    return grid_of(books_at(spark, path), wanted, tasks)
+
+
+def grid_of(books: DataFrame, wanted: str | None = "*", tasks: int | None = None) -> DataFrame:
+    """sheet_grid() of a frame of books (path, content); paths are unique."""
+    chosen = tabs_of(books).where(tab_matches(F.col("tab_name"), F.col("tab_index"), wanted)).select("path", "tab_index")
+    each = chosen.join(books, "path").repartition(tasks or int(books.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "tab_index")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
