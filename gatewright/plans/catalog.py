@@ -355,7 +355,7 @@ def apply_column_mapping(spark, d):
 
 @query("SELECT c_custkey, c_name AS v FROM customer")
 def trim_strings(spark, d):
-    return read(spark, d, "customer").select("c_custkey", X.strip(F.concat(F.lit(" \t"), F.col("c_name"), F.lit(" \n"))).alias("v"))
+    return enrich.trim_text(read(spark, d, "customer").select("c_custkey", F.concat(F.lit(" \t"), F.col("c_name"), F.lit(" \n")).alias("v")))
 
 
 _BIT = "CASE c_custkey % 6 WHEN 0 THEN '1' WHEN 1 THEN 'True' WHEN 2 THEN 'f' WHEN 3 THEN '' WHEN 4 THEN 'Yes' END"

@@ -236,3 +236,17 @@ def load_job(spark, d):
     if done.error:
         raise ValueError(done.error)
     return target.read().select("o_orderkey", "price", "day", "status")
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS "key", c_name AS "Unnamed: 1", CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS "key.1", c_mktsegment AS tab FROM customer WHERE c_mktsegment IS NOT NULL
+""")
+def grid_to_table(spark, d):
+    """Sheets with a title row above the header, a blank and a repeated header, short rows and cells beyond the header."""
+    c = read(spark, d, "customer").where("c_mktsegment is not null")
+    key = F.col("c_custkey").cast("string")
+    long, short = F.array(key, F.col("c_name"), F.col("c_nationkey").cast("string"), F.lit("beyond")), F.array(key, F.col("c_name"))
+    body = c.select(F.col("c_mktsegment").alias("tab_name"), (F.col("c_custkey") + 2).cast("int").alias("row_no"), F.when(F.col("c_custkey") % 3 == 0, long).otherwise(short).alias("cells"))
+    top = F.inline(F.array(F.struct(F.lit(0).alias("row_no"), F.array(F.lit("a title")).alias("cells")), F.struct(F.lit(1).alias("row_no"), F.array(F.lit(" key "), F.lit(None), F.lit("key")).alias("cells"))))
+    grid = body.unionByName(c.select(F.col("c_mktsegment").alias("tab_name")).distinct().select("tab_name", top)).withColumns({"path": F.lit("book"), "tab_index": F.hash("tab_name")})
+    return workbook.tables(grid, header_skip_rows=1, tab_column="tab").drop("source_path")

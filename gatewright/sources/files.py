@@ -144,12 +144,13 @@ def oversize(files: DataFrame, most_bytes: int) -> DataFrame:
     return files.where(F.col("length") > most_bytes)
 
 
-def move_files(spark: SparkSession, uris: list[str], folder: str) -> list[str]:
+def move_files(spark: SparkSession, uris: list[str], folder: str, replace: bool = True) -> list[str]:
     """Move files to a folder, which is made if need be; their new names.
 
-    A name that is taken there gets _2, _3, ... before its extension.  Each file
-    moves by one rename of the file system; one that is gone already is skipped,
-    so that a run after a failure ends the work of the one before.
+    A file of the same name there is replaced, or the new one gets _2, _3, ...
+    before its extension.  Each file moves by one rename of the file system; one
+    that is gone already is skipped, so that a run after a failure ends the work
+    of the one before.
     """
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path
@@ -163,6 +164,8 @@ def move_files(spark: SparkSession, uris: list[str], folder: str) -> list[str]:
         name = source.getName()
         stem, dot, extension = name.rpartition(".") if "." in name else (name, "", "")
         k, target = 1, path(folder, name)
+        if replace:
+            fs.delete(target, False)
         while fs.exists(target) or not fs.rename(source, target):
             if not fs.exists(target):
                 raise OSError(f"{uri} could not be moved to {folder}")

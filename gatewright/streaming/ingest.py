@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from gatewright.operators import dates as D
 from gatewright.operators import keys as K
 
 
@@ -57,14 +58,22 @@ def load_batch(
     key: Sequence[str],
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     check: Callable[[DataFrame], DataFrame] | None = None,
+    screen: Callable[[DataFrame], DataFrame] | None = None,
     buckets: int = BUCKETS,
 ) -> bool:
     """Check one batch and write it to the target or to quarantine; True if it was loaded.
 
-    `check` gives severity, code, column_name, detail.  Warnings do not stop a
-    batch.  `buckets` stays the same for the life of a target.
+    `check` gives severity, code, column_name, detail of prepared rows, `screen` of
+    the batch as it came: an error there ends it before it is prepared, and the rows
+    go to quarantine as they are.  Warnings do not stop a batch.  `buckets` stays the same for the life of a target.
     """
     spark = batch.sparkSession
+    if screen:
+        early = screen(batch).select("severity", "code", "column_name", "detail")
+        if early.where("severity = 'ERROR'").limit(1).count():
+            early.write.mode("overwrite").parquet(f"{issues}/_batch={batch_id}")
+            batch.withColumn("_bucket", _bucket(key, buckets)).write.mode("overwrite").partitionBy("_bucket").parquet(f"{quarantine}/_batch={batch_id}")
+            return False
     rows = prepare(batch).persist()  # kept for three passes, spilled to disk; lost parts are read again from the files
     try:
         found = K.append_guard(rows, _loaded(rows, target, key, batch_id, buckets), {k: k for k in key}).where("n > 0")
@@ -79,6 +88,28 @@ def load_batch(
         rows.unpersist()
 
 
+def dates_by_file(columns: Sequence[str], us: bool = False) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """screen and prepare for load_batch: the order of dates is found in all rows that a batch has of a file, before any of them is converted.
+
+    A file whose dates cannot be decided is an error of its batch; text that is no date stays as it is.
+    """
+
+    def screen(batch: DataFrame) -> DataFrame:
+        found = [D.date_issues(batch, c, us=us, by=["source_file_name"]) for c in columns]
+        out = found[0]
+        for f in found[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        for c in columns:
+            read = D.normalise_dates(batch, c, "_date", us=us, by=["source_file_name"], text_out="_text")
+            batch = read.withColumn(c, F.col("_text")).drop("_date", "_text")
+        return batch
+
+    return {"screen": screen, "prepare": prepare}
+
+
 def stream_csv(
     spark: SparkSession, folder: str, schema: StructType, checkpoint: str, target: str, quarantine: str, issues: str, key: Sequence[str],
     files_per_batch: int = 100, archive: str | None = None, buckets: int = BUCKETS, **functions: Callable[[DataFrame], DataFrame],
@@ -87,7 +118,8 @@ def stream_csv(
     source = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
     if archive:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    rows = source.csv(folder)
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("source_file_name")
+    rows = source.csv(folder).select("*", name) if "source_file_name" not in schema.names else source.csv(folder)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         load_batch(batch, batch_id, target, quarantine, issues, key, buckets=buckets, **functions)

@@ -44,7 +44,7 @@ def test_a_load_goes_from_files_to_target_and_ledger(spark, place, tmp_path):
     assert "PRIMARY_KEY_VIOLATION" in again.error and at["target"].read().count() == 3 and (tmp_path / "bad" / "b.csv").exists()
     (inbox / "b.csv").write_text("Id,day,amount,note\n4,14/02/2024,1,x\n")
     assert run_load(spark, config(strategy="APPEND"), **at).error is None and at["target"].read().count() == 4
-    assert {p.name for p in (tmp_path / "done").iterdir() if p.suffix == ".csv"} == {"A.csv", "b.csv", "b_2.csv"}
+    assert {p.name for p in (tmp_path / "done").iterdir() if p.suffix == ".csv"} == {"A.csv", "b.csv"}
     assert run_load(spark, config(), **at).files == []
 
 
@@ -79,13 +79,16 @@ def test_files_of_two_kinds_are_an_error(spark, place):
     assert "several or unknown kinds" in run_load(spark, replace(config(), pattern="?.*"), **at).error
 
 
-def test_moved_files_do_not_replace_each_other(spark, tmp_path):
+def test_moved_files_replace_each_other_or_do_not(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(3):
         (tmp_path / "in" / "a b.csv").write_text(str(k))
-        assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out")) == [["a b.csv"], ["a b_2.csv"], ["a b_3.csv"]][k]
+        assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out"), replace=False) == [["a b.csv"], ["a b_2.csv"], ["a b_3.csv"]][k]
     assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out")) == []
     assert (tmp_path / "out" / "a b_3.csv").read_text() == "2"
+    (tmp_path / "in" / "a b.csv").write_text("9")
+    assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out")) == ["a b.csv"]
+    assert (tmp_path / "out" / "a b.csv").read_text() == "9"
 
 
 # workbooks

@@ -38,3 +38,24 @@ def test_the_number_of_buckets_is_the_callers(spark, tmp_path):
     assert not ingest.load_batch(spark.range(99, 101), 1, *at, ["id"], buckets=7)
     assert ingest.load_batch(spark.range(100, 120), 2, *at, ["id"], buckets=7)
     assert spark.read.parquet(at[0]).select("_bucket").distinct().count() == 7
+
+
+def test_dates_of_a_stream_follow_their_files(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    at = {k: str(tmp_path / k) for k in ("checkpoint", "target", "quarantine", "issues")}
+    schema = StructType.fromDDL("id string, day string")
+
+    def arrive(**files: str) -> None:
+        for name, text in files.items():
+            (inbox / f"{name}.csv").write_text("id,day\n" + text)
+        ingest.stream_csv(spark, str(inbox), schema, key=["id"], **at, **ingest.dates_by_file(["day"])).awaitTermination()
+
+    arrive(au="1,13/02/2024\n2,01/02/2024\n", us="3,02/13/2024\n4,01/02/2024\n", free="5,soon\n6,01/02/2024\n")
+    arrive(both="7,13/02/2024\n8,02/13/2024\n")
+    arrive(late="9,2024-03-01\n")
+    loaded = {r.id: (r.day, r.source_file_name) for r in spark.read.parquet(at["target"]).collect()}
+    assert loaded["1"] == ("2024-02-13", "au.csv") and loaded["2"][0] == "2024-02-01" and loaded["4"][0] == "2024-01-02" and loaded["9"][0] == "2024-03-01"
+    assert loaded["5"][0] == "soon" and loaded["6"][0] == "01/02/2024" and len(loaded) == 7
+    assert {(r.id, r.day) for r in spark.read.parquet(at["quarantine"]).collect()} == {("7", "13/02/2024"), ("8", "02/13/2024")}
+    assert [r.code for r in spark.read.parquet(at["issues"]).collect()] == ["CONFLICTING_DATE_ORDERS"]
