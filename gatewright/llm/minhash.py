@@ -101,12 +101,16 @@ def samples(s: np.ndarray, percent: int = 85) -> np.ndarray:
     return out
 
 
-def odd_sketch(sample: np.ndarray) -> np.ndarray:
-    salt = _random(len(sample))[2]
-    bits = np.bincount(mix(sample.astype(np.uint64) + salt) % np.uint64(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
+def odd_bits(items: np.ndarray) -> np.ndarray:
+    """A bitmap of parities of distinct items."""
+    bits = np.bincount(mix(items) % np.uint64(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def odd_sketch(sample: np.ndarray) -> np.ndarray:
+    return odd_bits(sample.astype(np.uint64) + _random(len(sample))[2])
+
+
 def band_hashes(sample: np.ndarray, percent: int = 85) -> np.ndarray:
     bands, rows = layout(percent)
     acc = np.arange(bands, dtype=np.uint64)
@@ -165,6 +169,18 @@ def ones(x: str, y: str) -> Column:
     return sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(SKETCH_LONGS)), F.lit(0))
 
 
+def with_parity(sets: DataFrame) -> DataFrame:
+    """id, parity: the odd sketch of the whole set, not of samples; the ones in the XOR of two are no more than the shingles that only one of the sets has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for b in batches:
+                made = [odd_bits(x.values.to_numpy().view(np.uint64)) for x in b.column("items")]
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(made, pa.list_(pa.int64()))], names=["id", "parity"])
+
+    return sets.select("id", "items").mapInArrow(run, f"id {sets.schema['id'].dataType.simpleString()}, parity array<bigint>")
+
+
 def sizes_fit(percent: int) -> Column:
     return (100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b")
 
@@ -176,8 +192,9 @@ def prefix_links(members: DataFrame, sets: DataFrame, percent: int, linked) -> D
     of one member left out, as they cannot meet.  Of a link, the smaller set's
     first shingles meet the larger one's: beyond the first |x| - o + 1 too few are
     left for the overlap o that the sizes ask for.  Where a shingle stands bounds
-    the overlap further.  Members that share a template but have more of their own
-    than the threshold allows have their own shingles first and meet nobody.
+    the overlap further, and so does the odd sketch of the whole set.  Members that
+    share a template but have more of their own than the threshold allows have their
+    own shingles first and meet nobody.
     """
     pieces = sets.select("id", F.explode("items").alias("w"))
     common = pieces.groupBy("w").agg(F.count("*").alias("f")).where("f > 1")
@@ -185,13 +202,14 @@ def prefix_links(members: DataFrame, sets: DataFrame, percent: int, linked) -> D
     # of sets of sizes x <= y, the overlap is at least percent (x + y) / (100 + percent): so much for y = x, and percent y / 100 for the least x
     small = F.ceil(2 * percent * F.col("n") / F.lit(100 + percent) - 1e-9)
     large = F.ceil(percent * F.col("n") / F.lit(100) - 1e-9)
-    placed = ranked.join(members, "id").withColumns({"own": F.col("n") - F.size("ws"), "short": F.col("n") - small + 1, "long": F.col("n") - large + 1})
-    heads = placed.select("id", "component", "n", "outside", "short", "own", F.posexplode(F.slice("ws", F.lit(1), F.greatest(F.col("long") - F.col("own"), F.lit(0)).cast("int"))).alias("k", "x"))
-    heads = keep(heads.select("id", "component", "n", "outside", F.col("x.w").alias("w"), (F.col("own") + F.col("k")).alias("p"), (F.col("own") + F.col("k") < F.col("short")).alias("as_small")))
-    x = heads.where("as_small").select(*[F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "outside", "w", "p")])
-    y = heads.select(*[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "outside", "w", "p")])
+    placed = ranked.join(members, "id").join(with_parity(sets), "id").withColumns({"own": F.col("n") - F.size("ws"), "short": F.col("n") - small + 1, "long": F.col("n") - large + 1})
+    heads = placed.select("id", "component", "n", "outside", "parity", "short", "own", F.posexplode(F.slice("ws", F.lit(1), F.greatest(F.col("long") - F.col("own"), F.lit(0)).cast("int"))).alias("k", "x"))
+    heads = keep(heads.select("id", "component", "n", "outside", "parity", F.col("x.w").alias("w"), (F.col("own") + F.col("k")).alias("p"), (F.col("own") + F.col("k") < F.col("short")).alias("as_small")))
+    x = heads.where("as_small").select(*[F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "outside", "parity", "w", "p")])
+    y = heads.select(*[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "outside", "parity", "w", "p")])
     room = (100 + percent) * F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= percent * (F.col("n_a") + F.col("n_b"))
     meets = (F.col("w_a") == F.col("w_b")) & (F.col("component_a") != F.col("component_b")) & (F.col("n_a") <= F.col("n_b")) & sizes_fit(percent) & room
+    meets = meets & ((100 + percent) * ones("parity_a", "parity_b") <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
 
     def met(one: DataFrame, two: DataFrame) -> DataFrame:
         return one.join(two, meets).select("id_a", "id_b", "component_a", "component_b")
