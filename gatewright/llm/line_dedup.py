@@ -103,4 +103,6 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", t
         "n_dropped": F.when(untouched, F.lit(0)).otherwise(F.aggregate("bitmap", F.lit(0), lambda a, r: a + r["n"])).cast("bigint"),
         "kept_text": F.when(untouched, t).otherwise(bound(F.split(t, "\n"), kept)),
     }
-    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    # in two steps, as a name of docs may be one used here
+    both = joined.select("row", F.struct(*[v.alias(k) for k, v in made.items()]).alias("made"))
+    return both.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], "made.*")
