@@ -42,6 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one id (or none) are told apart by their texts; of rows that repeat wholly one stays, blank ones all do.
     """
+    docs = docs.select(*COLUMNS)
     found = near_duplicates(docs, words=5, percent=80).where("kept")
     blank = (F.col("n_shingles") == 0).alias("blank")
     kept = cut(found.groupBy(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"), blank).agg(F.count("*").alias("copies")))
@@ -55,6 +56,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item, or a shorter item whole, go."""
+    docs = docs.select(*COLUMNS)
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
     found = found.select(F.col("doc_id").alias("hit_id"), F.col("fp").alias("hit_fp"))
     same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("hit_fp"))
