@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gatewright.functions import expr as X
 
-from .profile import code_like, column_statistics, narrowest_type
+from .profile import code_like, column_statistics, key_bounds, narrowest_type
 from .samples import with_samples
 
 
@@ -95,15 +95,34 @@ def repeated(df: DataFrame, combos: list[tuple[str, ...]]) -> set[tuple[str, ...
     return {combo for combo in combos if number[combo] in found}
 
 
-def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3, tab: str | None = None, sample_rows: int = SAMPLE_ROWS) -> list[str] | None:
+def _counts(df: DataFrame, names: list[str]) -> tuple[int, dict[str, float]]:
+    """The rows of df, and about how many values each of the columns without nulls has."""
+    first = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{k}") for k, c in enumerate(names)],
+        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"distinct_{k}") for k, c in enumerate(names)],
+    ).first()
+    return first["rows"], {c: first[f"distinct_{k}"] for k, c in enumerate(names) if not first[f"nulls_{k}"]}
+
+
+def _stored_counts(sketches: DataFrame, names: list[str]) -> tuple[int, dict[str, float]]:
+    known = {r.column_name: r for r in key_bounds(sketches).where(F.col("column_name").isin(names)).collect()}  # a row a column
+    if lost := [c for c in names if c not in known]:
+        raise ValueError(f"no sketches of {lost}")
+    return max(r.rows for r in known.values()), {c: known[c].n_distinct for c in names if not known[c].nulls}
+
+
+def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3, tab: str | None = None, sample_rows: int = SAMPLE_ROWS, sketches: DataFrame | None = None) -> list[str] | None:
     """The first combination of up to `most` candidates, in their order, that is unique and free of nulls.
 
     Without candidates they are found (key_candidates).  If none fits and there
     is a tab column, the same are tried with it.  The search goes by level:
 
-    - one job counts rows, nulls and about the distinct values of each candidate;
-      a column with a null is out, and a combination whose distinct counts
-      multiply to less than the number of rows cannot be unique;
+    - one job counts rows, nulls and about the distinct values of each candidate,
+      or they come from the sketches that profiles of the files hold
+      (profile.merge_sketches), without a scan; a column with a null is out, and a
+      combination whose distinct counts multiply to less than the number of rows
+      cannot be unique;
     - a job over a sample tests a level's combinations by grouping sets: what
       repeats there is refuted, whatever the other rows hold;
     - a job over all rows tests the level's survivors, which are few, likewise; the
@@ -115,15 +134,9 @@ def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3,
     names = [*candidates, *extra]
     if not candidates:
         return None
-    first = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{k}") for k, c in enumerate(names)],
-        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"distinct_{k}") for k, c in enumerate(names)],
-    ).first()
-    rows = first["rows"]
+    rows, counts = _counts(df, names) if sketches is None else _stored_counts(sketches, names)
     if not rows:
         return None
-    counts = {c: first[f"distinct_{k}"] for k, c in enumerate(names) if not first[f"nulls_{k}"]}
 
     def may_be(combo: tuple[str, ...]) -> bool:
         room = 1.0

@@ -250,3 +250,12 @@ def grid_to_table(spark, d):
     top = F.inline(F.array(F.struct(F.lit(0).alias("row_no"), F.array(F.lit("a title")).alias("cells")), F.struct(F.lit(1).alias("row_no"), F.array(F.lit(" key "), F.lit(None), F.lit("key")).alias("cells"))))
     grid = body.unionByName(c.select(F.col("c_mktsegment").alias("tab_name")).distinct().select("tab_name", top)).withColumns({"path": F.lit("book"), "tab_index": F.hash("tab_name")})
     return workbook.tables(grid, header_skip_rows=1, tab_column="tab").drop("source_path")
+
+
+@query("SELECT CASE " + " ".join(f"WHEN (SELECT count(*) = count(DISTINCT ({', '.join(c)})) AND {' AND '.join(f'count(*) = count({x})' for x in c)} FROM orders) THEN '{','.join(c)}'" for n in (1, 2, 3) for c in combinations(["o_orderstatus", "o_custkey", "o_orderdate", "o_orderkey"], n)) + " ELSE '' END AS pk_columns")
+def key_search_profiles(spark, d):
+    """The key of orders that lie in a file for each status, pruned by the sketches of the files' profiles."""
+    o = read(spark, d, "orders").select("o_orderstatus", "o_custkey", "o_orderdate", "o_orderkey").withColumn("file", F.col("o_orderstatus"))
+    stored = profile.merge_sketches(profile.column_sketches(o, by=["file"]))
+    found = keys.infer_key(o.drop("file"), ["o_orderstatus", "o_custkey", "o_orderdate", "o_orderkey"], sketches=stored)
+    return spark.range(1).select(F.lit(",".join(found or [])).alias("pk_columns"))

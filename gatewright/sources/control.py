@@ -14,8 +14,8 @@ def effective_scope(scope: Column, is_test: Column) -> Column:
     return F.coalesce(F.nullif(F.upper(F.trim(scope)), F.lit("")), F.when(is_test, "TEST").otherwise("REAL"))
 
 
-def select_control(control: DataFrame, process_id: int | None = None, workflow_id: str | None = None, scope: str | None = "REAL", active_only: bool = True) -> DataFrame:
-    """Rows of control (process_id, workflow_id, is_active, ingestion_scope, is_test_data) to run; order by id where it is shown."""
+def select_control(control: DataFrame, process_id: int | None = None, workflow_id: str | None = None, scope: str | None = "REAL", active_only: bool = True, order: str | None = "id") -> DataFrame:
+    """Rows of control (process_id, workflow_id, is_active, ingestion_scope, is_test_data) to run, in order of their id where there is one."""
     out = control
     if process_id is not None:
         out = out.where(F.col("process_id") == process_id)
@@ -25,7 +25,7 @@ def select_control(control: DataFrame, process_id: int | None = None, workflow_i
         out = out.where(F.upper(F.trim(F.col("is_active").cast("string"))).isin(*ACTIVE))
     if scope:
         out = out.where(effective_scope(F.col("ingestion_scope"), F.col("is_test_data")) == scope.upper())
-    return out
+    return out.orderBy(order) if order in control.columns else out
 
 
 def guard_violations(control: DataFrame) -> DataFrame:

@@ -98,6 +98,14 @@ def test_key_search_takes_two_jobs_a_level_at_most(spark):
     assert jobs <= 2 + 2 * 3 * 3  # two levels; with adaptive plans a query is up to three jobs
 
 
+def test_key_search_by_stored_sketches(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("file"), (F.col("id") % 60).alias("a"), F.floor(F.col("id") / 60).alias("b"), F.when(F.col("id") > 0, F.col("id")).alias("c"))
+    stored = profile.merge_sketches(profile.column_sketches(df, by=["file"]))
+    assert keys.infer_key(df, ["c", "a", "b"], sketches=stored) == keys.infer_key(df, ["c", "a", "b"]) == ["a", "b"]
+    with pytest.raises(ValueError, match="no sketches of"):
+        keys.infer_key(df, ["file"], sketches=stored)
+
+
 def test_repeated_names_the_combinations(spark):
     df = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 3)], "a int, `b c` string, d int")
     assert keys.repeated(df, [("a",), ("b c",), ("a", "b c"), ("d",), ("d", "a")]) == {("a",), ("b c",)}
