@@ -7,8 +7,8 @@ encoding of its own bytes, so a window is done as soon as its outer tokens form
 such pairs with the tokens outside it; else it grows by a token on that side.
 Decoding concatenates byte strings up a tree.
 
-Scale: a map over rows, no shuffle; memory is a batch of texts, a cache of
-encoded pieces of fixed size and the rank table, which each worker reads from
+Scale: a map over rows, no shuffle; memory is a batch of texts, the ids of a few
+megabytes of them, a cache of encoded pieces of fixed size and the rank table, which each worker reads from
 the installed tokenizer files.
 
 Cases: a null text is an empty one (no ids); texts are never cut, a piece of
@@ -19,6 +19,7 @@ kept as they are; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import byte_slices
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces, parts and pairs (of each so many) that a task remembers; it forgets them at its end, as workers live on.
 CACHE = 100_000
@@ -139,9 +142,11 @@ class Encoder:
         return got
 
     def forget(self) -> None:
-        """Drop what was remembered; results do not depend on it."""
+        """Drop what was remembered, and give memory back, as the worker goes on to other stages; results do not depend on it."""
         for memory in (self.pairs, self.parts, self.pieces):
             memory.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         """For each piece its ids, and the same as decimal text."""
@@ -177,7 +182,7 @@ def encode_column(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(ranks)
-        for b in batches:
+        for b in (part for batch in batches for part in byte_slices(batch, "text")):
             ids = [list(chain.from_iterable(p[0] for p in e.encode(t))) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
         e.forget()
@@ -203,7 +208,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rank
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(ranks)
-        for b in batches:
+        for b in (part for batch in batches for part in byte_slices(batch, "text")):
             n, ids_hash, data_hash, kept = [], [], [], []
             for t in b.column("text"):
                 pieces = e.encode(t.as_py())

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +80,17 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def byte_slices(batch: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """batch in parts of at most `size` bytes of its column text, or of one row: what a task makes of a batch at once is bounded by bytes, not rows."""
+    ends = np.cumsum(np.asarray(pc.binary_length(batch.column(text))))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; texts without other capitals take the quick way."""
     quick = (F.length(text) == F.octet_length(text)) | ~text.rlike(OTHER_CAPITALS)

@@ -30,6 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import byte_slices
+
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED, RATE, SPM_RATE = 42, 50, 80
 SLICE = 4 << 20
@@ -93,17 +95,6 @@ def transform(texts: pa.Array, draw: list[np.ndarray], rate: int = RATE, spm_rat
     }
 
 
-def slices(batch: pa.RecordBatch, text: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """batch in parts of at most `size` bytes of text, or of one row."""
-    ends = np.cumsum(np.asarray(pc.binary_length(batch.column(text))))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        to = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def fill_in_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, rate: int = RATE, spm_rate: int = SPM_RATE) -> DataFrame:
     """doc_id, n (units), form (plain, psm or spm), prefix_chars, middle_chars (null if plain) and output of each row."""
     names = [f"h{k}" for k in range(1, 5)]
@@ -111,7 +102,7 @@ def fill_in_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in byte_slices(batch, "text", SLICE):
                 made = transform(b.column("text"), [np.asarray(b.column(h)) for h in names], rate, spm_rate)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made.values()], names=["doc_id", *made])
 

@@ -14,6 +14,7 @@ import pytest
 from gatewright.llm import fill_in_middle as fim
 from gatewright.llm import prefix_trie as trie
 from gatewright.llm import queries, simhash
+from gatewright.llm.common import byte_slices
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -57,10 +58,10 @@ def test_fill_in_middle_equals_plain_python(spark):
 
 def test_fill_in_middle_slices_batches_by_bytes():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, "b" * 10, "c" * 100, "", "d"])], names=["t"])
-    parts = list(fim.slices(batch, "t", 25))
+    parts = list(byte_slices(batch, "t", 25))
     assert [p.num_rows for p in parts] == [2, 1, 2]
     assert pa.Table.from_batches(parts).column("t").to_pylist() == batch.column("t").to_pylist()
-    assert list(fim.slices(batch.slice(0, 0), "t")) == []
+    assert list(byte_slices(batch.slice(0, 0), "t")) == []
 
 
 def test_fill_in_middle_on_given_documents(spark):
