@@ -207,6 +207,8 @@ def _decode_block(data: bytes, n: int) -> np.ndarray:
 
 def encode_segment(ids: np.ndarray) -> bytes:
     """ids (0 to 65535) as one segment: header, block table (length, CRC-32 of the ids), blocks."""
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < 1 << 16:
+        raise ValueError(f"ids from {ids.min()} to {ids.max()}: the format holds 0 to 65535")
     blocks = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
     coded = [_encode_block(b) for b in blocks]
     table = b"".join(struct.pack("<II", len(c), zlib.crc32(b.astype("<u4").tobytes())) for b, c in zip(blocks, coded, strict=True))

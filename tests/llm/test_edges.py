@@ -94,3 +94,14 @@ def test_trie_of_turns_with_other_columns_and_null_ids(spark):
     rows = [(1, 0, "user", "a", "x"), (None, 0, "user", "a", "x"), (6, None, None, None, "x"), (6, None, None, None, "x")]
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string, length string").withColumns({c: F.lit("x") for c in ("i", "part", "place", "t1", "p1", "depth", "heavy")})
     assert prefix_trie.conversation_trie(df).where("depth = 0").first().n_convs == 2
+
+
+def test_ids_beyond_the_format_are_an_error():
+    import numpy as np
+
+    for ids in ([1, 65_536], [-1, 2]):
+        with pytest.raises(ValueError, match="the format holds 0 to 65535"):
+            token_output.encode_segment(np.array(ids, np.int64))
+    ids = np.array([0, 65_535, 65_535, 0], np.int64)
+    assert token_output.decode_segment(token_output.encode_segment(ids)).tolist() == ids.tolist()
+    assert token_output.decode_segment(token_output.encode_segment(ids[:0])).tolist() == []
