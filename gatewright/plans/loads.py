@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright.operators import dates, job, keys, load, profile
+from gatewright.operators.discover import discover
 from gatewright.operators.validate import Column as Contract
 from gatewright.operators.validate import contract_columns as columns_of
 from gatewright.operators.validate import contract_frame, date_columns, validate
@@ -259,3 +260,27 @@ def key_search_profiles(spark, d):
     stored = profile.merge_sketches(profile.column_sketches(o, by=["file"]))
     found = keys.infer_key(o.drop("file"), ["o_orderstatus", "o_custkey", "o_orderdate", "o_orderkey"], sketches=stored)
     return spark.range(1).select(F.lit(",".join(found or [])).alias("pk_columns"))
+
+
+_INT = "CASE WHEN max(abs({0})) <= 2147483647 THEN 'INT' ELSE 'BIGINT' END"
+_TEXT = "'VARCHAR(' || CAST(greatest(10, ceil(max(length({0})) * 1.2 / 10) * 10) AS INT) || ')'"
+
+
+def _proposed(table: str, where: str, columns: dict[str, str], key: str) -> str:
+    kinds = [f"SELECT '{where}' AS kind, '{c}' AS column_name, {t.format(c)} AS data_type, {str(c == key).lower()} AS is_key FROM {table}" for c, t in columns.items()]
+    return " UNION ALL ".join(kinds)
+
+
+@query(
+    _proposed("orders", "APPEND", {"o_orderkey": _INT, "o_orderpriority": _TEXT, "o_orderdate": "max('DATE')"}, "o_orderkey")
+    + " UNION ALL " + _proposed("orders", "TRUNCATE", {"o_orderstatus": _TEXT, "o_orderpriority": _TEXT}, "")
+)
+def discover_folder(spark, d):
+    """Orders as files of two layouts in one folder: types, keys and strategies as they are proposed for each group."""
+    place, o = scratch(spark, "discover"), read(spark, d, "orders")
+    one = o.select("o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "dd/MM/yyyy").alias("o_orderdate"))
+    for rows in (one, o.select("o_orderstatus", "o_orderpriority")):
+        rows.repartition(3).write.mode("append").option("header", True).csv(f"{place}/in")
+    found = discover(spark, f"{place}/in")
+    kinds = found.control.select("group_id", F.col("load_strategy").alias("kind"))
+    return found.contracts.where("source_name is not null").join(kinds, "group_id").select("kind", "column_name", "data_type", "is_key")

@@ -144,8 +144,8 @@ def oversize(files: DataFrame, most_bytes: int) -> DataFrame:
     return files.where(F.col("length") > most_bytes)
 
 
-def move_files(spark: SparkSession, uris: list[str], folder: str, replace: bool = True) -> list[str]:
-    """Move files to a folder, which is made if need be; their new names.
+def move_files(spark: SparkSession, paths: list[str], folder: str, replace: bool = True) -> list[str]:
+    """Move files (paths as of an inventory) to a folder, which is made if need be; their new names.
 
     A file of the same name there is replaced, or the new one gets _2, _3, ...
     before its extension.  Each file moves by one rename of the file system; one
@@ -157,8 +157,8 @@ def move_files(spark: SparkSession, uris: list[str], folder: str, replace: bool
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
     moved = []
-    for uri in uris:
-        source = path(jvm.java.net.URI(uri))
+    for name in paths:
+        source = path(name)
         if not fs.exists(source):
             continue
         name = source.getName()
@@ -168,7 +168,7 @@ def move_files(spark: SparkSession, uris: list[str], folder: str, replace: bool
             fs.delete(target, False)
         while fs.exists(target) or not fs.rename(source, target):
             if not fs.exists(target):
-                raise OSError(f"{uri} could not be moved to {folder}")
+                raise OSError(f"{source} could not be moved to {folder}")
             k += 1
             target = path(folder, f"{stem}_{k}{dot}{extension}")
         moved.append(target.getName())

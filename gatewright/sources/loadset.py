@@ -94,9 +94,14 @@ def short_uri(uri: str) -> str:
     return re.sub(r"^(\w+):///", r"\1:/", uri)
 
 
-def literal_path(uri: str) -> str:
-    """A file's address as a path for a reader, in which nothing is a pattern."""
-    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in unquote(uri))
+def plain_path(uri: str) -> str:
+    """A path as an inventory has it, from a file's address."""
+    return short_uri(unquote(uri))
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader, in which nothing is a pattern."""
+    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)
 
 
 def load_set(spark: SparkSession, paths: str | list[str], header_skip_rows: int = 0, multiline: bool = False) -> DataFrame:
@@ -111,7 +116,7 @@ def load_set(spark: SparkSession, paths: str | list[str], header_skip_rows: int
         names = column_names(bytes(r.header), r.encoding)
         for c in names:
             order.setdefault(c.lower(), c)
-        groups.setdefault((names, r.encoding, r.filled), []).append(literal_path(r.path))
+        groups.setdefault((names, r.encoding, r.filled), []).append(literal_path(plain_path(r.path)))
     whole = None
     for (names, encoding, filled), files in groups.items():
         rows = read_layout(spark, files, list(names), encoding, filled if header_skip_rows > 0 else None, multiline)

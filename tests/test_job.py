@@ -29,14 +29,14 @@ def events(spark, at):
 def test_a_load_goes_from_files_to_target_and_ledger(spark, place, tmp_path):
     inbox, at, config = place
     (inbox / "b.csv").write_text("Id,day,amount,note\n1,13/02/2024, 1.50 ,x\n2,01/02/2024,2,y\n")
-    (inbox / "A.csv").write_bytes(b"note,day,amount,Id\ncaf\xe9,2024-03-01,3.25,3\n")
+    (inbox / "A %[1].csv").write_bytes(b"note,day,amount,Id\ncaf\xe9,2024-03-01,3.25,3\n")
     (inbox / "other.txt").write_text("no")
-    assert [n for _, n in choose_files(spark, config())] == ["A.csv", "b.csv"]
+    assert [n for _, n in choose_files(spark, config())] == ["A %[1].csv", "b.csv"]
     out = run_load(spark, config(strategy="APPEND"), **at)
     assert out.error is None and (out.rows_scanned, out.rows_loaded) == (3, 3)
     rows = sorted((r.id, str(r.day), str(r.amount), r.note, r.source_file_name, r.audit_id == out.run_id) for r in at["target"].read().collect())
-    assert rows == [(1, "2024-02-13", "1.50", "x", "b.csv", True), (2, "2024-02-01", "2.00", "y", "b.csv", True), (3, "2024-03-01", "3.25", "café", "A.csv", True)]
-    assert events(spark, at) == [("A.csv", 1, "STARTED", 0, None), ("A.csv", 2, "SUCCESS", 1, "processed"), ("b.csv", 1, "STARTED", 0, None), ("b.csv", 2, "SUCCESS", 2, "processed")]
+    assert rows == [(1, "2024-02-13", "1.50", "x", "b.csv", True), (2, "2024-02-01", "2.00", "y", "b.csv", True), (3, "2024-03-01", "3.25", "café", "A %[1].csv", True)]
+    assert events(spark, at) == [("A %[1].csv", 1, "STARTED", 0, None), ("A %[1].csv", 2, "SUCCESS", 1, "processed"), ("b.csv", 1, "STARTED", 0, None), ("b.csv", 2, "SUCCESS", 2, "processed")]
     assert sorted(p.name for p in inbox.iterdir() if not p.name.startswith(".")) == ["other.txt"]
     # the same keys again: the target is untouched, the file goes to the failed ones
     (inbox / "b.csv").write_text("Id,day,amount,note\n3,13/02/2024,1,x\n4,14/02/2024,1,x\n")
@@ -44,7 +44,7 @@ def test_a_load_goes_from_files_to_target_and_ledger(spark, place, tmp_path):
     assert "PRIMARY_KEY_VIOLATION" in again.error and at["target"].read().count() == 3 and (tmp_path / "bad" / "b.csv").exists()
     (inbox / "b.csv").write_text("Id,day,amount,note\n4,14/02/2024,1,x\n")
     assert run_load(spark, config(strategy="APPEND"), **at).error is None and at["target"].read().count() == 4
-    assert {p.name for p in (tmp_path / "done").iterdir() if p.suffix == ".csv"} == {"A.csv", "b.csv"}
+    assert {p.name for p in (tmp_path / "done").iterdir() if p.suffix == ".csv"} == {"A %[1].csv", "b.csv"}
     assert run_load(spark, config(), **at).files == []
 
 
@@ -83,11 +83,11 @@ def test_moved_files_replace_each_other_or_do_not(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(3):
         (tmp_path / "in" / "a b.csv").write_text(str(k))
-        assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out"), replace=False) == [["a b.csv"], ["a b_2.csv"], ["a b_3.csv"]][k]
-    assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out")) == []
+        assert move_files(spark, [str(tmp_path / "in" / "a b.csv")], str(tmp_path / "out"), replace=False) == [["a b.csv"], ["a b_2.csv"], ["a b_3.csv"]][k]
+    assert move_files(spark, [str(tmp_path / "in" / "a b.csv")], str(tmp_path / "out")) == []
     assert (tmp_path / "out" / "a b_3.csv").read_text() == "2"
     (tmp_path / "in" / "a b.csv").write_text("9")
-    assert move_files(spark, [(tmp_path / "in" / "a b.csv").as_uri()], str(tmp_path / "out")) == ["a b.csv"]
+    assert move_files(spark, [str(tmp_path / "in" / "a b.csv")], str(tmp_path / "out")) == ["a b.csv"]
     assert (tmp_path / "out" / "a b.csv").read_text() == "9"
 
 
