@@ -34,7 +34,7 @@ from .common import byte_slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces, parts and pairs (of each so many) that a task remembers; it forgets them at its end, as workers live on.
-CACHE = 100_000
+CACHE = 300_000
 LEAF = 2048
 #: Parts of so many bytes are remembered; data of more bytes is merged by a heap.
 PART, SHORT = 8, 48
