@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -74,6 +75,9 @@ def key_candidates(df: DataFrame, stats: DataFrame | None = None) -> list[str]:
 
 #: Rows of the sample that refutes combinations; combinations that one job tests at most.
 SAMPLE_ROWS, AT_ONCE = 20_000, 64
+#: Rows that a task of a test over all rows gets; repeated values that are looked up to refute other combinations.
+TASK_ROWS, WITNESSES = 250_000, 100
+_SET = "__set_of_rows"
 
 
 def repeated(df: DataFrame, combos: list[tuple[str, ...]]) -> set[tuple[str, ...]]:
@@ -95,6 +99,44 @@ def repeated(df: DataFrame, combos: list[tuple[str, ...]]) -> set[tuple[str, ...
     return {combo for combo in combos if number[combo] in found}
 
 
+def repeated_in_share(df: DataFrame, combos: list[tuple[str, ...]], share: float) -> set[tuple[str, ...]]:
+    """Which of the combinations (without nulls) occur twice among a share of their values, drawn by hash; one scan.
+
+    All rows of a drawn value are there, so that a combination whose values
+    repeat now and then is found in a table of any size; in a sample of rows the
+    second row of a pair is as rare as the first.
+    """
+    names = list(dict.fromkeys(c for combo in combos for c in combo))
+    cell = {c: (F.col(f"`{c}`"), F.lit(None).cast(df.schema[c].dataType)) for c in names}
+    drawn = [F.pmod(F.xxhash64(*[cell[c][0] for c in combo]), F.lit(1 << 20)) < round(share * (1 << 20)) for combo in combos]
+    each = [F.when(hit, F.struct(F.lit(g).alias("g"), *[cell[c][c not in combo].alias(f"k{i}") for i, c in enumerate(names)])) for g, (combo, hit) in enumerate(zip(combos, drawn))]
+    some = drawn[0]
+    for hit in drawn[1:]:
+        some = some | hit
+    rows = df.where(some).select(F.inline(F.array(*each))).where("g is not null")
+    counted = rows.groupBy("g", *[f"k{i}" for i in range(len(names))]).agg(F.count("*").alias("n"))
+    return {combos[r.g] for r in counted.where("n > 1").select("g").distinct().collect()}
+
+
+def _witnesses(df: DataFrame, combo: tuple[str, ...], rows: int) -> DataFrame | None:
+    """All rows of some values that a combination (without nulls) holds twice; None if it is unique.  Exact.
+
+    Each row's values are sent once.  Nothing is counted before, as what comes
+    here is unique or nearly so; tasks get TASK_ROWS rows each, however many there
+    are.  At most WITNESSES values come to the driver.
+    """
+    short = {c: f"k{i}" for i, c in enumerate(combo)}
+    values = df.select(*[F.col(f"`{c}`").alias(k) for c, k in short.items()])
+    parts = -(-rows // TASK_ROWS)
+    dealt = values.repartition(parts, *short.values()).groupBy(*short.values()).agg(F.count("*").alias("n"))
+    twice = dealt.where("n > 1").select(*short.values()).limit(WITNESSES).collect()
+    if not twice:
+        return None
+    known = df.sparkSession.createDataFrame(twice, values.schema)
+    same = [F.col(f"`{c}`") == F.col(k) for c, k in short.items()]
+    return df.join(F.broadcast(known), same, "left_semi")
+
+
 def _counts(df: DataFrame, names: list[str]) -> tuple[int, dict[str, float]]:
     """The rows of df, and about how many values each of the columns without nulls has."""
     first = df.agg(
@@ -123,11 +165,16 @@ def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3,
       (profile.merge_sketches), without a scan; a column with a null is out, and a
       combination whose distinct counts multiply to less than the number of rows
       cannot be unique;
-    - a job over a sample tests a level's combinations by grouping sets: what
-      repeats there is refuted, whatever the other rows hold;
-    - a job over all rows tests the level's survivors, which are few, likewise; the
-      first unique one in order ends the search, so that what contains it is never
-      tested.  Levels of more than AT_ONCE combinations take several such pairs.
+    - a job over a sample of rows tests a level's combinations by grouping sets:
+      what repeats there is refuted, whatever the other rows hold;
+    - a scan tests the others on a share of their values (repeated_in_share), all
+      together an eighth of the rows or less;
+    - the survivors, which are few, are tested one by one over all rows, each row
+      sent once; the first unique one in order ends the search, so that what
+      contains it is never tested.  The rows in which another one repeats are tried
+      with all that are left, so that a few odd rows cost one such test, not one a
+      combination.  Levels of more than AT_ONCE combinations go in parts; a table no
+      larger than the sample is tested whole by one job a part.
     """
     candidates = key_candidates(df) if candidates is None else candidates
     extra = [tab] if tab and tab in df.columns else []
@@ -147,21 +194,42 @@ def infer_key(df: DataFrame, candidates: list[str] | None = None, most: int = 3,
     usable = [c for c in candidates if c in counts]
     levels = [[(*combo, *more) for combo in combinations(usable, size)] for more in ([[], extra] if extra and extra[0] in counts else [[]]) for size in range(1, most + 1)]
     levels = [[combo for combo in level if may_be(combo)] for level in levels]
-    # a share of the rows by a seeded draw: rows that are there, so that what repeats among them repeats in the table
-    sample = df.sample(min(1.0, sample_rows / rows), 17).persist() if sample_rows < rows else None
-    try:
+    if rows <= sample_rows:
         for level in levels:
             for at in range(0, len(level), AT_ONCE):
                 part = level[at : at + AT_ONCE]
-                if sample is not None:
-                    refuted = repeated(sample, part)
-                    part = [combo for combo in part if combo not in refuted]
                 wrong = repeated(df, part)
                 if left := [combo for combo in part if combo not in wrong]:
                     return list(left[0])
+        return None
+    df, kept = df.select(*[F.col(f"`{c}`") for c in names]), []
+
+    def keep(found: DataFrame) -> None:
+        """Rows that are there, so that what repeats among them repeats in the table; a number tells one set from the next."""
+        kept.append(found.withColumn(_SET, F.lit(len(kept))).persist())
+
+    def not_refuted(part: list[tuple[str, ...]], at: int = 0) -> list[tuple[str, ...]]:
+        seen = reduce(DataFrame.union, kept[at:])
+        wrong = repeated(seen, [(_SET, *combo) for combo in part])
+        return [combo for combo in part if (_SET, *combo) not in wrong]
+
+    keep(df.sample(sample_rows / rows, 17))
+    try:
+        for level in levels:
+            for at in range(0, len(level), AT_ONCE):
+                part = not_refuted(level[at : at + AT_ONCE])
+                if part:
+                    wrong = repeated_in_share(df, part, min(1 / 64, 1 / (8 * len(part))))
+                    part = [combo for combo in part if combo not in wrong]
+                while part:
+                    found = _witnesses(df, part[0], rows)
+                    if found is None:
+                        return list(part[0])
+                    keep(found)
+                    part = not_refuted(part[1:], len(kept) - 1)
     finally:
-        if sample is not None:
-            sample.unpersist()
+        for seen in kept:
+            seen.unpersist()
     return None
 
 

@@ -98,6 +98,40 @@ def test_key_search_takes_two_jobs_a_level_at_most(spark):
     assert jobs <= 2 + 2 * 3 * 3  # two levels; with adaptive plans a query is up to three jobs
 
 
+def test_key_search_sends_no_row_once_a_combination(spark, monkeypatch):
+    # pairs of equal values are everywhere but rare, so a sample of 100 rows holds none
+    n, sent = 20_000, []
+    df = spark.range(n).select(*[F.floor((F.col("id") * k % n) / 2).alias(f"c{k}") for k in (1, 3, 7, 9, 11, 13)], F.col("id").alias("z"))
+    one, test = keys.repeated, keys._witnesses
+    monkeypatch.setattr(keys, "repeated", lambda df, combos: (sent.append(df.count() * len(combos)), one(df, combos))[1])
+    monkeypatch.setattr(keys, "_witnesses", lambda df, combo, rows: (sent.append(rows), test(df, combo, rows))[1])
+    assert keys.infer_key(df, df.columns, sample_rows=100) == ["z"]
+    assert max(sent) <= n and sum(sent) < 3 * n
+
+
+def test_one_doubled_row_costs_one_test_of_all_rows(spark, monkeypatch):
+    df = spark.range(8000).select(F.col("id").alias("a"), F.col("id").cast("string").alias("b c"), (F.col("id") * 3).alias("d"))
+    tested, test = [], keys._witnesses
+    monkeypatch.setattr(keys, "_witnesses", lambda df, combo, rows: (tested.append(combo), test(df, combo, rows))[1])
+    assert keys.infer_key(df.union(df.where("a = 77")), df.columns, sample_rows=50) is None
+    assert len(tested) <= 1
+    # twice the row, but told apart by one column
+    assert keys.infer_key(df.withColumn("e", F.lit(1)).union(df.where("a = 77").withColumn("e", F.lit(2))), ["a", "b c", "e"], sample_rows=50) == ["a", "e"]
+    # half of the rows hold one value
+    half = df.select("d", F.when(F.col("a") % 2 == 0, F.col("a")).otherwise(1).alias("h"))
+    assert keys.infer_key(half, ["h", "d"], sample_rows=50) == ["d"]
+
+
+def test_a_share_of_values_refutes_and_never_accuses_a_key(spark):
+    df = spark.range(50_000).select(F.floor(F.col("id") / 2).alias("a"), (F.col("id") % 2).cast("int").alias("b"), F.col("id").cast("string").alias("c d"))
+    combos = [("a",), ("c d",), ("a", "b"), ("b",)]
+    assert keys.repeated_in_share(df, combos[:3], 1 / 64) == {("a",)}
+    assert keys.repeated_in_share(df, combos, 1.0) == {("a",), ("b",)}
+    assert keys._witnesses(df, ("c d",), 50_000) is None and keys._witnesses(df, ("a", "b"), 50_000) is None
+    rows = keys._witnesses(df, ("a",), 50_000)
+    assert rows.count() == 2 * keys.WITNESSES and keys.repeated(rows, [("a",), ("a", "b")]) == {("a",)}
+
+
 def test_key_search_by_stored_sketches(spark):
     df = spark.range(3000).select((F.col("id") % 2).alias("file"), (F.col("id") % 60).alias("a"), F.floor(F.col("id") / 60).alias("b"), F.when(F.col("id") > 0, F.col("id")).alias("c"))
     stored = profile.merge_sketches(profile.column_sketches(df, by=["file"]))
