@@ -15,6 +15,9 @@ from gatewright.functions import expr as X
 
 from .samples import with_samples
 
+#: Groups whose evidence is read at once and sent to all tasks; of more, rows meet their group's in a join.
+GROUPS = 10_000
+
 COUNTS = ("n_values", "n_dmy", "n_mdy", "n_ambiguous", "n_ymd", "n_invalid")
 
 
@@ -82,6 +85,13 @@ def merge_evidence(evidence: DataFrame, by: list[str] | None = None) -> DataFram
     return evidence.groupBy(*(by or [])).agg(*[F.sum(c).alias(c) for c in COUNTS], F.bool_or("has_time").alias("has_time"), F.min("invalid_sample").alias("invalid_sample"))
 
 
+def known_evidence(evidence: DataFrame) -> DataFrame | None:
+    """Evidence without its sample of text as rows at hand, for several uses of one scan; None if it has more than GROUPS rows."""
+    counts = evidence.drop("invalid_sample")
+    rows = counts.limit(GROUPS + 1).collect()
+    return counts.sparkSession.createDataFrame(rows, counts.schema) if len(rows) <= GROUPS else None
+
+
 def resolve_order(evidence: DataFrame) -> DataFrame:
     """evidence with date_order: conflict, dayfirst, monthfirst or none; what is only ambiguous is dayfirst."""
     return evidence.withColumn(
@@ -100,9 +110,9 @@ def decision(mode: str, us: bool) -> tuple[Column, Column]:
     return F.when(dmy & mdy, "CONFLICTING_DATE_ORDERS"), dmy | ~mdy
 
 
-def date_issues(df: DataFrame, column: str, us: bool = False, mode: str = "csv", by: list[str] | None = None) -> DataFrame:
+def date_issues(df: DataFrame, column: str, us: bool = False, mode: str = "csv", by: list[str] | None = None, evidence: DataFrame | None = None) -> DataFrame:
     """severity, code, column_name, detail for a column (or its groups) whose dates cannot be decided; free text is no issue, as such a column stays text."""
-    e = order_evidence(df, column, by)
+    e = order_evidence(df, column, by) if evidence is None else evidence
     error, _ = decision(mode, us)
     found = e.where("n_invalid = 0").withColumn("code", error).where("code is not null")
     detail = F.format_string("day first %d, month first %d, either %d", "n_dmy", "n_mdy", "n_ambiguous")
@@ -113,15 +123,20 @@ def to_timestamp(text: Column, order: str) -> Column:
     return X.parse_date(text, F.lit(order != "monthfirst"))
 
 
-def normalise_dates(df: DataFrame, column: str, out: str, us: bool = False, mode: str = "csv", by: list[str] | None = None, text_out: str | None = None) -> DataFrame:
+def normalise_dates(df: DataFrame, column: str, out: str, us: bool = False, mode: str = "csv", by: list[str] | None = None, text_out: str | None = None, evidence: DataFrame | None = None) -> DataFrame:
     """df with `out`: the column as timestamps by its own order, or by that of each group of `by` (as each file's).
 
     A column (or group) that holds other text is left as it is: `out` is null,
     and text_out, if named, holds its text unchanged and ISO text elsewhere.
-    What cannot be decided raises when the result is used.
+    What cannot be decided raises when the result is used.  The evidence of groups
+    is read when this is called, unless it is given (as of known_evidence), and
+    goes to the rows, which stay where they are: a file of any size is not sent to
+    one task.
     """
     error, day_leads = decision(mode, us)
-    e = order_evidence(df, column, by).select(*[F.col(c).alias(f"by_{k}") for k, c in enumerate(by or [])], (F.col("n_invalid") == 0).alias("dates_only"), error.alias("error"), day_leads.alias("day_leads"))
+    if by and evidence is None:
+        evidence = known_evidence(order_evidence(df, column, by))
+    e = (order_evidence(df, column, by) if evidence is None else evidence).select(*[F.col(c).alias(f"by_{k}") for k, c in enumerate(by or [])], (F.col("n_invalid") == 0).alias("dates_only"), error.alias("error"), day_leads.alias("day_leads"))
     lead = F.col("e.day_leads")
     a, b, first = F.col("d_a"), F.col("d_b"), ~F.col("d_first")
     if mode == "mixed" and not us:
@@ -135,7 +150,7 @@ def normalise_dates(df: DataFrame, column: str, out: str, us: bool = False, mode
         for k, c in enumerate(by):
             part = F.col(c).eqNullSafe(F.col(f"e.by_{k}"))
             same = part if same is None else same & part
-        joined = df.join(one, same)  # a row for each group: small or not, Spark chooses
+        joined = df.join(one if evidence is None else F.broadcast(one), same)  # GROUPS rows at most are broadcast
     else:
         joined = df.crossJoin(F.broadcast(one))  # one row
     t = F.col(column)

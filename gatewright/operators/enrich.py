@@ -79,13 +79,17 @@ def spark_type(c: Contract) -> str:
     return known.get(t, "string")
 
 
-def typed(column: Column, c: Contract, dayfirst: bool = True) -> Column:
-    """One text column as its contract's type; what does not fit is null (see typed_projection for the count of it)."""
+def typed(column: Column, c: Contract, dayfirst: bool = True, read: Column | None = None) -> Column:
+    """One text column as its contract's type; what does not fit is null (see typed_projection for the count of it).
+
+    `read` has the moments of dates that were read before; where it is null, the text is.
+    """
     kind, text = spark_type(c), F.nullif(X.strip(column.cast("string")), F.lit(""))
     if kind == "boolean":
         return X.strict_bit(text)
     if kind in ("date", "timestamp_ntz"):
-        return X.parse_date(text, F.lit(dayfirst)).cast(kind)
+        found = X.parse_date(text, F.lit(dayfirst)).cast(kind)
+        return found if read is None else F.coalesce(read.cast(kind), found)
     if kind == "string":
         return F.when(F.length(column) <= c.char_len, column) if c.char_len and c.char_len > 0 else column
     value = F.when(X.is_number(text), text).try_cast(kind)
@@ -94,12 +98,16 @@ def typed(column: Column, c: Contract, dayfirst: bool = True) -> Column:
     return value
 
 
-def typed_projection(df: DataFrame, contract: Iterable[Contract], dayfirst: bool = True) -> DataFrame:
-    """The contract's columns, in its order and types, and n_lost: how many filled cells of the row did not fit and are null."""
+def typed_projection(df: DataFrame, contract: Iterable[Contract], dayfirst: bool = True, read: dict[str, str] | None = None) -> DataFrame:
+    """The contract's columns, in its order and types, and n_lost: how many filled cells of the row did not fit and are null.
+
+    `read` names, for columns of df, others that hold their dates as moments (see typed).
+    """
+    read = read or {}
     at = {c.strip().lower(): c for c in df.columns}
     known = [(c, at.get(c.name.strip().lower())) for c in contract]
     out = df.select(
-        *[(typed(F.col(f"`{s}`"), c, dayfirst) if s else F.lit(None).cast(spark_type(c))).alias(c.name) for c, s in known],
+        *[(typed(F.col(f"`{s}`"), c, dayfirst, F.col(f"`{read[s]}`") if s in read else None) if s else F.lit(None).cast(spark_type(c))).alias(c.name) for c, s in known],
         F.array(*[F.col(f"`{s}`").cast("string") for _, s in known if s]).alias("given_"),
     )
     lost = [(F.coalesce(F.trim(F.get("given_", F.lit(k))), F.lit("")) != "") & F.col(f"`{c.name}`").isNull() for k, (c, _) in enumerate((c, s) for c, s in known if s)]

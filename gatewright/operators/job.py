@@ -11,8 +11,8 @@ files where they were, so it can be run again.  If it dies between the commit of
 the target and the move of the files, the next run finds their keys in the target
 and fails, which the ledger tells; loads without keys replace (TRUNCATE).
 
-What comes to the driver: paths of the load's files and a row a file for the
-ledger.
+What comes to the driver: paths of the load's files, and a row a file for the
+ledger and for the order of each date column.
 """
 
 from __future__ import annotations
@@ -92,27 +92,41 @@ def read_files(spark: SparkSession, config: Config, uris: list[str]) -> DataFram
     raise ValueError(f"files of several or unknown kinds: {sorted(kinds)}")
 
 
-def prepare(rows: DataFrame, config: Config, audit_id: str) -> DataFrame:
+def text_dates(rows: DataFrame, config: Config) -> list[str]:
+    """The text columns of the rows that the contract has as dates or times."""
+    texts = {c.lower(): c for c, kind in rows.dtypes if kind == "string"}
+    due = date_columns(contract_frame(rows.sparkSession, config.contract)).select("column_name").collect()  # a contract's rows
+    return [texts[k] for r in due if (k := r.column_name.strip().lower()) in texts]
+
+
+def date_evidence(rows: DataFrame, config: Config) -> dict[str, DataFrame | None]:
+    """The evidence of each file for each column of text_dates, read once for the checks and the conversion."""
+    return {name: dates.known_evidence(dates.order_evidence(rows, name, ["source_file_name"])) for name in text_dates(rows, config)}
+
+
+def prepare(rows: DataFrame, config: Config, audit_id: str, evidence: dict[str, DataFrame | None] | None = None) -> DataFrame:
     """The contract's columns, typed, with lineage and n_lost; dates by the order of each file."""
     managed = [c for c in ("source_file_name", "excel_tab_name") if c in rows.columns]
-    texts = {c.lower(): c for c, kind in rows.dtypes if kind == "string"}
-    for r in date_columns(contract_frame(rows.sparkSession, config.contract)).select("column_name").collect():  # a contract's rows
-        if name := texts.get(r.column_name.strip().lower()):
-            read = dates.normalise_dates(rows, name, "_date", us=config.us_dates, by=["source_file_name"], text_out="_text")
-            rows = read.withColumn(name, F.col("_text")).drop("_date", "_text")
-    typed = enrich.typed_projection(rows.withColumn("_lineage", F.struct(*managed)), [*config.contract, Contract("_lineage", "struct")])
+    moments = {c.name.strip().lower() for c in config.contract if enrich.spark_type(c) in ("date", "timestamp_ntz")}
+    read: dict[str, str] = {}
+    for k, name in enumerate(text_dates(rows, config)):
+        stays = name.strip().lower() in moments  # the moments are taken as they are, the text only where there is none
+        found = dates.normalise_dates(rows, name, f"_date_{k}", us=config.us_dates, by=["source_file_name"], text_out=None if stays else "_text", evidence=(evidence or {}).get(name))
+        if stays:
+            rows, read[name] = found, f"_date_{k}"
+        else:
+            rows = found.withColumn(name, F.col("_text")).drop(f"_date_{k}", "_text")
+    typed = enrich.typed_projection(rows.withColumn("_lineage", F.struct(*managed)), [*config.contract, Contract("_lineage", "struct")], read=read)
     return typed.select(*[c.name for c in config.contract], *[F.col(f"_lineage.{m}").alias(m) for m in managed], F.lit(audit_id).alias("audit_id"), "n_lost")
 
 
-def find_issues(rows: DataFrame, config: Config) -> DataFrame:
+def find_issues(rows: DataFrame, config: Config, evidence: dict[str, DataFrame | None] | None = None) -> DataFrame:
     """Issues of the whole load, and of the dates of each file."""
     own = rows.drop("source_file_name", "excel_tab_name")
     contract = contract_frame(rows.sparkSession, config.contract)
     found = validate(own, contract, config.null_threshold)
-    texts = {c.lower(): c for c, kind in own.dtypes if kind == "string"}
-    for r in date_columns(contract).select("column_name").collect():
-        if name := texts.get(r.column_name.strip().lower()):
-            found = found.unionByName(dates.date_issues(rows, name, us=config.us_dates, by=["source_file_name"]).drop("source_file_name"))
+    for name in text_dates(own, config):
+        found = found.unionByName(dates.date_issues(rows, name, us=config.us_dates, by=["source_file_name"], evidence=(evidence or {}).get(name)).drop("source_file_name"))
     return found
 
 
@@ -137,17 +151,20 @@ def run_load(spark: SparkSession, config: Config, staging: VersionedTable, targe
         _write_events(spark, ledger, [(ids[n], seq, config.workflow_id, n, status, rows, rows, lost, message, disposition) for n, (rows, lost) in counts.items()])
 
     events(1, "STARTED", {}, None, None)
+    rows = None
     try:
         if not config.staging_only and target is None:
             raise ValueError("a load that is promoted needs a target")
         rows = enrich.trim_text(enrich.apply_mapping(read_files(spark, config, uris), config.mapping))
-        found = find_issues(rows, config)
+        rows = rows.persist()  # kept for three passes, spilled to disk; lost parts are read again from the files
+        evidence = date_evidence(rows, config)
+        found = find_issues(rows, config, evidence)
         at = f"{issues}/run={out.run_id}"
         found.withColumn("workflow_id", F.lit(config.workflow_id)).write.parquet(at)
         errors = [r.code for r in spark.read.schema(found.schema).parquet(at).where("severity = 'ERROR'").select("code").distinct().orderBy("code").collect()]
         if errors:
             raise ValueError("VALIDATION_FAILED: " + ", ".join(errors))
-        typed = prepare(rows, config, out.run_id)
+        typed = prepare(rows, config, out.run_id, evidence)
         load.swap(staging, typed, "TRUNCATE", list(config.keys) or None)
         staged = staging.read()
         per_file = {r.source_file_name: (r.n, r.lost) for r in staged.groupBy("source_file_name").agg(F.count("*").alias("n"), F.sum("n_lost").alias("lost")).collect()}
@@ -163,4 +180,7 @@ def run_load(spark: SparkSession, config: Config, staging: VersionedTable, targe
         events(2, "FAILED", {}, out.error[:2000], "failed")
         if config.failed:
             move_files(spark, uris, config.failed)
+    finally:
+        if rows is not None:
+            rows.unpersist()
     return out

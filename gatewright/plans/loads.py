@@ -228,8 +228,8 @@ def load_job(spark, d):
     rows = o.select("o_orderkey", F.round("o_totalprice", 2).cast("decimal(12,2)").cast("string").alias("price"), "o_orderdate", F.col("o_orderstatus").alias("status"))
     even = rows.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("Order Key"), "price", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "status")
     odd = rows.where("o_orderkey % 2 = 1").select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"), F.col("o_orderkey").alias("Order Key"), "price")
-    fixtures.preamble_files(even.coalesce(2), ["export, of today"]).write.mode("append").text(f"{place}/in")
-    fixtures.preamble_files(odd.coalesce(2), [""]).write.mode("append").text(f"{place}/in")
+    fixtures.preamble_files(even, ["export, of today"]).write.mode("append").text(f"{place}/in")
+    fixtures.preamble_files(odd, [""]).write.mode("append").text(f"{place}/in")
     contract = (Contract("o_orderkey", "bigint", is_key=True), Contract("price", "decimal", precision=12, scale=2), Contract("day", "date"), Contract("status", "varchar", char_len=10))
     config = job.Config("orders", f"{place}/in", contract, "part-*.txt", header_skip_rows=1, mapping='{"Order Key": "o_orderkey"}', keys=("o_orderkey",), strategy="APPEND")
     target = VersionedTable(spark, f"{place}/target")
